@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
 from shoptrail.operators.ranking import top_per_group
+from shoptrail.runtime import stored
 
 USER_AD = ["date", "user_id", "adid"]
 PLACE_AD = ["date", "province", "city", "adid"]
@@ -17,19 +18,22 @@ MINUTE_MS = 60_000
 def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Text lines to typed clicks. Lines with a missing or unreadable field drop out.
 
-    With ``observation`` their number is reported beside the result.
+    With ``observation`` the numbers of lines and of malformed ones are reported beside the result.
+    Each line is split and cast once: conditions on the fields cannot be pushed below the generator,
+    where they would repeat the work per field.
     """
 
-    def field(i: int):
-        return F.nullif(F.split_part("value", F.lit(" "), F.lit(i)), F.lit(""))
+    def typed(parts: Column) -> Column:
+        return F.struct(
+            F.get(parts, 0).try_cast("bigint").alias("ts_ms"),
+            F.nullif(F.get(parts, 1), F.lit("")).alias("province"),
+            F.nullif(F.get(parts, 2), F.lit("")).alias("city"),
+            F.get(parts, 3).try_cast("bigint").alias("user_id"),
+            F.get(parts, 4).try_cast("bigint").alias("adid"),
+        )
 
     fields = lines.select(
-        F.col("value").alias("line"),
-        field(1).try_cast("bigint").alias("ts_ms"),
-        field(2).alias("province"),
-        field(3).alias("city"),
-        field(4).try_cast("bigint").alias("user_id"),
-        field(5).try_cast("bigint").alias("adid"),
+        F.col("value").alias("line"), F.inline(F.transform(F.array(F.split("value", " ")), typed))
     )
     needed = ["ts_ms", "province", "city", "user_id", "adid"]
     if observation is not None:
@@ -54,7 +58,8 @@ def without_listed(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     """Clicks of users that are not on the list.
 
     The list may be long, so it is not forced into a broadcast; Spark checks its size and splits the
-    partition of a user with very many clicks.
+    partition of a user with very many clicks. Pass a list that lies in a table: then its size is known
+    and a short one spares the clicks their shuffle.
     """
     return clicks.join(listed.select("user_id"), "user_id", "left_anti")
 
@@ -64,6 +69,7 @@ def replay(clicks: DataFrame, threshold: int) -> DataFrame:
 
     A user's clicks count up to and including the one that takes an ad of a day above the threshold.
     Clicks are ordered by time, then line. Only the first ``threshold + 1`` clicks of a key are ranked.
+    The end points are written out once, so that their true size decides how they are joined.
     """
     shown = ["date", "province", "city", "user_id", "adid", "ts_ms", "line"]
     first_clicks = top_per_group(
@@ -79,6 +85,7 @@ def replay(clicks: DataFrame, threshold: int) -> DataFrame:
     before_end = (F.col("ts_ms") < F.col("end.ts_ms")) | (
         (F.col("ts_ms") == F.col("end.ts_ms")) & (F.col("line") < F.col("end.line"))
     )
+    ends = stored(ends, "replay-ends")
     limits = ends.select("user_id", F.struct("end.ts_ms", "end.line").alias("end"))
     before = clicks.join(limits, "user_id", "left").where(F.col("end").isNull() | before_end)
     at_end = ends.select("user_id", "end.*").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -100,15 +107,21 @@ def province_top(counts: DataFrame, n: int = 3) -> DataFrame:
     return top_per_group(province_counts(counts), ["date", "province"], order, n)
 
 
+def _minute() -> Column:
+    return F.floor(F.col("ts_ms") / MINUTE_MS).alias("minute")
+
+
 def minute_counts(clicks: DataFrame) -> DataFrame:
-    """Clicks per minute and ad, by the time of the click."""
-    ts = F.col("ts")
-    return clicks.groupBy(
-        F.date_format(ts, "yyyyMMdd").alias("date"),
-        F.date_format(ts, "HH").alias("hour"),
-        F.date_format(ts, "mm").alias("minute"),
+    """Clicks per minute and ad, by the time of the click. Only the counted rows are formatted."""
+    counted = clicks.groupBy(_minute(), "adid").agg(F.count(F.lit(1)).alias("click_count"))
+    start = F.timestamp_millis(F.col("minute") * MINUTE_MS)
+    return counted.select(
+        F.date_format(start, "yyyyMMdd").alias("date"),
+        F.date_format(start, "HH").alias("hour"),
+        F.date_format(start, "mm").alias("minute"),
         "adid",
-    ).agg(F.count(F.lit(1)).alias("click_count"))
+        "click_count",
+    )
 
 
 def sliding_counts(clicks: DataFrame, minutes: int = 60) -> DataFrame:
@@ -118,8 +131,7 @@ def sliding_counts(clicks: DataFrame, minutes: int = 60) -> DataFrame:
     contains it starts and one after the last. An ad has at most two changes per minute of the period,
     however often it was clicked, and nothing is copied into the windows before the sum is known.
     """
-    minute = F.floor(F.col("ts_ms") / MINUTE_MS)
-    per_minute = clicks.groupBy("adid", minute.alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    per_minute = clicks.groupBy("adid", _minute()).agg(F.count(F.lit(1)).alias("n"))
     changes = per_minute.select(
         "adid",
         F.inline(

@@ -33,12 +33,11 @@ def page_steps(
         .where(F.col("n") > hot_actions)
         .orderBy(F.desc("n"), "session_id")
         .limit(HOT_SESSIONS)
-        .select("session_id")
-    )
-    slice_of = F.when(F.col("hot"), F.col("second")).otherwise(F.lit(0))
-    sliced = visits.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "session_id", "left").withColumn(
-        "slice", slice_of
+        .select(F.col("session_id").alias("hot_id"))
     )
+    is_hot = F.col("session_id") == F.col("hot_id")
+    slice_of = F.when(F.col("hot_id").isNotNull(), F.col("second")).otherwise(F.lit(0))
+    sliced = visits.join(F.broadcast(hot), is_hot, "left").withColumn("slice", slice_of)
     in_slice = Window.partitionBy("session_id", "slice").orderBy("second", "tie")
     inside = sliced.select(
         F.col("page_id").alias("from_page"),
@@ -46,7 +45,7 @@ def page_steps(
         F.lit(1).cast("bigint").alias("views"),
     )
     ends = (
-        visits.join(F.broadcast(hot), "session_id", "left_semi")
+        visits.join(F.broadcast(hot), is_hot, "left_semi")
         .groupBy("session_id", "second")
         .agg(F.min_by("page_id", "tie").alias("first_page"), F.max_by("page_id", "tie").alias("last_page"))
     )

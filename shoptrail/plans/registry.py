@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shoptrail.operators import ads, areas, categories, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import oracle
+from shoptrail.runtime import stored
 from shoptrail.sources.tables import REGION_LEVELS, StarSchema
 from shoptrail.streaming import products as stream_products
 
@@ -218,8 +219,12 @@ def ad_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     return ads.blacklist(ad_user_click_counts(spark, folder), PARAMS.blacklist_threshold)
 
 
+def _stored_blacklist(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(ad_blacklist(spark, folder), "blacklist")
+
+
 def _good_clicks(spark: SparkSession, folder: str) -> DataFrame:
-    return ads.without_listed(_clicks(spark, folder), ad_blacklist(spark, folder))
+    return ads.without_listed(_clicks(spark, folder), _stored_blacklist(spark, folder))
 
 
 @_query
@@ -255,17 +260,17 @@ def ad_click_sliding_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def stream_ad_province_city_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_products.place_counts(spark, folder, ad_blacklist(spark, folder))
+    return stream_products.place_counts(spark, folder, _stored_blacklist(spark, folder))
 
 
 @_query
 def stream_ad_province_top3(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_products.province_top(spark, folder, ad_blacklist(spark, folder), PARAMS.top_ads)
+    return stream_products.province_top(spark, folder, _stored_blacklist(spark, folder), PARAMS.top_ads)
 
 
 @_query
 def stream_ad_click_trend_minute(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_products.minute_counts(spark, folder, ad_blacklist(spark, folder))
+    return stream_products.minute_counts(spark, folder, _stored_blacklist(spark, folder))
 
 
 @_query

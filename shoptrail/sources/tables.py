@@ -161,10 +161,8 @@ def actions_from_events(events: DataFrame) -> DataFrame:
 
 def ad_lines_from_events(events: DataFrame, nation_regions: DataFrame) -> DataFrame:
     """One text line per event: epoch milliseconds, province, city, user and ad, separated by spaces."""
-    ts = F.col("ts")
-    milli_of_day = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)) * 1000 + F.floor(
-        F.extract(F.lit("SECOND"), ts) % 1 * 1000
-    )
-    ad_ms = _epoch_day_seconds(ts) * 1000 + F.floor(milli_of_day / 24)
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    milli_of_day = F.pmod(millis, F.lit(86_400_000))
+    ad_ms = millis - milli_of_day + F.floor(milli_of_day / 24)
     placed = events.withColumn("city", F.col("user_id") % 25).join(nation_regions, "city")
     return placed.select(F.concat_ws(" ", ad_ms, "n_regionkey", "city", "user_id", _json_k() % 5).alias("value"))

@@ -156,34 +156,27 @@ def write_everything(folder: str, threshold: int, top_ads: int) -> BatchWriter:
     return write
 
 
-def _stored_list(listed: DataFrame, folder: str) -> DataFrame:
-    """Write the list once, so that micro-batches read it instead of deriving it again."""
-    spark = listed.sparkSession
-    listed.write.parquet(f"{folder}/known_blacklist")
-    return spark.read.schema("user_id bigint").parquet(f"{folder}/known_blacklist")
-
-
-def _good_clicks(spark: SparkSession, tables: str, listed: DataFrame, folder: str) -> DataFrame:
-    return ads.without_listed(ads.parse(star_schema_lines(spark, tables)), _stored_list(listed, folder))
+def _good_clicks(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
+    return ads.without_listed(ads.parse(star_schema_lines(spark, tables)), listed)
 
 
 def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
     folder = work_folder(spark, "place-counts")
-    clicks = _good_clicks(spark, tables, listed, folder)
+    clicks = _good_clicks(spark, tables, listed)
     start(running_place_counts(clicks), write_place_counts(folder), folder, "update").awaitTermination()
     return place_log(spark, folder).latest()
 
 
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
     folder = work_folder(spark, "province-top")
-    clicks = _good_clicks(spark, tables, listed, folder)
+    clicks = _good_clicks(spark, tables, listed)
     start(running_place_counts(clicks), write_province_top(folder, n), folder, "update").awaitTermination()
     return top_rows(spark, folder)
 
 
 def minute_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
     folder = work_folder(spark, "minute-counts")
-    clicks = _good_clicks(spark, tables, listed, folder)
+    clicks = _good_clicks(spark, tables, listed)
     start(clicks, write_minute_counts(folder), folder).awaitTermination()
     return minute_log(spark, folder).total()
 
