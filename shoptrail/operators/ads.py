@@ -68,12 +68,17 @@ def replay(clicks: DataFrame, threshold: int) -> DataFrame:
     """Clicks admitted when the blacklist is updated after every single click.
 
     A user's clicks count up to and including the one that takes an ad of a day above the threshold.
-    Clicks are ordered by time, then line. Only the first ``threshold + 1`` clicks of a key are ranked.
-    The end points are written out once, so that their true size decides how they are joined.
+    Clicks are ordered by time, then line. Only keys that do exceed the threshold are ordered, and of
+    each only the first ``threshold + 1`` clicks. These keys and the end points are written out, so that
+    their true size decides how they are joined.
     """
     shown = ["date", "province", "city", "user_id", "adid", "ts_ms", "line"]
+    offending = stored(user_ad_counts(clicks).where(F.col("click_count") > threshold), "replay-keys")
     first_clicks = top_per_group(
-        clicks.select(*shown), USER_AD, [F.asc("ts_ms"), F.asc("line")], threshold + 1
+        clicks.select(*shown).join(offending.select(*USER_AD), USER_AD, "left_semi"),
+        USER_AD,
+        [F.asc("ts_ms"), F.asc("line")],
+        threshold + 1,
     )
     same_line = Window.partitionBy(*USER_AD, "ts_ms", "line")
     crossing = first_clicks.withColumn("copies", F.count(F.lit(1)).over(same_line)).where(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +75,9 @@ def _kept_sessions(spark: SparkSession, folder: str, params: TaskParams = PARAMS
     return sessions.matching(star.actions(params), star.users(), params)
 
 
-def _kept_actions(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.actions_of(StarSchema(spark, folder).actions(PARAMS), _kept_sessions(spark, folder))
+def _kept_actions(spark: SparkSession, folder: str, kinds: Sequence[str] = ()) -> DataFrame:
+    actions = StarSchema(spark, folder).actions(PARAMS, kinds)
+    return sessions.actions_of(actions, _kept_sessions(spark, folder))
 
 
 @_query
@@ -154,19 +155,18 @@ def filtered_actions(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return categories.counts(_kept_actions(spark, folder))
+    return categories.counts(_kept_actions(spark, folder, ["click", "signup", "purchase"]))
 
 
 @_query
 def category_top10(spark: SparkSession, folder: str) -> DataFrame:
-    return categories.top(categories.counts(_kept_actions(spark, folder)), PARAMS.top_categories)
+    return categories.top(category_counts(spark, folder), PARAMS.top_categories)
 
 
 @_query
 def category_top10_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    kept = _kept_actions(spark, folder)
-    popular = categories.top(categories.counts(kept), PARAMS.top_categories)
-    return categories.top_sessions(kept, popular, PARAMS.top_sessions)
+    clicks = _kept_actions(spark, folder, ["click"])
+    return categories.top_sessions(clicks, category_top10(spark, folder), PARAMS.top_sessions)
 
 
 @_query
@@ -187,7 +187,7 @@ def page_flow_conversion_string(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def area_product_clicks(spark: SparkSession, folder: str) -> DataFrame:
     star = StarSchema(spark, folder)
-    return areas.product_clicks(star.actions(PARAMS), star.areas())
+    return areas.product_clicks(star.actions(PARAMS, kinds=["click"]), star.areas())
 
 
 @_query

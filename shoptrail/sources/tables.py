@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,8 +82,11 @@ class StarSchema:
     def events(self) -> DataFrame:
         return self.spark.read.schema(EVENTS_SCHEMA).parquet(f"{self.folder}/events.parquet")
 
-    def actions(self, params: TaskParams | None = None) -> DataFrame:
+    def actions(self, params: TaskParams | None = None, kinds: Sequence[str] = ()) -> DataFrame:
+        """The visit log. Period and ``kinds`` of event are conditions on the scanned columns."""
         events = self.events()
+        if kinds:
+            events = events.where(F.col("event_type").isin(list(kinds)))
         if params is not None:
             first, after = _ntz_day(params.start_date), _ntz_day(params.end_date, plus=1)
             events = events.where((F.col("ts") >= first) & (F.col("ts") < after))

@@ -88,15 +88,21 @@ def write_province_top(folder: str, n: int) -> BatchWriter:
         spark = changed.sparkSession
         log = place_log(spark, folder)
         log.write(changed, batch_id)
-        refresh_province_top(log.latest(batch_id), log.rows(batch_id).where(F.col("batch_id") == batch_id), folder, n)
+        refresh_province_top(log.latest(batch_id), log.batch(batch_id), folder, n)
 
     return write
 
 
+def _of_same_days(rows: DataFrame, changed: DataFrame) -> DataFrame:
+    """Rows of the days that occur in ``changed``. The days, a handful, prune the files that are read."""
+    days = [r["date"] for r in changed.select("date").distinct().collect()]
+    return rows.where(F.col("date").isin(days))
+
+
 def refresh_province_top(counts: DataFrame, changed: DataFrame, folder: str, n: int) -> None:
     """Rank again the groups of ``changed``; all other groups stay as they are."""
     touched = changed.select("date", "province").distinct()
-    current = counts.join(touched, ["date", "province"], "left_semi")
+    current = _of_same_days(counts, changed).join(touched, ["date", "province"], "left_semi")
     replace_groups(ads.province_top(current, n), f"{folder}/province_top", ["date", "province"])
 
 
@@ -120,9 +126,8 @@ def update_blacklist(clicks: DataFrame, batch_id: int, folder: str, threshold: i
     known = listed.rows(batch_id - 1).select("user_id")
     admitted = ads.without_listed(clicks, known)
     counts.write(ads.user_ad_counts(admitted), batch_id)
-    changed = counts.rows(batch_id).where(F.col("batch_id") == batch_id).select(*ads.USER_AD)
-    totals = counts.rows(batch_id).join(changed, ads.USER_AD, "left_semi")
-    totals = totals.groupBy(*ads.USER_AD).agg(F.sum("click_count").alias("click_count"))
+    changed = counts.batch(batch_id).select(*ads.USER_AD)
+    totals = _of_same_days(counts.total(batch_id), changed).join(changed, ads.USER_AD, "left_semi")
     listed.write(ads.without_listed(ads.blacklist(totals, threshold), known), batch_id)
     return admitted
 
@@ -134,10 +139,11 @@ def write_blacklist(folder: str, threshold: int) -> BatchWriter:
     return write
 
 
-def write_everything(folder: str, threshold: int, top_ads: int) -> BatchWriter:
+def write_everything(folder: str, threshold: int, top_ads: int, compact_every: int = 720) -> BatchWriter:
     """All advertising statistics from one pass over the stream.
 
-    Counts are stored as increments, so the stream itself keeps no state that could grow.
+    Counts are stored as increments, so the stream itself keeps no state that could grow. After every
+    ``compact_every`` batches (an hour at one per five seconds) the increments are merged.
     """
 
     def write(clicks: DataFrame, batch_id: int) -> None:
@@ -145,13 +151,15 @@ def write_everything(folder: str, threshold: int, top_ads: int) -> BatchWriter:
         clicks = clicks.persist()
         try:
             admitted = update_blacklist(clicks, batch_id, folder, threshold)
-            places = place_log(spark, folder)
+            places, minutes = place_log(spark, folder), minute_log(spark, folder)
             places.write(ads.place_counts(admitted), batch_id)
-            changed = places.rows(batch_id).where(F.col("batch_id") == batch_id)
-            refresh_province_top(places.total(batch_id), changed, folder, top_ads)
-            minute_log(spark, folder).write(ads.minute_counts(admitted), batch_id)
+            refresh_province_top(places.total(batch_id), places.batch(batch_id), folder, top_ads)
+            minutes.write(ads.minute_counts(admitted), batch_id)
         finally:
             clicks.unpersist()
+        if (batch_id + 1) % compact_every == 0:
+            for log in (user_ad_log(spark, folder), places, minutes):
+                log.compact_total(batch_id)
 
     return write
 

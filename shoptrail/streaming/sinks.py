@@ -29,23 +29,35 @@ class BatchLog:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
 
-    def _numbers(self, kind: str, name: str) -> list[int]:
-        folder = f"{self.path}/{kind}"
-        numbers = [int(n.split("=")[1]) for n in child_names(self.spark, folder) if n.startswith(f"{name}=")]
-        return sorted(n for n in numbers if path_exists(self.spark, f"{folder}/{name}={n}/_SUCCESS"))
+    def _numbers(self, kind: str, name: str, through: int | None) -> list[int]:
+        numbers = [int(n.split("=")[1]) for n in child_names(self.spark, f"{self.path}/{kind}") if n.startswith(f"{name}=")]
+        return sorted(n for n in numbers if through is None or n <= through)
+
+    def _complete(self, folder: str) -> bool:
+        return path_exists(self.spark, f"{folder}/_SUCCESS")
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of one batch."""
+        return self._read_batches([batch_id])
+
+    def _read_batches(self, numbers: list[int]) -> DataFrame:
+        folder = f"{self.path}/batches"
+        reader = self.spark.read.schema(self.schema).option("basePath", folder)
+        return reader.parquet(*[f"{folder}/batch_id={n}" for n in numbers])
 
     def rows(self, through: int | None = None) -> DataFrame:
-        """All rows of complete batches up to and including ``through``."""
-        snapshots = [n for n in self._numbers("snapshots", "through") if through is None or n <= through]
-        base = snapshots[-1] if snapshots else -1
-        batches = [n for n in self._numbers("batches", "batch_id") if n > base and (through is None or n <= through)]
-        parts = []
-        if snapshots:
-            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshots/through={base}"))
-        if batches:
-            folder = f"{self.path}/batches"
-            reader = self.spark.read.schema(self.schema).option("basePath", folder)
-            parts.append(reader.parquet(*[f"{folder}/batch_id={n}" for n in batches]))
+        """All rows of complete batches up to and including ``through``, from the last snapshot on."""
+        base, parts = -1, []
+        for number in reversed(self._numbers("snapshots", "through", through)):
+            folder = f"{self.path}/snapshots/through={number}"
+            if self._complete(folder):
+                base = number
+                parts.append(self.spark.read.schema(self.schema).parquet(folder))
+                break
+        later = [n for n in self._numbers("batches", "batch_id", through) if n > base]
+        later = [n for n in later if self._complete(f"{self.path}/batches/batch_id={n}")]
+        if later:
+            parts.append(self._read_batches(later))
         if not parts:
             return self.spark.createDataFrame([], self.schema)
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -1,0 +1,45 @@
+from test_sessions import action, frame
+
+from shoptrail.operators import categories
+
+
+def test_counts_of_all_kinds(spark):
+    rows = [
+        action(1, "a", category=3),
+        action(2, "a", category=3),
+        action(3, "b", category=4),
+        action(4, "b", order="3,,5"),
+        action(5, "b", pay="5,x"),
+        action(6, "b"),
+    ]
+    counted = {tuple(r) for r in categories.counts(frame(spark, rows)).collect()}
+    assert counted == {(3, 2, 1, 0), (4, 1, 0, 0), (5, 0, 1, 1)}
+
+
+def test_sum_of_counts_is_number_of_ids(spark):
+    rows = [action(i, "a", category=i % 4, order="1,2,3" if i % 2 else None) for i in range(40)]
+    total = categories.counts(frame(spark, rows)).selectExpr("sum(click_count)", "sum(order_count)").first()
+    assert tuple(total) == (40, 60)
+
+
+def test_top_orders_by_click_order_pay_then_id(spark):
+    rows = [(9, 5, 1, 1), (2, 5, 1, 1), (3, 5, 2, 0), (4, 6, 0, 0), (5, 5, 1, 2), (6, 0, 9, 9)]
+    df = spark.createDataFrame(rows, "category_id bigint, click_count bigint, order_count bigint, pay_count bigint")
+    assert [r.category_id for r in categories.top(df, 5).collect()] == [4, 3, 5, 2, 9]
+
+
+def test_counts_above_int_range_keep_their_order(spark):
+    rows = [(1, 2**31 + 5, 0, 0), (2, 3, 0, 0), (3, 2**40, 0, 0)]
+    df = spark.createDataFrame(rows, "category_id bigint, click_count bigint, order_count bigint, pay_count bigint")
+    assert [r.category_id for r in categories.top(df, 3).collect()] == [3, 1, 2]
+
+
+def test_top_sessions_counts_clicks_and_breaks_ties(spark):
+    rows = [action(i, "busy", category=1) for i in range(3)]
+    rows += [action(10 + i, f"s{i:02d}", category=1) for i in range(12)]
+    rows += [action(50, "other", category=2), action(51, "none")]
+    actions = frame(spark, rows)
+    popular = categories.top(categories.counts(actions), 1)
+    ranked = sorted(categories.top_sessions(actions, popular, 10).collect(), key=lambda r: r["rank"])
+    assert [r.session_id for r in ranked] == ["busy"] + [f"s{i:02d}" for i in range(9)]
+    assert ranked[0].click_count == 3 and {r.category_id for r in ranked} == {1}
