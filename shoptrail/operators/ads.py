@@ -13,6 +13,7 @@ USER_AD = ["date", "user_id", "adid"]
 PLACE_AD = ["date", "province", "city", "adid"]
 MINUTE_AD = ["date", "hour", "minute", "adid"]
 MINUTE_MS = 60_000
+BROADCAST_KEYS = 1_000_000
 
 
 def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -64,22 +65,21 @@ def without_listed(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     return clicks.join(listed.select("user_id"), "user_id", "left_anti")
 
 
-def replay(clicks: DataFrame, threshold: int) -> DataFrame:
+def replay(clicks: DataFrame, threshold: int, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Clicks admitted when the blacklist is updated after every single click.
 
     A user's clicks count up to and including the one that takes an ad of a day above the threshold.
-    Clicks are ordered by time, then line. Only keys that do exceed the threshold are ordered, and of
-    each only the first ``threshold + 1`` clicks. These keys and the end points are written out, so that
-    their true size decides how they are joined.
+    Clicks are ordered by time, then line, and of each day, user and ad only the first ``threshold + 1``
+    are needed. Where the keys that exceed the threshold are few enough to broadcast, all other clicks
+    are left out before ordering. The end points are written out, so that their true size decides how
+    they are joined.
     """
     shown = ["date", "province", "city", "user_id", "adid", "ts_ms", "line"]
     offending = stored(user_ad_counts(clicks).where(F.col("click_count") > threshold), "replay-keys")
-    first_clicks = top_per_group(
-        clicks.select(*shown).join(offending.select(*USER_AD), USER_AD, "left_semi"),
-        USER_AD,
-        [F.asc("ts_ms"), F.asc("line")],
-        threshold + 1,
-    )
+    candidates = clicks.select(*shown)
+    if offending.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        candidates = candidates.join(F.broadcast(offending.select(*USER_AD)), USER_AD, "left_semi")
+    first_clicks = top_per_group(candidates, USER_AD, [F.asc("ts_ms"), F.asc("line")], threshold + 1)
     same_line = Window.partitionBy(*USER_AD, "ts_ms", "line")
     crossing = first_clicks.withColumn("copies", F.count(F.lit(1)).over(same_line)).where(
         F.col("rank") == threshold + 1

@@ -40,11 +40,14 @@ def top(category_counts: DataFrame, n: int = 10) -> DataFrame:
     return category_counts.orderBy(*order).limit(n)
 
 
-def top_sessions(actions: DataFrame, top_categories: DataFrame, n: int = 10) -> DataFrame:
-    """Per given category the ``n`` sessions that clicked it most.
+def top_sessions(
+    actions: DataFrame, top_categories: DataFrame, n: int = 10, sessions: DataFrame | None = None
+) -> DataFrame:
+    """Per given category the ``n`` sessions that clicked it most, among ``sessions`` when given.
 
     ``top_categories`` is the result of :func:`top`, a handful of rows by its own limit, so the
-    broadcast stays small whatever the data.
+    broadcast stays small whatever the data. Clicks are counted before sessions are selected: a session
+    with very many clicks then meets the join as one row per category.
     """
     category = F.col("click_category_id").alias("category_id")
     clicks = actions.where(F.col("click_category_id") != -1).select(category, "session_id")
@@ -53,6 +56,8 @@ def top_sessions(actions: DataFrame, top_categories: DataFrame, n: int = 10) ->
         .groupBy("category_id", "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
+    if sessions is not None:
+        per_session = per_session.join(sessions.select("session_id"), "session_id", "left_semi")
     order = [F.desc("click_count"), F.asc("session_id")]
     return top_per_group(per_session, ["category_id"], order, n).select(
         "category_id", "session_id", "click_count", "rank"

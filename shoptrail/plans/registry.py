@@ -165,8 +165,9 @@ def category_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def category_top10_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    clicks = _kept_actions(spark, folder, ["click"])
-    return categories.top_sessions(clicks, category_top10(spark, folder), PARAMS.top_sessions)
+    clicks = StarSchema(spark, folder).actions(PARAMS, kinds=["click"])
+    popular = category_top10(spark, folder)
+    return categories.top_sessions(clicks, popular, PARAMS.top_sessions, _kept_sessions(spark, folder))
 
 
 @_query

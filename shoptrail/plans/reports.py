@@ -89,10 +89,10 @@ def run_session_job(actions: DataFrame, users: DataFrame, params: TaskParams, si
     kept = stored(sessions.observed(sessions.matching(actions, users, params), counters), "sessions")
     sink(session_stat_ratio(kept, params), "session_stat_ratio")
     sink(session_extract(kept, params), "session_extract")
-    kept_actions = sessions.actions_of(actions, kept)
-    popular = stored(categories.top(categories.counts(kept_actions), params.top_categories), "top-categories")
+    counted = categories.counts(sessions.actions_of(actions, kept))
+    popular = stored(categories.top(counted, params.top_categories), "top-categories")
     sink(top_categories(popular, params), "top_categories")
-    ranked = categories.top_sessions(kept_actions, popular, params.top_sessions)
+    ranked = categories.top_sessions(actions, popular, params.top_sessions, kept)
     sink(top_sessions_per_category(ranked, params), "top_sessions_per_category")
     return counters.get
 

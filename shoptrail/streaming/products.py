@@ -124,12 +124,11 @@ def update_blacklist(clicks: DataFrame, batch_id: int, folder: str, threshold: i
     spark = clicks.sparkSession
     listed, counts = listed_log(spark, folder), user_ad_log(spark, folder)
     known = listed.rows(batch_id - 1).select("user_id")
-    admitted = ads.without_listed(clicks, known)
-    counts.write(ads.user_ad_counts(admitted), batch_id)
+    counts.write(ads.without_listed(ads.user_ad_counts(clicks), known), batch_id)
     changed = counts.batch(batch_id).select(*ads.USER_AD)
     totals = _of_same_days(counts.total(batch_id), changed).join(changed, ads.USER_AD, "left_semi")
     listed.write(ads.without_listed(ads.blacklist(totals, threshold), known), batch_id)
-    return admitted
+    return ads.without_listed(clicks, known)
 
 
 def write_blacklist(folder: str, threshold: int) -> BatchWriter:

@@ -67,15 +67,16 @@ def replay_by_hand(lines, threshold):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_replay_matches_event_at_a_time_processing(spark, seed):
+@pytest.mark.parametrize("broadcast_keys", [0, 1000])
+@pytest.mark.parametrize("seed", range(3))
+def test_replay_matches_event_at_a_time_processing(spark, seed, broadcast_keys):
     rng = random.Random(seed)
     lines = [
         line(rng.randrange(6) + DAY * rng.randrange(2), user=rng.choice([1, 1, 1, 2, 3]), ad=rng.randrange(3))
         for _ in range(120)
     ]
     lines += [line(3, user=1, ad=1)] * rng.randrange(8)
-    found = sorted(r.line for r in ads.replay(clicks_frame(spark, lines), 4).collect())
+    found = sorted(r.line for r in ads.replay(clicks_frame(spark, lines), 4, broadcast_keys).collect())
     assert found == replay_by_hand(lines, 4)
 
 

@@ -43,3 +43,11 @@ def test_top_sessions_counts_clicks_and_breaks_ties(spark):
     ranked = sorted(categories.top_sessions(actions, popular, 10).collect(), key=lambda r: r["rank"])
     assert [r.session_id for r in ranked] == ["busy"] + [f"s{i:02d}" for i in range(9)]
     assert ranked[0].click_count == 3 and {r.category_id for r in ranked} == {1}
+
+
+def test_top_sessions_among_given_sessions(spark):
+    actions = frame(spark, [action(i, f"s{i % 3}", category=1) for i in range(7)])
+    popular = categories.top(categories.counts(actions), 1)
+    among = spark.createDataFrame([("s1",), ("s2",), ("s9",)], "session_id string")
+    ranked = categories.top_sessions(actions, popular, 10, among).collect()
+    assert sorted((r["rank"], r.session_id, r.click_count) for r in ranked) == [(1, "s1", 2), (2, "s2", 2)]
