@@ -30,4 +30,5 @@ def top_per_group(
         df = sharded.withColumn("_rank", F.row_number().over(by_shard)).where(F.col("_rank") <= n)
         df = df.drop("_shard", "_rank")
     by_key = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(by_key)).where(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(by_key)).where(F.col(rank) <= n)
+    return ranked.withColumn(rank, F.col(rank).cast("bigint"))

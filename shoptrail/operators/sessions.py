@@ -106,7 +106,7 @@ def _band_rows(sessions: DataFrame, length: str, bands) -> DataFrame:
             F.struct(
                 F.lit(name).alias("band"),
                 F.lit(lo).cast("bigint").alias("low"),
-                F.lit(hi).cast("bigint").alias("high"),
+                F.lit(-1 if hi is None else hi).cast("bigint").alias("high"),
                 F.col(name).alias("sessions"),
             )
             for name, lo, hi in bands
@@ -116,6 +116,7 @@ def _band_rows(sessions: DataFrame, length: str, bands) -> DataFrame:
 
 
 def visit_length_bands(sessions: DataFrame) -> DataFrame:
+    """Sessions per band of visit length; ``high`` is -1 for the open band."""
     return _band_rows(sessions, "visit_length", VISIT_BANDS)
 
 

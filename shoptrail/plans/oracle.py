@@ -137,7 +137,7 @@ def _band_rows(length: str, bands) -> str:
         condition = f"{length} >= {low}" + (f" AND {length} <= {high}" if high is not None else "")
         selects.append(
             f"SELECT '{name}' AS band, CAST({low} AS BIGINT) AS low, "
-            f"CAST({'NULL' if high is None else high} AS BIGINT) AS high, "
+            f"CAST({-1 if high is None else high} AS BIGINT) AS high, "
             f"count(*) FILTER ({condition}) AS sessions FROM kept"
         )
     return " UNION ALL ".join(selects)

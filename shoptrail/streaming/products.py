@@ -16,7 +16,7 @@ from shoptrail.streaming.sinks import BatchLog, replace_groups
 PLACE_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
 MINUTE_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
 USER_AD_SCHEMA = "date string, user_id bigint, adid bigint, click_count bigint"
-TOP_SCHEMA = "adid bigint, click_count bigint, rank int, date string, province string"
+TOP_SCHEMA = "adid bigint, click_count bigint, rank bigint, date string, province string"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -81,31 +81,32 @@ def write_place_counts(folder: str) -> BatchWriter:
     return write
 
 
-def write_province_top(folder: str, n: int) -> BatchWriter:
-    """Store the changed running counts and renew the top ads of the days and provinces they touch."""
-
-    def write(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        log = place_log(spark, folder)
-        log.write(changed, batch_id)
-        refresh_province_top(log.latest(batch_id), log.batch(batch_id), folder, n)
-
-    return write
-
-
 def _of_same_days(rows: DataFrame, changed: DataFrame) -> DataFrame:
     """Rows of the days that occur in ``changed``. The days, a handful, prune the files that are read."""
     days = [r["date"] for r in changed.select("date").distinct().collect()]
     return rows.where(F.col("date").isin(days))
 
 
-def refresh_province_top(counts: DataFrame, changed: DataFrame, folder: str, n: int) -> None:
-    """Rank again the groups of ``changed``; all other groups stay as they are."""
+def update_province_top(clicks: DataFrame, batch_id: int, folder: str, n: int) -> None:
+    """Add a batch's counts per place and rank again the days and provinces it touches.
+
+    All other groups stay as they are. The counts are increments, so clicks may come in any order.
+    """
+    places = place_log(clicks.sparkSession, folder)
+    places.write(ads.place_counts(clicks), batch_id)
+    changed = places.batch(batch_id)
     touched = changed.select("date", "province").distinct()
-    current = _of_same_days(counts, changed).join(touched, ["date", "province"], "left_semi")
+    current = _of_same_days(places.total(batch_id), changed).join(touched, ["date", "province"], "left_semi")
     replace_groups(ads.province_top(current, n), f"{folder}/province_top", ["date", "province"])
 
 
+def write_province_top(folder: str, n: int) -> BatchWriter:
+    def write(clicks: DataFrame, batch_id: int) -> None:
+        update_province_top(clicks, batch_id, folder, n)
+
+    return write
+
+
 def write_minute_counts(folder: str) -> BatchWriter:
     """Store each batch's counts per minute; batches add up, so late clicks count as well."""
 
@@ -150,15 +151,13 @@ def write_everything(folder: str, threshold: int, top_ads: int, compact_every: i
         clicks = clicks.persist()
         try:
             admitted = update_blacklist(clicks, batch_id, folder, threshold)
-            places, minutes = place_log(spark, folder), minute_log(spark, folder)
-            places.write(ads.place_counts(admitted), batch_id)
-            refresh_province_top(places.total(batch_id), places.batch(batch_id), folder, top_ads)
-            minutes.write(ads.minute_counts(admitted), batch_id)
+            update_province_top(admitted, batch_id, folder, top_ads)
+            minute_log(spark, folder).write(ads.minute_counts(admitted), batch_id)
         finally:
             clicks.unpersist()
         if (batch_id + 1) % compact_every == 0:
-            for log in (user_ad_log(spark, folder), places, minutes):
-                log.compact_total(batch_id)
+            for log in (user_ad_log, place_log, minute_log):
+                log(spark, folder).compact_total(batch_id)
 
     return write
 
@@ -177,7 +176,7 @@ def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFra
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
     folder = work_folder(spark, "province-top")
     clicks = _good_clicks(spark, tables, listed)
-    start(running_place_counts(clicks), write_province_top(folder, n), folder, "update").awaitTermination()
+    start(clicks, write_province_top(folder, n), folder).awaitTermination()
     return top_rows(spark, folder)
 
 

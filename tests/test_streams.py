@@ -62,17 +62,22 @@ def test_listed_users_are_filtered_from_the_next_batch_on(spark, tmp_path):
     assert [(r.adid, r.click_count) for r in products.top_rows(spark, out).collect()] == [(1, 5)]
 
 
-def test_running_counts_and_top_ads_equal_their_batch_twins(spark, tmp_path):
+def test_running_counts_equal_their_batch_twin(spark, tmp_path):
+    lines = some_lines()
+    out = str(tmp_path / "out")
+    running = products.running_place_counts(ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30)))))
+    products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
+    assert rows(products.place_log(spark, out).latest()) == rows(ads.place_counts(clicks_frame(spark, lines)))
+
+
+def test_top_ads_equal_their_batch_twin(spark, tmp_path):
     lines = some_lines() + [line(DAY + i, ad=i % 2, province="p9") for i in range(5)]
-    clicks = clicks_frame(spark, lines)
-    folder = land(tmp_path / "in", chunks(lines, 30))
     out = str(tmp_path / "out")
-    running = products.running_place_counts(ads.parse(stream(spark, folder)))
-    products.start(running, products.write_province_top(out, 3), out, "update").awaitTermination()
-    counts = ads.place_counts(clicks)
-    assert rows(products.place_log(spark, out).latest()) == rows(counts)
+    clicks = ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30))))
+    products.start(clicks, products.write_province_top(out, 3), out).awaitTermination()
+    expected = ads.province_top(ads.place_counts(clicks_frame(spark, lines)), 3)
     columns = ["date", "province", "adid", "click_count", "rank"]
-    assert rows(products.top_rows(spark, out).select(columns)) == rows(ads.province_top(counts, 3).select(columns))
+    assert rows(products.top_rows(spark, out).select(columns)) == rows(expected.select(columns))
 
 
 def test_running_counts_can_forget_old_days(spark, tmp_path):
@@ -139,6 +144,19 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
     assert before[0] == [(1, 0), (2, 1)]
 
 
+def test_compaction_while_running_changes_nothing(spark, tmp_path):
+    states = []
+    for name, every in (("often", 2), ("never", 10**6)):
+        out = str(tmp_path / name)
+        write = products.write_everything(out, 3, 3, compact_every=every)
+        for number, part in enumerate(chunks(some_lines(), 30)):
+            write(clicks_frame(spark, part), number)
+        logs = [products.user_ad_log(spark, out), products.place_log(spark, out), products.minute_log(spark, out)]
+        states.append([rows(log.total()) for log in logs] + [rows(products.top_rows(spark, out))])
+        assert (tmp_path / name / "place_counts" / "snapshots" / "through=3").exists() == (every == 2)
+    assert states[0] == states[1]
+
+
 def test_compacted_log_reads_the_same(spark, tmp_path):
     schema = "k string, n bigint"
 
