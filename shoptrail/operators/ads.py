@@ -14,27 +14,30 @@ PLACE_AD = ["date", "province", "city", "adid"]
 MINUTE_AD = ["date", "hour", "minute", "adid"]
 MINUTE_MS = 60_000
 BROADCAST_KEYS = 1_000_000
+# Times that yyyy-MM-dd can show: years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Text lines to typed clicks. Lines with a missing or unreadable field drop out.
 
     With ``observation`` the numbers of lines and of malformed ones are reported beside the result.
-    Each line is split and cast once: conditions on the fields cannot be pushed below the generator,
-    where they would repeat the work per field.
+    Each line is split once: the generator keeps conditions on the fields from being pushed below the
+    split, where each would repeat it.
     """
-
-    def typed(parts: Column) -> Column:
-        return F.struct(
-            F.get(parts, 0).try_cast("bigint").alias("ts_ms"),
-            F.nullif(F.get(parts, 1), F.lit("")).alias("province"),
-            F.nullif(F.get(parts, 2), F.lit("")).alias("city"),
-            F.get(parts, 3).try_cast("bigint").alias("user_id"),
-            F.get(parts, 4).try_cast("bigint").alias("adid"),
-        )
-
-    fields = lines.select(
-        F.col("value").alias("line"), F.inline(F.transform(F.array(F.split("value", " ")), typed))
+    parts = lines.select(F.col("value").alias("line"), F.explode(F.array(F.split("value", " "))).alias("parts"))
+
+    def field(i: int) -> Column:
+        return F.get("parts", F.lit(i))
+
+    millis = field(0).try_cast("bigint")
+    fields = parts.select(
+        "line",
+        F.when(millis.between(FIRST_MS, LAST_MS), millis).alias("ts_ms"),
+        F.nullif(field(1), F.lit("")).alias("province"),
+        F.nullif(field(2), F.lit("")).alias("city"),
+        field(3).try_cast("bigint").alias("user_id"),
+        field(4).try_cast("bigint").alias("adid"),
     )
     needed = ["ts_ms", "province", "city", "user_id", "adid"]
     if observation is not None:
@@ -46,8 +49,15 @@ def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame
     return clicks.withColumn("date", C.day_of(F.col("ts")))
 
 
+def _counts_per_day(clicks: DataFrame, *keys: str) -> DataFrame:
+    """Clicks per day and keys; the day is grouped as a date and only the counted rows get it as text."""
+    counted = clicks.groupBy(F.to_date("ts").alias("date"), *keys).agg(F.count(F.lit(1)).alias("click_count"))
+    return counted.withColumn("date", F.col("date").cast("string"))
+
+
 def user_ad_counts(clicks: DataFrame) -> DataFrame:
-    return clicks.groupBy(*USER_AD).agg(F.count(F.lit(1)).alias("click_count"))
+    """Clicks per day, user and ad."""
+    return _counts_per_day(clicks, "user_id", "adid")
 
 
 def blacklist(counts: DataFrame, threshold: int) -> DataFrame:
@@ -99,7 +109,7 @@ def replay(clicks: DataFrame, threshold: int, broadcast_keys: int = BROADCAST_KE
 
 def place_counts(clicks: DataFrame) -> DataFrame:
     """Clicks per day, province, city and ad."""
-    return clicks.groupBy(*PLACE_AD).agg(F.count(F.lit(1)).alias("click_count"))
+    return _counts_per_day(clicks, "province", "city", "adid")
 
 
 def province_counts(counts: DataFrame) -> DataFrame:

@@ -60,8 +60,9 @@ def running_place_counts(clicks: DataFrame, keep_days: str | None = None) -> Dat
     """
     if keep_days is None:
         return ads.place_counts(clicks)
-    by_day = clicks.withWatermark("ts", keep_days).groupBy(F.window("ts", "1 day"), *ads.PLACE_AD)
-    return by_day.agg(F.count(F.lit(1)).alias("click_count")).drop("window")
+    by_day = clicks.withWatermark("ts", keep_days).groupBy(F.window("ts", "1 day"), "province", "city", "adid")
+    day = F.to_date("window.start").cast("string").alias("date")
+    return by_day.agg(F.count(F.lit(1)).alias("click_count")).select(day, "province", "city", "adid", "click_count")
 
 
 def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:

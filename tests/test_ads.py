@@ -36,11 +36,11 @@ def test_parse_types_fields(spark):
 
 def test_malformed_lines_drop_out_and_are_counted(spark):
     good = line(0)
-    broken = ["", "1 2 3", "x p c 1 1", f"{START} p c u 1", f"{START} p c 1 a", f"{START}  c 1 1", None]
+    broken = ["", "1 2 3", "x p c 1 1", f"{START} p c u 1", f"{START} p c 1 a", f"{START}  c 1 1", "99999999999999999 p c 1 1", None]
     observation = Observation()
     rows = ads.parse(lines_frame(spark, [good, *broken, good + " more"]), observation).collect()
     assert [r.line for r in rows] == [good, good + " more"]
-    assert observation.get == {"lines": 9, "malformed": 7}
+    assert observation.get == {"lines": 10, "malformed": 8}
 
 
 def test_blacklist_counts_per_day_and_ad(spark):
