@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoptrail.operators import ads
 from shoptrail.runtime import work_folder
 from shoptrail.sources.streams import star_schema_lines
-from shoptrail.streaming.sinks import BatchLog, replace_groups
+from shoptrail.streaming.sinks import COMPACT_EVERY, BatchLog, replace_groups
 
 PLACE_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
 MINUTE_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
@@ -31,20 +31,27 @@ def start(stream: DataFrame, write: BatchWriter, folder: str, mode: str = "appen
     return writer.trigger(**trigger).foreachBatch(write).start()
 
 
-def place_log(spark: SparkSession, folder: str) -> BatchLog:
-    return BatchLog(spark, f"{folder}/place_counts", PLACE_SCHEMA, ads.PLACE_AD, "click_count")
+def running_place_log(spark: SparkSession, folder: str) -> BatchLog:
+    return BatchLog(spark, f"{folder}/running_place_counts", PLACE_SCHEMA, ads.PLACE_AD, "click_count", newest=True)
 
 
-def minute_log(spark: SparkSession, folder: str) -> BatchLog:
-    return BatchLog(spark, f"{folder}/minute_counts", MINUTE_SCHEMA, ads.MINUTE_AD, "click_count")
+def place_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
+    path = f"{folder}/place_counts"
+    return BatchLog(spark, path, PLACE_SCHEMA, ads.PLACE_AD, "click_count", compact_every=compact_every)
 
 
-def user_ad_log(spark: SparkSession, folder: str) -> BatchLog:
-    return BatchLog(spark, f"{folder}/user_ad_counts", USER_AD_SCHEMA, ads.USER_AD, "click_count")
+def minute_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
+    path = f"{folder}/minute_counts"
+    return BatchLog(spark, path, MINUTE_SCHEMA, ads.MINUTE_AD, "click_count", compact_every=compact_every)
 
 
-def listed_log(spark: SparkSession, folder: str) -> BatchLog:
-    return BatchLog(spark, f"{folder}/blacklist", "user_id bigint", ["user_id"])
+def user_ad_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
+    path = f"{folder}/user_ad_counts"
+    return BatchLog(spark, path, USER_AD_SCHEMA, ads.USER_AD, "click_count", compact_every=compact_every)
+
+
+def listed_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
+    return BatchLog(spark, f"{folder}/blacklist", "user_id bigint", ["user_id"], compact_every=compact_every)
 
 
 def top_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +84,7 @@ def write_place_counts(folder: str) -> BatchWriter:
     """Store the changed running counts; the newest batch wins."""
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        place_log(changed.sparkSession, folder).write(changed, batch_id)
+        running_place_log(changed.sparkSession, folder).write(changed, batch_id)
 
     return write
 
@@ -88,16 +95,18 @@ def _of_same_days(rows: DataFrame, changed: DataFrame) -> DataFrame:
     return rows.where(F.col("date").isin(days))
 
 
-def update_province_top(clicks: DataFrame, batch_id: int, folder: str, n: int) -> None:
+def update_province_top(
+    clicks: DataFrame, batch_id: int, folder: str, n: int, compact_every: int = COMPACT_EVERY
+) -> None:
     """Add a batch's counts per place and rank again the days and provinces it touches.
 
     All other groups stay as they are. The counts are increments, so clicks may come in any order.
     """
-    places = place_log(clicks.sparkSession, folder)
+    places = place_log(clicks.sparkSession, folder, compact_every)
     places.write(ads.place_counts(clicks), batch_id)
     changed = places.batch(batch_id)
     touched = changed.select("date", "province").distinct()
-    current = _of_same_days(places.total(batch_id), changed).join(touched, ["date", "province"], "left_semi")
+    current = _of_same_days(places.merged(batch_id), changed).join(touched, ["date", "province"], "left_semi")
     replace_groups(ads.province_top(current, n), f"{folder}/province_top", ["date", "province"])
 
 
@@ -117,18 +126,20 @@ def write_minute_counts(folder: str) -> BatchWriter:
     return write
 
 
-def update_blacklist(clicks: DataFrame, batch_id: int, folder: str, threshold: int) -> DataFrame:
+def update_blacklist(
+    clicks: DataFrame, batch_id: int, folder: str, threshold: int, compact_every: int = COMPACT_EVERY
+) -> DataFrame:
     """Filter a batch by the list so far, add up its counts and list new offenders.
 
     The list is read afresh for each batch. Only rows of earlier batches count as known, so a batch
     that is delivered again gives the same result. Returns the admitted clicks, which stay lazy.
     """
     spark = clicks.sparkSession
-    listed, counts = listed_log(spark, folder), user_ad_log(spark, folder)
+    listed, counts = listed_log(spark, folder, compact_every), user_ad_log(spark, folder, compact_every)
     known = listed.rows(batch_id - 1).select("user_id")
     counts.write(ads.without_listed(ads.user_ad_counts(clicks), known), batch_id)
     changed = counts.batch(batch_id).select(*ads.USER_AD)
-    totals = _of_same_days(counts.total(batch_id), changed).join(changed, ads.USER_AD, "left_semi")
+    totals = _of_same_days(counts.merged(batch_id), changed).join(changed, ads.USER_AD, "left_semi")
     listed.write(ads.without_listed(ads.blacklist(totals, threshold), known), batch_id)
     return ads.without_listed(clicks, known)
 
@@ -140,25 +151,23 @@ def write_blacklist(folder: str, threshold: int) -> BatchWriter:
     return write
 
 
-def write_everything(folder: str, threshold: int, top_ads: int, compact_every: int = 720) -> BatchWriter:
+def write_everything(
+    folder: str, threshold: int, top_ads: int, compact_every: int = COMPACT_EVERY
+) -> BatchWriter:
     """All advertising statistics from one pass over the stream.
 
-    Counts are stored as increments, so the stream itself keeps no state that could grow. After every
-    ``compact_every`` batches (an hour at one per five seconds) the increments are merged.
+    Counts are stored as increments, so the stream itself keeps no state that could grow.
     """
 
     def write(clicks: DataFrame, batch_id: int) -> None:
-        spark = clicks.sparkSession
         clicks = clicks.persist()
         try:
-            admitted = update_blacklist(clicks, batch_id, folder, threshold)
-            update_province_top(admitted, batch_id, folder, top_ads)
-            minute_log(spark, folder).write(ads.minute_counts(admitted), batch_id)
+            admitted = update_blacklist(clicks, batch_id, folder, threshold, compact_every)
+            update_province_top(admitted, batch_id, folder, top_ads, compact_every)
+            minutes = minute_log(clicks.sparkSession, folder, compact_every)
+            minutes.write(ads.minute_counts(admitted), batch_id)
         finally:
             clicks.unpersist()
-        if (batch_id + 1) % compact_every == 0:
-            for log in (user_ad_log, place_log, minute_log):
-                log(spark, folder).compact_total(batch_id)
 
     return write
 
@@ -171,7 +180,7 @@ def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFra
     folder = work_folder(spark, "place-counts")
     clicks = _good_clicks(spark, tables, listed)
     start(running_place_counts(clicks), write_place_counts(folder), folder, "update").awaitTermination()
-    return place_log(spark, folder).latest()
+    return running_place_log(spark, folder).merged()
 
 
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
@@ -185,7 +194,7 @@ def minute_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFr
     folder = work_folder(spark, "minute-counts")
     clicks = _good_clicks(spark, tables, listed)
     start(clicks, write_minute_counts(folder), folder).awaitTermination()
-    return minute_log(spark, folder).total()
+    return minute_log(spark, folder).merged()
 
 
 def blacklist(spark: SparkSession, tables: str, threshold: int) -> DataFrame:

@@ -10,24 +10,40 @@ from pyspark.sql import functions as F
 from shoptrail.runtime import child_names, path_exists
 
 
+COMPACT_EVERY = 100
+
+
 class BatchLog:
     """A keyed table kept as one folder of rows per micro-batch and merged when read.
 
-    Writing costs only the rows of the batch. The value is either a running figure, where the newest
-    batch wins (:meth:`latest`), or an increment, where all batches add up (:meth:`total`).
-    ``compact_*`` merges everything up to a batch into a snapshot, so readers skip the old folders.
-    Use one log per checkpoint, since batch numbers belong to the checkpoint.
+    Writing costs only the rows of the batch. The value is an increment, where all batches add up, or
+    with ``newest`` a running figure, where the newest batch wins; without a value only the keys count.
+    After every ``compact_every`` batches all rows so far are merged into a snapshot, so that readers
+    skip the older folders. Use one log per checkpoint, since batch numbers belong to the checkpoint.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], value: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str,
+        keys: Sequence[str],
+        value: str | None = None,
+        newest: bool = False,
+        compact_every: int = COMPACT_EVERY,
+    ):
         self.spark = spark
         self.path = path
         self.schema = f"{schema}, batch_id bigint"
         self.keys = list(keys)
         self.value = value
+        self.newest = newest
+        self.compact_every = compact_every
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self._snapshot(batch_id)
 
     def _numbers(self, kind: str, name: str, through: int | None) -> list[int]:
         numbers = [int(n.split("=")[1]) for n in child_names(self.spark, f"{self.path}/{kind}") if n.startswith(f"{name}=")]
@@ -62,31 +78,21 @@ class BatchLog:
             return self.spark.createDataFrame([], self.schema)
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    def latest(self, through: int | None = None) -> DataFrame:
-        return self._latest(self.rows(through)).drop("batch_id")
-
-    def total(self, through: int | None = None) -> DataFrame:
-        return self._total(self.rows(through)).drop("batch_id")
-
-    def _latest(self, rows: DataFrame) -> DataFrame:
-        newest = F.max_by(self.value, "batch_id").alias(self.value)
-        return rows.groupBy(*self.keys).agg(newest, F.max("batch_id").alias("batch_id"))
-
-    def _total(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*self.keys).agg(
-            F.sum(self.value).alias(self.value), F.max("batch_id").alias("batch_id")
-        )
-
-    def compact_latest(self, through: int) -> None:
-        self._snapshot(self._latest(self.rows(through)), through)
+    def merged(self, through: int | None = None) -> DataFrame:
+        """One row per key, from all batches up to and including ``through``."""
+        return self._merge(self.rows(through)).drop("batch_id")
 
-    def compact_total(self, through: int) -> None:
-        self._snapshot(self._total(self.rows(through)), through)
+    def _merge(self, rows: DataFrame) -> DataFrame:
+        values = []
+        if self.value:
+            merge = F.max_by(self.value, "batch_id") if self.newest else F.sum(self.value)
+            values.append(merge.alias(self.value))
+        return rows.groupBy(*self.keys).agg(*values, F.max("batch_id").alias("batch_id"))
 
-    def _snapshot(self, merged: DataFrame, through: int) -> None:
+    def _snapshot(self, through: int) -> None:
         target = f"{self.path}/snapshots/through={through}"
-        if not path_exists(self.spark, f"{target}/_SUCCESS"):
-            merged.repartitionByRange(*self.keys).write.mode("overwrite").parquet(target)
+        if not self._complete(target):
+            self._merge(self.rows(through)).repartitionByRange(*self.keys).write.mode("overwrite").parquet(target)
 
 
 def replace_groups(df: DataFrame, folder: str, group: Sequence[str]) -> None:

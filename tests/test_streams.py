@@ -56,9 +56,9 @@ def test_listed_users_are_filtered_from_the_next_batch_on(spark, tmp_path):
     out = str(tmp_path / "out")
     query = live.start_ad_statistics(stream(spark, land(tmp_path / "in", batches)), out, PARAMS, interval=None)
     query.awaitTermination()
-    assert rows(products.user_ad_log(spark, out).total()) == [("2024-01-01", 1, 1, 4), ("2024-01-01", 2, 1, 1)]
-    assert rows(products.place_log(spark, out).total()) == [("2024-01-01", "p", "c", 1, 5)]
-    assert rows(products.minute_log(spark, out).total()) == [("20240101", "00", "00", 1, 5)]
+    assert rows(products.user_ad_log(spark, out).merged()) == [("2024-01-01", 1, 1, 4), ("2024-01-01", 2, 1, 1)]
+    assert rows(products.place_log(spark, out).merged()) == [("2024-01-01", "p", "c", 1, 5)]
+    assert rows(products.minute_log(spark, out).merged()) == [("20240101", "00", "00", 1, 5)]
     assert [(r.adid, r.click_count) for r in products.top_rows(spark, out).collect()] == [(1, 5)]
 
 
@@ -67,7 +67,7 @@ def test_running_counts_equal_their_batch_twin(spark, tmp_path):
     out = str(tmp_path / "out")
     running = products.running_place_counts(ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30)))))
     products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
-    assert rows(products.place_log(spark, out).latest()) == rows(ads.place_counts(clicks_frame(spark, lines)))
+    assert rows(products.running_place_log(spark, out).merged()) == rows(ads.place_counts(clicks_frame(spark, lines)))
 
 
 def test_top_ads_equal_their_batch_twin(spark, tmp_path):
@@ -85,7 +85,7 @@ def test_running_counts_can_forget_old_days(spark, tmp_path):
     out = str(tmp_path / "out")
     running = products.running_place_counts(ads.parse(stream(spark, land(tmp_path / "in", batches))), "2 days")
     products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
-    found = {(r.date, r.click_count) for r in products.place_log(spark, out).latest().collect()}
+    found = {(r.date, r.click_count) for r in products.running_place_log(spark, out).merged().collect()}
     assert found == {("2024-01-01", 1), ("2024-01-06", 3)}
 
 
@@ -95,7 +95,7 @@ def test_minute_trend_counts_late_clicks(spark, tmp_path):
     out = str(tmp_path / "out")
     clicks = ads.parse(stream(spark, land(tmp_path / "in", late_first)))
     products.start(clicks, products.write_minute_counts(out), out).awaitTermination()
-    total = products.minute_log(spark, out).total()
+    total = products.minute_log(spark, out).merged()
     assert rows(total) == rows(ads.minute_counts(clicks_frame(spark, lines)))
     assert total.agg(F.sum("click_count")).first()[0] == 60
 
@@ -104,10 +104,10 @@ def test_sliding_windows_of_a_stream_equal_the_batch(spark, tmp_path):
     lines = some_lines(40)
     out = str(tmp_path / "out")
     schema = "window_start timestamp, adid bigint, click_count bigint"
-    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count")
+    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count", newest=True)
     windows = products.sliding_counts(ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 10)))), "1 hour", "10 minutes")
     products.start(windows, log.write, out, "update").awaitTermination()
-    assert rows(log.latest()) == rows(ads.sliding_counts(clicks_frame(spark, lines), 10))
+    assert rows(log.merged()) == rows(ads.sliding_counts(clicks_frame(spark, lines), 10))
 
 
 def test_click_behind_the_watermark_is_not_counted(spark, tmp_path):
@@ -115,10 +115,10 @@ def test_click_behind_the_watermark_is_not_counted(spark, tmp_path):
     batches = [[line(0)], [line(10 * hour)], [line(10 * hour + 1)], [line(1)]]
     out = str(tmp_path / "out")
     schema = "window_start timestamp, adid bigint, click_count bigint"
-    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count")
+    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count", newest=True)
     clicks = ads.parse(stream(spark, land(tmp_path / "in", batches)))
     products.start(products.sliding_counts(clicks, "1 hour", "1 minute"), log.write, out, "update").awaitTermination()
-    assert [r[2] for r in rows(log.latest())] == [1, 2]
+    assert [r[2] for r in rows(log.merged())] == [1, 2]
 
 
 def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
@@ -130,9 +130,9 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
     def state():
         return [
             rows(products.listed_log(spark, out).rows()),
-            rows(products.user_ad_log(spark, out).total()),
-            rows(products.place_log(spark, out).total()),
-            rows(products.minute_log(spark, out).total()),
+            rows(products.user_ad_log(spark, out).merged()),
+            rows(products.place_log(spark, out).merged()),
+            rows(products.minute_log(spark, out).merged()),
             rows(products.top_rows(spark, out)),
         ]
 
@@ -152,33 +152,28 @@ def test_compaction_while_running_changes_nothing(spark, tmp_path):
         for number, part in enumerate(chunks(some_lines(), 30)):
             write(clicks_frame(spark, part), number)
         logs = [products.user_ad_log(spark, out), products.place_log(spark, out), products.minute_log(spark, out)]
-        states.append([rows(log.total()) for log in logs] + [rows(products.top_rows(spark, out))])
+        states.append([rows(log.merged()) for log in logs] + [rows(products.top_rows(spark, out))])
         assert (tmp_path / name / "place_counts" / "snapshots" / "through=3").exists() == (every == 2)
     assert states[0] == states[1]
 
 
 def test_compacted_log_reads_the_same(spark, tmp_path):
     schema = "k string, n bigint"
-
-    def log(name):
-        result = BatchLog(spark, str(tmp_path / name), schema, ["k"], "n")
-        for number, batch in enumerate([[("a", 1), ("b", 2)], [("a", 5)], [("b", 1), ("c", 9)]]):
-            result.write(spark.createDataFrame(batch, schema), number)
-        return result
-
-    running, added = log("running"), log("added")
-    expected = (rows(running.latest()), rows(added.total()))
-    assert expected == ([("a", 5), ("b", 1), ("c", 9)], [("a", 6), ("b", 3), ("c", 9)])
-    running.compact_latest(1)
-    added.compact_total(1)
-    assert (rows(running.latest()), rows(added.total())) == expected
-    assert running.rows().where("k = 'a'").count() == added.rows().where("k = 'a'").count() == 1
-    assert rows(running.latest(0)) == [("a", 1), ("b", 2)]
+    batches = [[("a", 1), ("b", 2)], [("a", 5)], [("b", 1), ("c", 9)]]
+    expected = {True: [("a", 5), ("b", 1), ("c", 9)], False: [("a", 6), ("b", 3), ("c", 9)]}
+    for newest in (True, False):
+        for every in (1, 2, 10):
+            log = BatchLog(spark, str(tmp_path / f"{newest}-{every}"), schema, ["k"], "n", newest, every)
+            for number, batch in enumerate(batches):
+                log.write(spark.createDataFrame(batch, schema), number)
+            assert rows(log.merged()) == expected[newest]
+            assert rows(log.merged(0)) == [("a", 1), ("b", 2)]
+            assert log.rows().where("k = 'a'").count() == (2 if every == 10 else 1)
 
 
 def test_empty_log_has_its_schema(spark, tmp_path):
     log = BatchLog(spark, str(tmp_path / "none"), "k string, n bigint", ["k"], "n")
-    assert log.total().count() == 0 and log.total().columns == ["k", "n"]
+    assert log.merged().count() == 0 and log.merged().columns == ["k", "n"]
 
 
 def test_replace_groups_leaves_other_groups(spark, tmp_path):
@@ -195,4 +190,4 @@ def test_parquet_line_source(spark, tmp_path):
     out = str(tmp_path / "out")
     clicks = ads.parse(file_lines(spark, folder, "parquet"))
     products.start(clicks, products.write_minute_counts(out), out).awaitTermination()
-    assert products.minute_log(spark, out).total().agg(F.sum("click_count")).first()[0] == 10
+    assert products.minute_log(spark, out).merged().agg(F.sum("click_count")).first()[0] == 10
