@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
-from shoptrail.operators.ranking import top_per_group
+from shoptrail.operators.ranking import salt_count, top_per_group
 from shoptrail.runtime import stored
 
 USER_AD = ["date", "user_id", "adid"]
@@ -75,6 +75,21 @@ def without_listed(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     return clicks.join(listed.select("user_id"), "user_id", "left_anti")
 
 
+def without_listed_static(clicks: DataFrame, listed: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The same for plans without run-time splitting, such as stateful streams.
+
+    A list of at most ``broadcast_keys`` users is broadcast. A longer one is copied into shards, and the
+    clicks are spread over them by input partition, so the clicks of one user never meet in one task.
+    """
+    users = listed.select("user_id")
+    if users.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        return clicks.join(F.broadcast(users), "user_id", "left_anti")
+    shards = salt_count(clicks.sparkSession)
+    copies = users.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    spread = clicks.withColumn("_shard", F.spark_partition_id() % shards)
+    return spread.join(copies, ["user_id", "_shard"], "left_anti").drop("_shard")
+
+
 def replay(clicks: DataFrame, threshold: int, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Clicks admitted when the blacklist is updated after every single click.
 

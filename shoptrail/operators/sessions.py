@@ -91,7 +91,11 @@ def matching(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFr
 
 
 def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """The actions that belong to the given sessions."""
+    """The actions that belong to the given sessions.
+
+    Pass sessions that lie in a table: then their size is known, and a session with very many actions
+    can be split, which Spark does only where both sides of the join come straight from a shuffle.
+    """
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +75,13 @@ def _kept_sessions(spark: SparkSession, folder: str, params: TaskParams = PARAMS
     return sessions.matching(star.actions(params), star.users(), params)
 
 
-def _kept_actions(spark: SparkSession, folder: str, kinds: Sequence[str] = ()) -> DataFrame:
-    actions = StarSchema(spark, folder).actions(PARAMS, kinds)
-    return sessions.actions_of(actions, _kept_sessions(spark, folder))
+def _stored_session_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(_kept_sessions(spark, folder).select("session_id"), "session-ids")
+
+
+def _category_counts(spark: SparkSession, folder: str, session_ids: DataFrame) -> DataFrame:
+    touching = StarSchema(spark, folder).actions(PARAMS, kinds=["click", "signup", "purchase"])
+    return categories.counts(sessions.actions_of(touching, session_ids))
 
 
 @_query
@@ -149,13 +153,14 @@ def session_random_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def filtered_actions(spark: SparkSession, folder: str) -> DataFrame:
-    kept = _kept_actions(spark, folder)
+    actions = StarSchema(spark, folder).actions(PARAMS)
+    kept = sessions.actions_of(actions, _stored_session_ids(spark, folder))
     return kept.withColumn("action_sec", F.unix_timestamp("action_time")).drop("action_time")
 
 
 @_query
 def category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return categories.counts(_kept_actions(spark, folder, ["click", "signup", "purchase"]))
+    return _category_counts(spark, folder, _stored_session_ids(spark, folder))
 
 
 @_query
@@ -165,9 +170,10 @@ def category_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def category_top10_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    session_ids = _stored_session_ids(spark, folder)
+    popular = categories.top(_category_counts(spark, folder, session_ids), PARAMS.top_categories)
     clicks = StarSchema(spark, folder).actions(PARAMS, kinds=["click"])
-    popular = category_top10(spark, folder)
-    return categories.top_sessions(clicks, popular, PARAMS.top_sessions, _kept_sessions(spark, folder))
+    return categories.top_sessions(clicks, popular, PARAMS.top_sessions, session_ids)
 
 
 @_query

@@ -178,7 +178,7 @@ def _good_clicks(spark: SparkSession, tables: str, listed: DataFrame) -> DataFra
 
 def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
     folder = work_folder(spark, "place-counts")
-    clicks = _good_clicks(spark, tables, listed)
+    clicks = ads.without_listed_static(ads.parse(star_schema_lines(spark, tables)), listed)
     start(running_place_counts(clicks), write_place_counts(folder), folder, "update").awaitTermination()
     return running_place_log(spark, folder).merged()
 

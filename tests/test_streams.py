@@ -62,12 +62,16 @@ def test_listed_users_are_filtered_from_the_next_batch_on(spark, tmp_path):
     assert [(r.adid, r.click_count) for r in products.top_rows(spark, out).collect()] == [(1, 5)]
 
 
-def test_running_counts_equal_their_batch_twin(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_keys", [0, 100])
+def test_running_counts_equal_their_batch_twin(spark, tmp_path, broadcast_keys):
     lines = some_lines()
+    listed = spark.createDataFrame([(0,), (3,)], "user_id bigint")
     out = str(tmp_path / "out")
-    running = products.running_place_counts(ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30)))))
+    arriving = ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30))))
+    running = products.running_place_counts(ads.without_listed_static(arriving, listed, broadcast_keys))
     products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
-    assert rows(products.running_place_log(spark, out).merged()) == rows(ads.place_counts(clicks_frame(spark, lines)))
+    expected = ads.place_counts(ads.without_listed(clicks_frame(spark, lines), listed))
+    assert rows(products.running_place_log(spark, out).merged()) == rows(expected)
 
 
 def test_top_ads_equal_their_batch_twin(spark, tmp_path):
