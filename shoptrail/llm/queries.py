@@ -6,20 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import simhash
+from shoptrail.llm import decontaminate, licences, linededup, mixing, quality, simhash, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.query(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.query(_table(spark, folder, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.query(_table(spark, folder, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.query(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op6_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.query(_table(spark, folder, "embeddings"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.query(_table(spark, folder, "documents"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.query(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.query(_table(spark, folder, "documents"))
+
+
+def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.query(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontaminate": decontaminate.SQL,
+        "op6_top_k_search": topk.SQL,
+        "op9_line_dedup": linededup.SQL,
+        "op10_licence_scan": licences.SQL,
+    }
