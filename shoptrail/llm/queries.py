@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import decontaminate, licences, linededup, mixing, quality, simhash, tokencount, topk, toxicity
+from shoptrail.llm import decontaminate, kneserney, licences, linededup, mixing, quality, simhash, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.query(_table(spark, folder, "documents"))
 
 
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return kneserney.query(_table(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.query(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
