@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptrail.llm import scan
+from shoptrail.llm.columns import all_of
 from shoptrail.runtime import stored
 
 WINDOW = 10
@@ -204,7 +205,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
     found = contamination(numbered.select("__row", "text"), items, id="__row")
     dirty = stored(found.where("n_hit > 0").select("__row"), "contaminated rows")
-    return numbered.join(dirty, "__row", "left_anti").select(*docs.columns)
+    return numbered.join(dirty, "__row", "left_anti").select(*all_of(docs))
 
 
 #: DuckDB counterpart of ``query``.

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoptrail.llm.columns import all_of, quoted
 from shoptrail.runtime import stored
 
 #: Distinct sites from which a line is boilerplate.
@@ -68,7 +69,7 @@ def cleaned(
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "__dropped")
     clean = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     whole = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(clean)
-    return joined.select(*[whole.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], "__dropped", F.size(parts).alias("__lines"))
+    return joined.select(*[whole.alias(c) if c == text else quoted(c) for c in docs.columns], "__dropped", F.size(parts).alias("__lines"))
 
 
 def query(documents: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def query(documents: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    return cleaned(docs).select(*docs.columns)
+    return cleaned(docs).select(*all_of(docs))
 
 
 #: DuckDB counterpart of ``query``.

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptrail.llm import scan
+from shoptrail.llm.columns import all_of, quoted
 from shoptrail.llm.toxicity import held_out
 from shoptrail.runtime import stored
 
@@ -174,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, id: str, text: str, label
             bags = [x[a:b].ravel().tolist() for a, b in zip(*(lambda t: (t[:-1], t[1:]))(scan.first_of_runs(owner, batch.num_rows)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.list_(pa.float64()))], names=["id", "y", "x"])
 
-    rows = docs.join(F.broadcast(drawn), F.col(id) == F.col("l_id")).select(F.col("l_id").alias("id"), "y", text)
+    rows = docs.select(id, text).join(F.broadcast(drawn), F.col(id) == F.col("l_id")).select(F.col("l_id").alias("id"), "y", text)
     bags = rows.mapInArrow(run, rows.select("id", "y").schema.add("x", T.ArrayType(T.DoubleType()))).toArrow().to_pandas()
     bags = bags.sort_values("id", kind="stable")
     if bags["y"].nunique() < 2:
@@ -189,18 +190,19 @@ def scored(
 ) -> DataFrame:
     """``docs`` with ``__score``: all columns, or the id alone; ``allowed`` says of a label row whether it may be learned from."""
     weights = train(docs, labels, allowed, id, text, label)
-    out = docs.columns if keep_text else [id]
+    names = [c for c in docs.columns if c != text] + [text] if keep_text else [id, text]
+    rows = docs.select(*[quoted(c) for c in names])
+    out = names if keep_text else [id]
     if isinstance(weights, float):
-        return docs.select(*out, F.lit(weights).alias("__score"))
-    lean = docs.select(*out, F.col(text).alias("__text"))
+        return rows.select(*[quoted(c) for c in out], F.lit(weights).alias("__score"))
 
     def run(batches):
         for batch in batches:
-            x, owner = passages_of(batch.column(len(out)))
+            x, owner = passages_of(batch.column(len(names) - 1))
             result = pa.array(score(weights, x, owner, batch.num_rows))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(out)], result], names=[*out, "__score"])
 
-    return lean.mapInArrow(run, docs.select(*out).schema.add("__score", "double"))
+    return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add("__score", "double"))
 
 
 def query(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -214,4 +216,4 @@ def query(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
     found = scored(docs, labels, ~held_out(F.col("doc_id"), 4, 2), keep_text=True)
-    return found.where(F.col("__score") >= ACCEPTED).select(*docs.columns)
+    return found.where(F.col("__score") >= ACCEPTED).select(*all_of(docs))

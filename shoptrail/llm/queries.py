@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shoptrail.llm import decontaminate, kneserney, licences, linededup, mixing, quality, simhash, tokencount, topk, toxicity
 
 
@@ -54,7 +55,8 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    operators = {name: f for name, f in globals().items() if name.startswith("op")}
+    return operators | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

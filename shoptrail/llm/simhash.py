@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm import scan
+from shoptrail.llm.columns import all_of, quoted
 from shoptrail.llm.components import components
 from shoptrail.runtime import stored
 
@@ -63,23 +64,28 @@ def _fingerprints_of(column: pa.Array, shingle: int, seed: int) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS, seed: int = SEED, fingerprint: str = "fp"
+    docs: DataFrame,
+    text: str = "text",
+    shingle: int = SHINGLE_WORDS,
+    seed: int = SEED,
+    fingerprint: str = "fp",
+    keep_text: bool = False,
 ) -> DataFrame:
-    """All columns of ``docs`` but the text, and the fingerprint as a long.
+    """All columns of ``docs`` (without the text, unless it is kept) and the fingerprint as a long.
 
     A-Z is lower-cased; words are runs of bytes other than space and 0x09-0x0D. A text of fewer words than a shingle is
     one shingle; null, empty and blank texts have fingerprint 0.
     """
-    rest = [c for c in docs.columns if c != text]
-    schema = docs.select(*rest).schema.add(fingerprint, "long")
-    lean = docs.select(*rest, F.col(text).alias("__text"))
+    names = [c for c in docs.columns if c != text] + [text]
+    rows = docs.select(*[quoted(c) for c in names])
+    out = names if keep_text else names[:-1]
 
     def run(batches):
         for batch in batches:
-            fp = _fingerprints_of(batch.column(len(rest)), shingle, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(fp)], names=[*rest, fingerprint])
+            fp = _fingerprints_of(batch.column(len(names) - 1), shingle, seed).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(out)], pa.array(fp)], names=[*out, fingerprint])
 
-    return lean.mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add(fingerprint, "long"))
 
 
 #: (lowest bit, bits, radius of the Hamming ball) of each segment, for distances up to 4 in 64 bits.
@@ -132,8 +138,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (nulls last; of repeated ids, the first row)."""
-    kept = docs.withColumn("__row", F.monotonically_increasing_id())
-    kept = stored(fingerprints(kept.withColumn("__copy", F.col(text)), "__copy", fingerprint="__fp"), "fingerprints")
+    kept = fingerprints(docs.withColumn("__row", F.monotonically_increasing_id()), text, fingerprint="__fp", keep_text=True)
+    kept = stored(kept, "fingerprints")
     prints = kept.groupBy("__fp").agg(
         F.min_by("__row", F.struct(F.col(id).isNull(), F.col(id), F.col("__row"))).alias("row"),
         F.min(F.struct(F.col(id).isNull(), F.col(id), F.col("__row"))).alias("order"),
@@ -142,7 +148,7 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     roots = components(links(prints), "fp_a", "fp_b")
     rooted = prints.join(roots, prints.fp == roots.node, "left").select("row", "order", F.coalesce("root", "fp").alias("root"))
     stay = stored(rooted.groupBy("root").agg(F.min_by("row", "order").alias("__row")).select("__row"), "kept rows")
-    return kept.join(stay, "__row", "left_semi").select(*docs.columns)
+    return kept.join(stay, "__row", "left_semi").select(*all_of(docs))
 
 
 def query(documents: DataFrame) -> DataFrame:

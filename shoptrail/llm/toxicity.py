@@ -140,7 +140,7 @@ def learned_words(docs: DataFrame, sample: DataFrame, id: str, text: str, most:
     if not n.get(1) or not n.get(0):
         return []
     # At most about SAMPLE ids, so the broadcast has a bound.
-    texts = docs.join(F.broadcast(sample.where("part > 0")), F.col(id) == F.col("l_id"))
+    texts = docs.select(id, text).join(F.broadcast(sample.where("part > 0")), F.col(id) == F.col("l_id"))
     words = F.array_distinct(F.split(F.lower(F.col(text)), "[^a-z0-9\\x{80}-\\x{10FFFF}]+"))
     counts = texts.select("y", F.explode(words).alias("word")).where("length(word) > 1")
     counts = counts.groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
