@@ -122,7 +122,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_
 def quotas(sizes: DataFrame, goals: DataFrame, most: int = MOST, dp_budget: int = DP_BUDGET) -> DataFrame:
     """Per source and size: ``passes`` over all documents and ``extra``, the documents taken once more."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own, goal = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
         passes = min(int(goal // own), most) if own else 0
         positive = rows["size"].to_numpy() > 0

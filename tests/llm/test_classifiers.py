@@ -1,0 +1,111 @@
+"""Toxicity and quality: held-out accuracy on the given tables, and defined results on edge cases."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_rows import SCHEMA, document
+
+from shoptrail.llm import quality, toxicity
+
+FOLDER = "/root/testdata/sf0.1"
+QUERIES = {"toxic": (toxicity.query, 5, 0), "quality": (quality.query, 4, 2)}
+
+
+@pytest.mark.parametrize("label", QUERIES)
+def test_held_out_accuracy(spark, label):
+    query, parts, part = QUERIES[label]
+    documents, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    rows = query(documents, labels).join(labels, "doc_id").collect()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % parts == part) and 0 <= r["score"] <= 1
+        assert r["predicted"] == (r["score"] >= (0.5 if label == "toxic" else 0.7))
+    held = [r for r in rows if r["held_out"]]
+    right = sum(r["predicted"] == r[label] for r in held) / len(held)
+    assert right > 0.97
+    rare = [r for r in held if r[label] == (label == "toxic")]
+    assert sum(r["predicted"] == r[label] for r in rare) / len(rare) > 0.85
+
+
+@pytest.mark.parametrize("label", QUERIES)
+def test_held_out_labels_are_not_read(spark, edge_docs, edge_rows, label):
+    query, parts, part = QUERIES[label]
+    rng = random.Random(1)
+    ids = sorted({r[0] for r in edge_rows if r[0] is not None})
+    known = [(i, rng.randint(0, 1), rng.randint(0, 1)) for i in ids] + [(None, 1, 1), (3, None, None), (ids[-1], 0, 1)]
+    schema = "doc_id long, quality int, toxic int"
+    flipped = [(i, 1 - q, 1 - t) if i is not None and zlib.crc32(str(i).encode()) % parts == part and q is not None else (i, q, t) for i, q, t in known]
+    first, second = (
+        sorted(map(tuple, query(edge_docs, spark.createDataFrame(rows, schema)).collect()), key=repr) for rows in (known, flipped)
+    )
+    assert first == second and len(first) == len(edge_rows)
+
+
+@pytest.mark.parametrize("label", QUERIES)
+def test_labels_that_teach_nothing(spark, edge_docs, edge_rows, no_docs, label):
+    query, schema = QUERIES[label][0], "doc_id long, quality int, toxic int"
+    none = spark.createDataFrame([], schema)
+    assert {r["score"] for r in query(edge_docs, none).collect()} == {float(label == "quality")}
+    one = spark.createDataFrame([(r[0], 1, 1) for r in edge_rows], schema)
+    assert {r["score"] for r in query(edge_docs, one).collect()} == {1.0}
+    assert query(no_docs, none).count() == 0
+
+
+def test_toxic_features():
+    texts = ["You are an IDIOT!", "you are an 1d1ot", None, "", "the idi0t 's house is far away from here and then you", "nothing here"]
+    tables = [toxicity.hashes_of(w) for w in (toxicity.INSULTS, toxicity.SECOND_PERSON, ["house"])]
+    f = dict(zip(toxicity.FEATURES, toxicity.features_of(pa.array(texts), *tables).T))
+    assert f["insults"].tolist() == [0.25, 0, 0, 0, 0, 0]
+    assert (f["hidden"] > 0).tolist() == [False, True, False, False, True, False]
+    assert (f["insults_near_you"] > 0).tolist() == [True, False, False, False, False, False]
+    assert (f["learned"] > 0).tolist() == [False, False, False, False, True, False]
+    assert f["shouted"][0] == 0.25 and f["exclamations"][0] > 0 and not f["words"][2:4].any()
+
+
+def test_passages_cover_the_text_in_bounded_bags():
+    texts = ["w " * 10, None, "", " ".join(str(k) for k in range(50_000)), "a\n" * 65]
+    x, owner = quality.passages_of(pa.array(texts))
+    assert x.shape[1] == quality.FEATURE_COUNT and np.isfinite(x).all()
+    sizes = np.bincount(owner)
+    assert sizes[[0, 1, 2, 4]].tolist() == [1, 1, 1, 2] and 128 <= sizes[3] <= quality.PASSAGES
+
+
+def test_gradients_of_the_attention_network():
+    rng = np.random.default_rng(0)
+    x, y, begins = rng.normal(size=(9, 5)), np.array([1.0, 0.0, 1.0]), np.array([0, 2, 3])
+    h, a = quality.HIDDEN, quality.ATTENTION
+    p = {"W": (5, h), "b": h, "V": (h, a), "U": (h, a), "w": a, "c": h, "d": ()}
+    p = {k: rng.normal(size=s) * 0.5 for k, s in p.items()}
+    p["d"] = np.array(0.1)
+
+    def loss():
+        s = quality._forward(p, x, begins)[0]
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    for name, g in quality._gradients(p, x, begins, y).items():
+        at = tuple(0 for _ in p[name].shape)
+        step, old = 1e-6, p[name][at].copy()
+        p[name][at] = old + step
+        up = loss()
+        p[name][at] = old - step
+        down = loss()
+        p[name][at] = old
+        assert (up - down) / (2 * step) == pytest.approx(float(np.asarray(g)[at]), abs=1e-6)
+
+
+def test_a_bad_passage_among_good_ones_is_found(spark, words):
+    rng = random.Random(2)
+    line = lambda: " ".join(rng.choice(words) for _ in range(60)) + ".\n"
+    rows, labels = [], []
+    for k in range(400):
+        bad = k % 3 == 0
+        parts = [line() for _ in range(5)] + ([" ".join(["$$$ ### %%%"] * 40)] if bad else [line()])
+        rng.shuffle(parts)
+        rows.append(document(k, " ".join(parts)))
+        labels.append((k, int(not bad), 0))
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = [r for r in quality.query(docs, known).collect() if r["held_out"]]
+    assert sum(r["predicted"] == (r["doc_id"] % 3 > 0) for r in held) / len(held) > 0.95
+    assert quality.accepted(docs, known).columns == docs.columns

@@ -1,0 +1,71 @@
+import hashlib
+import re
+
+import pytest
+
+from shoptrail.llm import decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words_of(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute_force(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words_of(text)
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(item)
+    lengths = {len(w) for w in windows}
+    out = []
+    for id, text in docs:
+        w, hit, found = words_of(text), set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if items_here := windows.get(tuple(w[i : i + n])):
+                    hit |= set(range(i, i + n))
+                    found |= items_here
+        names = sorted(str(x) for x in found - {None})
+        out.append((id, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture(scope="module")
+def items(edge_rows):
+    long_text = edge_rows[9][1].split()
+    base = edge_rows[12][1].split()
+    return [
+        (1, " ".join(long_text[700:740])), (2, " ".join(base[:35]).upper()), (2, "second text of item two, that occurs nowhere at all really no"),
+        (3, "one, TWO!"), (4, "größe"), (5, None), (6, ""), (7, "... !!"), (None, " ".join(base[50:70])), (10, " ".join(base[20:31])),
+        (11, "same same same same same same same same same same same"), (12, "same same same"),
+    ]
+
+
+def test_edge_cases_match_brute_force(spark, edge_docs, edge_rows, items):
+    found = decontaminate.query(edge_docs, spark.createDataFrame(items, "item_id long, text string"))
+    found = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert found == brute_force([(r[0], r[1]) for r in edge_rows], items)
+
+
+def test_small_bitmap_changes_nothing(spark, edge_docs, edge_rows, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    full = {tuple(map(str, r)) for r in decontaminate.contamination(edge_docs, bench).drop("row_id").collect()}
+    assert full == {tuple(map(str, r)) for r in decontaminate.contamination(edge_docs, bench, bitmap_bits=8).drop("row_id").collect()}
+
+
+def test_empty_tables(spark, edge_docs, no_docs, items):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert not any(r["contaminated"] for r in decontaminate.query(edge_docs, none).collect())
+    assert decontaminate.query(no_docs, spark.createDataFrame(items, none.schema)).count() == 0
+
+
+def test_decontaminated_keeps_clean_rows(spark, edge_docs, edge_rows, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.decontaminated(edge_docs, bench)
+    assert kept.columns == edge_docs.columns
+    dirty = {r[0] for r in brute_force([(r[1], r[1]) for r in edge_rows], items) if r[5]}
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(repr(r) for r in edge_rows if r[1] not in dirty)

@@ -1,0 +1,103 @@
+import collections
+import math
+import re
+import zlib
+
+import pyarrow as pa
+import pytest
+
+from shoptrail.llm import kneserney
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def tokens_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)) + [None]
+
+
+def held_out(id):
+    return id is not None and zlib.crc32(str(id).encode()) % 7 == 2
+
+
+class Model:
+    """The same model by dictionaries of words."""
+
+    def __init__(self, texts):
+        self.count = collections.Counter(w for t in texts for w in t)
+        self.pairs = collections.Counter(p for t in texts for p in zip([0, *t], t))
+        self.before = collections.Counter(w for _, w in self.pairs)
+        self.context = collections.defaultdict(lambda: [0, 0, 0, 0])
+        for (h, _), n in self.pairs.items():
+            self.context[h][0] += n
+            self.context[h][min(n, 3)] += 1
+        of = lambda values: [sum(v == k for v in values) for k in (1, 2, 3, 4)]
+        self.d2, self.d1 = kneserney.discounts(*of(self.pairs.values())), kneserney.discounts(*of(self.before.values()))
+        held = sum(self.d1[min(n, 3)] for n in self.before.values())
+        self.n, self.v = sum(self.count.values()), len(self.count)
+        self.uniform = (held / len(self.pairs) if self.pairs else 1) / (self.v + 1)
+
+    def probability(self, h, w):
+        n = self.before.get(w, 0)
+        low = (n - self.d1[min(n, 3)]) / max(len(self.pairs), 1) + self.uniform
+        if h not in self.context:
+            return low
+        total, *kinds = self.context[h]
+        n = self.pairs.get((h, w), 0)
+        return (n - self.d2[min(n, 3)]) / total + sum(d * k for d, k in zip(self.d2[1:], kinds)) / total * low
+
+
+def check(rows, found):
+    model = Model([tokens_of(t) for i, t in rows if not held_out(i)])
+    expected = []
+    for id, text in rows:
+        t = tokens_of(text)
+        base = sum(math.log10((model.count[w] + 1) / (model.n + model.v + 1)) for w in t)
+        score = sum(math.log10(model.probability(h, w)) for h, w in zip([0, *t], t))
+        expected.append((id, held_out(id), len(t), sum(w in model.count for w in t), model.n, round(base, 6), round(score, 6)))
+    got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in map(tuple, found)]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    return model
+
+
+def test_edge_cases_match_brute_force(edge_docs, edge_rows):
+    model = check([(r[0], r[1]) for r in edge_rows], kneserney.query(edge_docs).collect())
+    vocabulary = [*model.count, "never seen"]
+    for h in (0, "same", vocabulary[5]):
+        assert sum(model.probability(h, w) for w in vocabulary) == pytest.approx(1)
+
+
+def test_many_ranges_and_small_parts(edge_docs, edge_rows, monkeypatch):
+    monkeypatch.setattr(kneserney, "RANGE_BYTES", 1)
+    monkeypatch.setattr(kneserney, "RANGES", 64)
+    check([(r[0], r[1]) for r in edge_rows], kneserney.query(edge_docs).collect())
+
+
+def test_nothing_to_learn_from(spark, no_docs):
+    assert kneserney.query(no_docs).count() == 0
+    ids = [i for i in range(100) if held_out(i)][:3]
+    rows = spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string").collect()
+    found = kneserney.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in found] == [(3, 0, 0, 0.0, 0.0)] * 3
+
+
+def test_held_out_text_like_the_training_text_scores_above_the_base(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = [r for r in kneserney.query(rows).collect() if r["held_out"]]
+    assert len(found) > 100 and sum(r["score"] for r in found) > 0.9 * sum(r["base_score"] for r in found)
+
+
+def test_arrays_round_trip(tmp_path):
+    import numpy as np
+
+    arrays = [np.array([1, 5, 2**63], "<u8"), np.array([7, 8, 9], "<u4")]
+    for path in (str(tmp_path / "a" / "x"), f"file://{tmp_path}/b/x"):
+        kneserney.write_arrays(path, arrays)
+        kneserney.write_arrays(path, arrays)  # a repeated task
+        back = kneserney.map_arrays(path, kneserney._PAIRS)
+        assert back["hash"].tolist() == arrays[0].tolist() and back["count"].tolist() == [7, 8, 9]
+    assert [p.name for p in (tmp_path / "a").iterdir()] == ["x"]
+
+
+def test_tokens_of_a_batch():
+    out = [(first, len(current), begins.tolist()) for first, current, _, begins in kneserney.tokens(pa.array(["a b", None, "", " c "]))]
+    assert out == [(0, 7, [0, 3, 4, 5, 7])]

@@ -1,0 +1,59 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoptrail.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, score double, dim int"
+
+
+def brute_force(rows, k=10):
+    usable = [
+        (i, [math.floor(float(np.float32(x)) * 1024) for x in v]) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for q, v in usable:
+        if q % 100 == 0:
+            found = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v)]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out)
+
+
+def vectors(n, dim, seed, ties=False):
+    rng = random.Random(seed)
+    draw = (lambda: rng.choice([-0.5, 0.0, 0.5])) if ties else (lambda: rng.gauss(0, 0.2))
+    return [(i, [draw() for _ in range(dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("case", ["plain", "ties", "one vector very often", "few"])
+def test_matches_brute_force(spark, monkeypatch, case):
+    rows = vectors(4 if case == "few" else 900, 40, 1, case == "ties")
+    if case == "one vector very often":
+        rows = [(i, rows[7][1] if i % 3 else v) for i, v in rows]
+    monkeypatch.setattr(topk, "CANDIDATES", 100)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    df = spark.createDataFrame([(*r, 0.0, 1) for r in rows], SCHEMA).repartition(3)
+    assert sorted(map(tuple, topk.query(df).collect())) == brute_force(rows)
+
+
+def test_edge_cases(spark):
+    rows = vectors(40, 6, 2) + [
+        (100, None), (200, [1.0, None, 0.0]), (300, [float("nan")] * 6), (400, [float("inf")] * 6), (None, [1.0] * 6), (500, [1.0, 2.0]),
+        (600, []), (700, []), (701, [3.0, 1.0]), (5, [0.5] * 6), (800, [3e38] * 6), (801, [-3e38] * 6),
+    ]
+    df = spark.createDataFrame([(*r, 0.0, 1) for r in rows], SCHEMA)
+    found = sorted(map(tuple, topk.query(df).collect()))
+    expected = brute_force([r for r in rows if r[0] not in (800, 801)])
+    assert [r for r in found if r[0] not in (0, 800)] == [r for r in expected if r[0] != 0]
+    assert all(-(2**63) <= r[3] < 2**63 for r in found)
+    assert topk.query(df.limit(0)).count() == 0
+
+
+def test_queries_repeat_when_their_rows_do(spark):
+    df = spark.createDataFrame([(*r, 0.0, 1) for r in vectors(30, 4, 3) + [(0, [0.1, 0.2, 0.3, 0.4])]], SCHEMA)
+    found = topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).collect()
+    assert sorted(r["rank"] for r in found) == [1, 1, 2, 2, 3, 3] and all(r["vec_id"] != 0 for r in found)
