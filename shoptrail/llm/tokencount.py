@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.runtime import path_exists, work_folder
@@ -58,6 +60,18 @@ def counter(path: str, special: tuple[tuple[str, int], ...]):
     return lambda texts: [len(byte_pairs.encode(t, allowed_special="all")) for t in texts]
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python at most ``rows`` rows at once, so that long texts do not add up in a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _counted(texts: DataFrame, path: str, special: dict[str, int]) -> DataFrame:
     """``digest`` and ``n_tokens`` of rows ``(digest, text)``."""
 
@@ -93,7 +107,8 @@ def token_counts(
     texts = docs.select(F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("text"))
     misses = texts.groupBy("digest").agg(F.first("text").alias("text")).join(known, "digest", "left_anti")
     found = _counted(misses, path, special).withColumn("tokenizer", F.lit(version))
-    found.select("digest", "tokenizer", "n_tokens").write.mode("append").parquet(cache)
+    with arrow_rows(spark, TEXTS_AT_ONCE * 4):
+        found.select("digest", "tokenizer", "n_tokens").write.mode("append").parquet(cache)
     counts = spark.read.schema(_CACHE).parquet(cache).where(F.col("tokenizer") == version)
     counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     rows = docs.select(F.col(id).alias(id), F.unhex(F.sha2(content, 256)).alias("digest"), F.octet_length(content).cast("long").alias("n_bytes"))
