@@ -12,11 +12,17 @@ def parse_time(text: Column) -> Column:
 
 
 def day_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    """``yyyy-MM-dd``, by a cast, which costs far less per row than formatting."""
+    return ts.cast("date").cast("string")
 
 
 def hour_of(ts: Column) -> Column:
-    return F.date_format(ts, "HH")
+    return F.lpad(F.hour(ts).cast("string"), 2, "0")
+
+
+def time_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a time in whole seconds."""
+    return ts.cast("string")
 
 
 def date_hour(ts: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,38 +26,64 @@ def build_session(app_name: str = "shoptrail", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+#: Folders stored inside ``temporary_tables``, which removes them.
+_stored_inside: ContextVar[list[str] | None] = ContextVar("stored_inside", default=None)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A new folder below ``spark.checkpoint.dir`` or, where that is unset, below the warehouse folder.
 
-    Only a local session may run without that setting: it then gets a folder on this machine.
+    Both are shared by all executors of a cluster. The folder is not made yet.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="shoptrail-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shoptrail-work"
+    return f"{root.rstrip('/')}/{purpose.replace(' ', '-')}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Later steps then plan with its real size and need not derive it again, also after losing executors.
+    The table goes when ``temporary_tables`` around the call ends, or else with the session's process.
     """
     folder = work_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
+    remove_at_exit(df.sparkSession, folder)
+    inside = _stored_inside.get()
+    if inside is not None:
+        inside.append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end whatever ``stored`` writes inside. Results must have been written elsewhere by then."""
+    folders: list[str] = []
+    token = _stored_inside.set(folders)
+    try:
+        yield
+    finally:
+        _stored_inside.reset(token)
+        for folder in folders:
+            remove(spark, folder)
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries directly below ``path`` (none when it does not exist)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+def remove(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Let the file system drop an existing folder when the driver's process ends."""
+    fs, path = _file_system(spark, folder)
+    fs.deleteOnExit(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
