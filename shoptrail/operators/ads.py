@@ -13,9 +13,8 @@ USER_AD = ["date", "user_id", "adid"]
 PLACE_AD = ["date", "province", "city", "adid"]
 MINUTE_AD = ["date", "hour", "minute", "adid"]
 MINUTE_MS = 60_000
-BROADCAST_KEYS = 1_000_000
-# Times that yyyy-MM-dd can show: years 1 to 9999.
-FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+# Timestamps are microseconds in 64 bits.
+MOST_MS = (2**63 - 1) // 1000
 
 
 def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -30,10 +29,9 @@ def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame
     def field(i: int) -> Column:
         return F.get("parts", F.lit(i))
 
-    millis = field(0).try_cast("bigint")
     fields = parts.select(
         "line",
-        F.when(millis.between(FIRST_MS, LAST_MS), millis).alias("ts_ms"),
+        field(0).try_cast("bigint").alias("ts_ms"),
         F.nullif(field(1), F.lit("")).alias("province"),
         F.nullif(field(2), F.lit("")).alias("city"),
         field(3).try_cast("bigint").alias("user_id"),
@@ -45,7 +43,9 @@ def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame
         fields = fields.observe(
             observation, F.count(F.lit(1)).alias("lines"), F.count_if(broken).alias("malformed")
         )
-    clicks = fields.dropna(subset=needed).withColumn("ts", F.timestamp_millis("ts_ms"))
+    # Times beyond what a timestamp holds keep their ts_ms; only ts and date are null then.
+    millis = F.when(F.abs("ts_ms") <= MOST_MS, F.col("ts_ms"))
+    clicks = fields.dropna(subset=needed).withColumn("ts", F.timestamp_millis(millis))
     return clicks.withColumn("date", C.day_of(F.col("ts")))
 
 
@@ -75,47 +75,59 @@ def without_listed(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     return clicks.join(listed.select("user_id"), "user_id", "left_anti")
 
 
-def without_listed_static(clicks: DataFrame, listed: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+def without_listed_static(clicks: DataFrame, listed: DataFrame) -> DataFrame:
     """The same for plans without run-time splitting, such as stateful streams.
 
-    A list of at most ``broadcast_keys`` users is broadcast. A longer one is copied into shards, and the
-    clicks are spread over them by input partition, so the clicks of one user never meet in one task.
+    The list is copied into shards, and the clicks are spread over them by input partition, so the clicks of
+    one user never meet in one task.
     """
-    users = listed.select("user_id")
-    if users.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        return clicks.join(F.broadcast(users), "user_id", "left_anti")
     shards = salt_count(clicks.sparkSession)
-    copies = users.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    copies = listed.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"))
     spread = clicks.withColumn("_shard", F.spark_partition_id() % shards)
     return spread.join(copies, ["user_id", "_shard"], "left_anti").drop("_shard")
 
 
-def replay(clicks: DataFrame, threshold: int, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-    """Clicks admitted when the blacklist is updated after every single click.
+def crossings(clicks: DataFrame, threshold: int) -> DataFrame:
+    """Per user the click that takes an ad of a day above ``threshold``, as ``end`` (time and line).
 
-    A user's clicks count up to and including the one that takes an ad of a day above the threshold.
-    Clicks are ordered by time, then line, and of each day, user and ad only the first ``threshold + 1``
-    are needed. Where the keys that exceed the threshold are few enough to broadcast, all other clicks
-    are left out before ordering. The end points are written out, so that their true size decides how
-    they are joined.
+    Counts per minute show in which minute that happens; only the clicks of such minutes are ordered, and of
+    each ad only the first ``threshold + 1``. ``copies`` says how often the line of the end counts.
     """
-    shown = ["date", "province", "city", "user_id", "adid", "ts_ms", "line"]
-    offending = stored(user_ad_counts(clicks).where(F.col("click_count") > threshold), "replay-keys")
-    candidates = clicks.select(*shown)
-    if offending.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        candidates = candidates.join(F.broadcast(offending.select(*USER_AD)), USER_AD, "left_semi")
-    first_clicks = top_per_group(candidates, USER_AD, [F.asc("ts_ms"), F.asc("line")], threshold + 1)
-    same_line = Window.partitionBy(*USER_AD, "ts_ms", "line")
-    crossing = first_clicks.withColumn("copies", F.count(F.lit(1)).over(same_line)).where(
-        F.col("rank") == threshold + 1
+    per_minute = clicks.groupBy(*USER_AD, _minute()).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*USER_AD).orderBy("minute"))
+    minutes = per_minute.withColumn("upto", upto).where(
+        (F.col("upto") > threshold) & (F.col("upto") - F.col("n") <= threshold)
+    )
+    minutes = minutes.select(*USER_AD, "minute", (threshold + 1 - F.col("upto") + F.col("n")).alias("needed"))
+    first_minute = F.min("minute").over(Window.partitionBy("user_id"))
+    minutes = stored(minutes.withColumn("first", first_minute).where("minute = first").drop("first"), "replay-minutes")
+    key = [*USER_AD, "minute"]
+    in_minute = clicks.select("*", _minute()).join(minutes, key).select(
+        *key, "needed", "province", "city", "ts_ms", "line"
     )
-    ends = crossing.groupBy("user_id").agg(
-        F.min(F.struct("ts_ms", "line", "date", "province", "city", "adid", "copies")).alias("end")
+    ordered = top_per_group(in_minute, key, [F.asc("ts_ms"), F.asc("line")], threshold + 1)
+    same_line = Window.partitionBy(*key, "ts_ms", "line")
+    crossing = (
+        ordered.where(F.col("rank") <= F.col("needed"))
+        .withColumn("copies", F.count(F.lit(1)).over(same_line))
+        .where(F.col("rank") == F.col("needed"))
     )
+    end = F.min(F.struct("ts_ms", "line", "date", "province", "city", "adid", "copies"))
+    return crossing.groupBy("user_id").agg(end.alias("end"))
+
+
+def replay(clicks: DataFrame, threshold: int) -> DataFrame:
+    """Clicks admitted when the blacklist is updated after every single click.
+
+    A user's clicks count up to and including the one that takes an ad of a day above the threshold. Clicks
+    are ordered by time, then line. The end points are written out, so that their true size decides how they
+    are joined.
+    """
+    shown = ["date", "province", "city", "user_id", "adid", "ts_ms", "line"]
+    ends = stored(crossings(clicks, threshold), "replay-ends")
     before_end = (F.col("ts_ms") < F.col("end.ts_ms")) | (
         (F.col("ts_ms") == F.col("end.ts_ms")) & (F.col("line") < F.col("end.line"))
     )
-    ends = stored(ends, "replay-ends")
     limits = ends.select("user_id", F.struct("end.ts_ms", "end.line").alias("end"))
     before = clicks.join(limits, "user_id", "left").where(F.col("end").isNull() | before_end)
     at_end = ends.select("user_id", "end.*").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -155,13 +167,17 @@ def minute_counts(clicks: DataFrame) -> DataFrame:
 
 
 def sliding_counts(clicks: DataFrame, minutes: int = 60) -> DataFrame:
-    """Clicks per ad in every window of ``minutes`` minutes that starts on a full minute.
+    """Clicks per ad in every window of ``minutes`` minutes that starts on a full minute."""
+    return slide(clicks.groupBy("adid", _minute()).agg(F.count(F.lit(1)).alias("n")), minutes)
+
+
+def slide(per_minute: DataFrame, minutes: int = 60) -> DataFrame:
+    """Sliding counts from counts ``n`` per ad and ``minute`` (since the epoch).
 
     Each counted minute turns into two changes of a running sum, one where the first window that
     contains it starts and one after the last. An ad has at most two changes per minute of the period,
     however often it was clicked, and nothing is copied into the windows before the sum is known.
     """
-    per_minute = clicks.groupBy("adid", _minute()).agg(F.count(F.lit(1)).alias("n"))
     changes = per_minute.select(
         "adid",
         F.inline(

@@ -10,51 +10,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
+from shoptrail.runtime import stored
 
-HOT_SESSION_ACTIONS = 1_000_000
-HOT_SESSIONS = 1_000
+SEED = 42
 
 
-def page_steps(
-    actions: DataFrame, tie_break: str = "event_id", hot_actions: int = HOT_SESSION_ACTIONS
-) -> DataFrame:
+def slices(actions: DataFrame, tie_break: str | None = "event_id", seed: int = SEED) -> DataFrame:
+    """The visits cut into slices that are ordered by session, second and tie, stored once.
+
+    The cut is a range partition, so a session is split wherever it is too big for one task, also inside one
+    second; rows keep the number of their slice. Without a ``tie_break`` column, visits of one second are
+    ordered by a seeded hash of the whole row, which prefers no page.
+    """
+    if tie_break is None:
+        # Rows that agree in everything lead to the same steps in any order; the number only spreads them.
+        tie = F.struct(F.xxhash64(F.lit(seed), *actions.columns), F.monotonically_increasing_id())
+    else:
+        tie = F.col(tie_break)
+    visits = actions.select("session_id", "page_id", F.unix_timestamp("action_time").alias("second"), tie.alias("tie"))
+    ranged = visits.repartitionByRange("session_id", "second", "tie")
+    return stored(ranged.withColumn("slice", F.spark_partition_id()), "page-visits")
+
+
+def page_steps(actions: DataFrame, tie_break: str | None = "event_id", seed: int = SEED) -> DataFrame:
     """Consecutive pages of each session as rows ``(from_page, to_page, views)``.
 
-    A row with ``views = 1`` stands for one action; ``to_page`` is null where nothing follows. Sessions
-    with more than ``hot_actions`` actions are cut into one-second slices so that no task orders a
-    whole one; the steps from slice to slice come on top as rows with ``views = 0``. At most
-    ``HOT_SESSIONS`` sessions are cut: any other holds less than a thousandth of the actions.
+    A row with ``views = 1`` stands for one action; ``to_page`` is null where nothing follows in its slice.
+    Steps from a slice to the next of the same session come on top as rows with ``views = 0``; one row per
+    session and slice is enough to find them.
     """
-    tie = F.col(tie_break).alias("tie")
-    visits = actions.select("session_id", "page_id", F.unix_timestamp("action_time").alias("second"), tie)
-    hot = (
-        visits.groupBy("session_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_actions)
-        .orderBy(F.desc("n"), "session_id")
-        .limit(HOT_SESSIONS)
-        .select(F.col("session_id").alias("hot_id"))
-    )
-    is_hot = F.col("session_id") == F.col("hot_id")
-    slice_of = F.when(F.col("hot_id").isNotNull(), F.col("second")).otherwise(F.lit(0))
-    sliced = visits.join(F.broadcast(hot), is_hot, "left").withColumn("slice", slice_of)
+    visits = slices(actions, tie_break, seed)
     in_slice = Window.partitionBy("session_id", "slice").orderBy("second", "tie")
-    inside = sliced.select(
+    inside = visits.select(
         F.col("page_id").alias("from_page"),
         F.lead("page_id").over(in_slice).alias("to_page"),
         F.lit(1).cast("bigint").alias("views"),
     )
-    ends = (
-        visits.join(F.broadcast(hot), is_hot, "left_semi")
-        .groupBy("session_id", "second")
-        .agg(F.min_by("page_id", "tie").alias("first_page"), F.max_by("page_id", "tie").alias("last_page"))
-    )
+    place = F.struct("second", "tie", "page_id")
+    ends = visits.groupBy("session_id", "slice").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     across = ends.select(
-        F.col("last_page").alias("from_page"),
-        F.lead("first_page").over(Window.partitionBy("session_id").orderBy("second")).alias("to_page"),
+        F.col("last.page_id").alias("from_page"),
+        F.lead("first.page_id").over(Window.partitionBy("session_id").orderBy("slice")).alias("to_page"),
         F.lit(0).cast("bigint").alias("views"),
     )
-    return inside.unionByName(across)
+    return inside.unionByName(across.where(F.col("to_page").isNotNull()))
 
 
 def transitions(steps: DataFrame) -> DataFrame:

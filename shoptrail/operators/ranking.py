@@ -18,17 +18,13 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group in ``order`` (which must be total), with their rank.
 
-    Below Spark's group-limit threshold the map side already cuts every group to ``n`` rows. Above it
-    each group is ranked in shards first, so no task ever sorts a whole hot group. A shard is made of
-    input partitions, which spreads even a group of identical rows.
+    Each group is ranked in shards first and then among the shards' first rows, so no task ever sorts a
+    whole hot group, whatever ``n`` is. A shard is made of input partitions, which spreads even a group of
+    identical rows.
     """
-    spark = df.sparkSession
-    limit_threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n >= limit_threshold:
-        sharded = df.withColumn("_shard", F.spark_partition_id() % salt_count(spark))
-        by_shard = Window.partitionBy(*keys, "_shard").orderBy(*order)
-        df = sharded.withColumn("_rank", F.row_number().over(by_shard)).where(F.col("_rank") <= n)
-        df = df.drop("_shard", "_rank")
+    sharded = df.withColumn("_shard", F.spark_partition_id() % salt_count(df.sparkSession))
+    by_shard = Window.partitionBy(*keys, "_shard").orderBy(*order)
+    first = sharded.withColumn("_rank", F.row_number().over(by_shard)).where(F.col("_rank") <= n).drop("_shard", "_rank")
     by_key = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(rank, F.row_number().over(by_key)).where(F.col(rank) <= n)
+    ranked = first.withColumn(rank, F.row_number().over(by_key)).where(F.col(rank) <= n)
     return ranked.withColumn(rank, F.col(rank).cast("bigint"))

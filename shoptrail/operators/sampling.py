@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
 from shoptrail.operators.ranking import salt_count
+from shoptrail.runtime import stored
 
 
 def hour_counts(sessions: DataFrame) -> DataFrame:
@@ -18,54 +19,46 @@ def hour_counts(sessions: DataFrame) -> DataFrame:
     return counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date")))
 
 
+def _days(counts: DataFrame) -> Column:
+    """The number of days, from an aggregate of its own."""
+    return counts.select(F.count_distinct("date").alias("days")).scalar()
+
+
 def with_day_count(counts: DataFrame) -> DataFrame:
-    """Hour counts with the number of days. The single window sees at most 24 rows a day."""
-    days = F.size(F.collect_set("date").over(Window.partitionBy())).cast("bigint")
-    return counts.withColumn("days", days)
+    """Hour counts with the number of days."""
+    return counts.withColumn("days", _days(counts))
 
 
-def extract(sessions: DataFrame, size: int, seed: int) -> DataFrame:
-    """Draw about ``size`` sessions without replacement, the same ones for the same seed.
+def draw(sessions: DataFrame, size: int, seed: int) -> DataFrame:
+    """Draw about ``size`` sessions without replacement, the same ones for the same seed: ids, date and hour.
 
-    An hour gets ``floor(its share of the day * floor(size / days))`` sessions, those with the lowest
-    seeded hash. Counts and ranks come from one pass: hours are ranked and counted in shards, and only
-    the first ``size`` rows of a shard go on, since no quota can exceed ``size``. Only rows within
-    their share of ``size`` reach the last window, at most ``size + 1`` per day.
+    An hour gets ``floor(its share of the day * floor(size / days))`` sessions, those with the lowest seeded
+    hash. The quotas come from counts; only id, hour and hash of the sessions are ranked, first in shards of
+    an hour, of which no more than the hour's quota goes on.
     """
     start = F.col("start_time")
-    drawn = sessions.select(
+    counts = stored(hour_counts(sessions), "hour-counts")
+    share = F.col("sessions").cast("double") / F.col("day_sessions")
+    quota = F.least(F.col("sessions"), (share * F.floor(F.lit(size) / _days(counts))).cast("bigint"))
+    quotas = stored(counts.select("date", "hour", quota.alias("quota")).where("quota > 0"), "hour-quotas")
+    lean = sessions.select(
         C.day_of(start).alias("date"),
         C.hour_of(start).alias("hour"),
-        F.pmod(F.xxhash64("session_id"), F.lit(salt_count(sessions.sparkSession))).alias("shard"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), "session_id")).alias("draw"),
         "session_id",
-        "start_time",
-        "search_keywords",
-        "click_category_ids",
+        F.md5(F.concat_ws(":", F.lit(str(seed)), "session_id")).alias("draw"),
+        F.pmod(F.xxhash64("session_id"), F.lit(salt_count(sessions.sparkSession))).alias("shard"),
     )
-    shard = Window.partitionBy("date", "hour", "shard")
-    hour = Window.partitionBy("date", "hour")
-    day = Window.partitionBy("date")
+    lean = lean.join(quotas, ["date", "hour"])
+    by_shard = Window.partitionBy("date", "hour", "shard").orderBy("draw", "session_id")
+    first = lean.withColumn("rank", F.row_number().over(by_shard)).where(F.col("rank") <= F.col("quota"))
+    by_hour = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
+    ranked = first.withColumn("rank", F.row_number().over(by_hour)).where(F.col("rank") <= F.col("quota"))
+    return ranked.select("date", "hour", "session_id")
 
-    in_shard = (
-        drawn.withColumn("shard_rank", F.row_number().over(shard.orderBy("draw", "session_id")))
-        .withColumn("shard_count", F.count(F.lit(1)).over(shard))
-        .where(F.col("shard_rank") <= size)
-    )
-    in_hour = (
-        in_shard.withColumn("rank", F.row_number().over(hour.orderBy("draw", "session_id")))
-        .withColumn("hour_count", F.sum(F.when(F.col("shard_rank") == 1, F.col("shard_count"))).over(hour))
-        .where(F.col("rank") <= size)
-    )
-    share = F.col("hour_count").cast("double") / F.col("day_count")
-    in_day = (
-        in_hour.withColumn("day_count", F.sum(F.when(F.col("rank") == 1, F.col("hour_count"))).over(day))
-        .withColumn("day_rank", F.row_number().over(day.orderBy("hour", "rank")))
-        .where((F.col("rank") <= share * size) | (F.col("day_rank") == 1))
-    )
-    quota = F.least(F.col("hour_count"), (share * F.floor(F.lit(size) / F.col("days"))).cast("bigint"))
-    return (
-        in_day.withColumn("days", F.count_if(F.col("day_rank") == 1).over(Window.partitionBy()))
-        .where(F.col("rank") <= quota)
-        .select("date", "hour", "session_id", "start_time", "search_keywords", "click_category_ids")
+
+def extract(drawn: DataFrame, details: DataFrame) -> DataFrame:
+    """The drawn sessions with start, keywords and categories, which ``details`` has for these or more sessions."""
+    shown = details.select("session_id", "start_time", "search_keywords", "click_category_ids")
+    return drawn.join(shown, "session_id").select(
+        "date", "hour", "session_id", "start_time", "search_keywords", "click_category_ids"
     )

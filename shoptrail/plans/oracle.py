@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from shoptrail.operators.sessions import STEP_BANDS, VISIT_BANDS
 from shoptrail.params import TaskParams
 
 _BASE = """
@@ -100,12 +99,12 @@ area_full AS (
 
 _ADS = """
 ev AS (
-  SELECT ts, user_id, CAST(props->>'k' AS BIGINT) AS k,
+  SELECT event_id, ts, user_id, CAST(props->>'k' AS BIGINT) AS k,
          CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS day_no,
          CAST((hour(ts) * 3600 + minute(ts) * 60) * 1000 + millisecond(ts) AS BIGINT) AS mod_ms
   FROM events),
 lines AS (
-  SELECT day_no * 86400000 + mod_ms // 24 AS ts_ms, CAST(n_regionkey AS VARCHAR) AS province,
+  SELECT event_id, day_no * 86400000 + mod_ms // 24 AS ts_ms, CAST(n_regionkey AS VARCHAR) AS province,
          CAST(n_nationkey AS VARCHAR) AS city, user_id, k % 5 AS adid
   FROM ev JOIN nation ON user_id % 25 = n_nationkey),
 clicks AS (
@@ -127,6 +126,25 @@ minutes AS (
   FROM good GROUP BY ALL)
 """
 
+# The bands, written out here so that a wrong edge in the operators shows.
+VISIT_BANDS = [
+    ("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+    ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None),
+]
+STEP_BANDS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]
+
+# The live application over the staged files: a user's clicks count up to and including the file with which an ad
+# of a day exceeds the threshold.
+_LIVE = """,
+numbered AS (
+  SELECT c.*, (event_id * {files}) // ((SELECT max(event_id) FROM events) + 1) AS file FROM clicks c),
+per_file AS (SELECT date, user_id, adid, file, count(*) AS n FROM numbered GROUP BY ALL),
+running AS (SELECT *, sum(n) OVER (PARTITION BY date, user_id, adid ORDER BY file) AS upto FROM per_file),
+last_file AS (SELECT user_id, min(file) AS last FROM running WHERE upto > {blacklist_threshold} GROUP BY user_id),
+admitted AS (
+  SELECT n.* FROM numbered n LEFT JOIN last_file l ON n.user_id = l.user_id WHERE l.last IS NULL OR n.file <= l.last)
+"""
+
 _SUMMARY_COLUMNS = "session_id, user_id, start_time, visit_length, step_length, search_keywords, click_category_ids"
 _PROFILE_COLUMNS = _SUMMARY_COLUMNS + ", age, professional, sex, city"
 
@@ -156,12 +174,13 @@ def _ratio_columns() -> str:
     return ", ".join(parts)
 
 
-def build(params: TaskParams, filters: dict[str, TaskParams]) -> dict[str, str]:
+def build(params: TaskParams, filters: dict[str, TaskParams], files: int) -> dict[str, str]:
     """SQL per query key. ``filters`` holds the parameters of the single-condition queries."""
     base = "WITH " + _BASE.format(
         start_date=params.start_date, end_date=params.end_date, start_age=params.start_age, end_age=params.end_age
     )
     ads = "WITH " + _ADS.format(blacklist_threshold=params.blacklist_threshold)
+    live = ads + _LIVE.format(files=files, blacklist_threshold=params.blacklist_threshold)
     flow = ", ".join(f"({i + 1}::BIGINT, {a}, {b})" for i, (a, b) in enumerate(zip(params.page_flow, params.page_flow[1:])))
     pages = base + _PAGES.format(flow=flow, first_page=params.page_flow[0])
     categories = base + _CATEGORIES
@@ -273,6 +292,27 @@ def build(params: TaskParams, filters: dict[str, TaskParams]) -> dict[str, str]:
            SELECT strftime(make_timestamp(start_minute * 60000000), '%Y-%m-%d %H:%M:%S') AS window_start, adid,
                   count(*) AS click_count FROM w GROUP BY start_minute, adid""",
     }
-    for key in ("ad_province_city_counts", "ad_province_top3", "ad_click_trend_minute", "ad_blacklist"):
+    for key in ("ad_province_city_counts", "ad_province_top3", "ad_click_trend_minute", "ad_blacklist", "ad_click_sliding_hour"):
         sql["stream_" + key] = sql[key]
+    sql["stream_ad_live_user_counts"] = (
+        live + "SELECT date, user_id, adid, count(*) AS click_count FROM admitted GROUP BY date, user_id, adid"
+    )
+    sql["stream_ad_live_province_top3"] = (
+        live
+        + """, p AS (SELECT date, province, adid, count(*) AS click_count FROM admitted GROUP BY ALL),
+           r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rank FROM p)
+           SELECT date, province, adid, click_count, rank FROM r WHERE rank <= 3"""
+    )
+    sql["session_filter_task_json"] = (
+        base
+        + f"""SELECT {_PROFILE_COLUMNS} FROM profiles WHERE age BETWEEN 25 AND 40 AND sex = 'female'
+             AND professional IN ('professional1', 'professional3', 'professional5')
+             AND list_has_any(cats, [1, 2, 3, 4, 5, 6, 7])"""
+    )
+    sql["actions_from_text"] = (
+        base
+        + """SELECT event_id, session_id, action_sec,
+             strftime(make_timestamp(action_sec * 1000000), '%Y-%m-%d_%H') AS date_hour,
+             strftime(make_timestamp(action_sec * 1000000), '%Y%m%d%H%M') AS minute_key FROM actions"""
+    )
     return sql

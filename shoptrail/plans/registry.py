@@ -8,18 +8,22 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail.functions import columns as C
 from shoptrail.operators import ads, areas, categories, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import oracle
 from shoptrail.runtime import stored
-from shoptrail.sources.tables import REGION_LEVELS, StarSchema
+from shoptrail.sources.streams import STAGED_FILES
+from shoptrail.sources.tables import REGION_LEVELS, StarSchema, visit_actions
 from shoptrail.streaming import products as stream_products
+from shoptrail.streaming.live import run_live
+from shoptrail.streaming.products import user_ad_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARAMS = TaskParams(
-    start_date="2024-01-01",
-    end_date="2024-01-30",
+    start_date="2024-01-05",
+    end_date="2024-01-24",
     start_age=20,
     end_age=50,
     page_flow=(1, 2, 3, 4, 5, 6, 7),
@@ -45,6 +49,9 @@ FILTERS = {
     ),
 }
 
+TASK_JSON = """{startDate:"2024-01-05", endDate:"2024-01-24", startAge:25, endAge:40, sex:"female",
+professionals:"professional1,professional3,professional5", cities:"", keywords:"", categoryIds:"1,2,3,4,5,6,7"}"""
+
 _QUERIES: dict[str, Query] = {}
 _AD_COLUMNS = ["ts_ms", "date", "province", "city", "user_id", "adid"]
 
@@ -54,15 +61,20 @@ def _query(function: Query) -> Query:
 
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        # Expressions take their zone when they are analysed, so it need not stay set.
+        before = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, folder)
+        try:
+            return function(spark, folder)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
 
     _QUERIES[function.__name__] = run
     return run
 
 
 def _time_text(name: str):
-    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+    return C.time_text(F.col(name)).alias(name)
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -148,7 +160,10 @@ def session_hour_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def session_random_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(sampling.extract(_kept_sessions(spark, folder), PARAMS.sample_size, PARAMS.seed))
+    """Keywords and categories are gathered for the drawn sessions alone."""
+    drawn = stored(sampling.draw(_kept_sessions(spark, folder), PARAMS.sample_size, PARAMS.seed), "drawn-sessions")
+    actions = sessions.actions_of(StarSchema(spark, folder).actions(PARAMS), drawn.select("session_id"))
+    return _shown(sampling.extract(drawn, sessions.roll_up(actions)))
 
 
 @_query
@@ -265,6 +280,28 @@ def ad_click_sliding_hour(spark: SparkSession, folder: str) -> DataFrame:
     return slid.withColumn("window_start", _time_text("window_start"))
 
 
+@_query
+def session_filter_task_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The parameters as a task description gives them."""
+    return _kept_sessions(spark, folder, TaskParams.from_json(spark, TASK_JSON))
+
+
+@_query
+def actions_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Times as the catalog may hold them: text, with one-digit hours."""
+    actions = StarSchema(spark, folder).actions(PARAMS)
+    as_text = actions.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd H:mm:ss"))
+    as_text.createOrReplaceTempView("visit_actions_as_text")
+    time = F.col("action_time")
+    return visit_actions(spark, "visit_actions_as_text").select(
+        "event_id",
+        "session_id",
+        F.unix_timestamp(time).alias("action_sec"),
+        C.date_hour(time).alias("date_hour"),
+        C.minute_key(time).alias("minute_key"),
+    )
+
+
 @_query
 def stream_ad_province_city_counts(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.place_counts(spark, folder, _stored_blacklist(spark, folder))
@@ -280,14 +317,31 @@ def stream_ad_click_trend_minute(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.minute_counts(spark, folder, _stored_blacklist(spark, folder))
 
 
+@_query
+def stream_ad_click_sliding_hour(spark: SparkSession, folder: str) -> DataFrame:
+    slid = stream_products.sliding_hour(spark, folder, _stored_blacklist(spark, folder))
+    return slid.withColumn("window_start", _time_text("window_start"))
+
+
 @_query
 def stream_ad_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.blacklist(spark, folder, PARAMS.blacklist_threshold)
 
 
+@_query
+def stream_ad_live_user_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole application with its feedback: clicks of listed users stop counting with the next file."""
+    return user_ad_counts(spark, run_live(spark, folder, PARAMS))
+
+
+@_query
+def stream_ad_live_province_top3(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_products.top_rows(spark, run_live(spark, folder, PARAMS))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.build(PARAMS, FILTERS)
+    return oracle.build(PARAMS, FILTERS, STAGED_FILES)

@@ -1,4 +1,7 @@
-"""The finished reports: column layout of each result table, and the jobs that fill them."""
+"""The finished reports: column layout of each result table, and the jobs that fill them.
+
+Names of result tables and columns are fixed values: whoever reads the reports relies on them.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from shoptrail.functions import predicates as P
 from shoptrail.operators import areas, categories, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
-from shoptrail.runtime import stored
+from shoptrail.runtime import stored, temporary_tables
 
 Sink = Callable[[DataFrame, str], None]
 
@@ -26,7 +29,7 @@ def session_stat_ratio(kept: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def session_extract(kept: DataFrame, params: TaskParams) -> DataFrame:
-    drawn = sampling.extract(kept, params.sample_size, params.seed)
+    drawn = sampling.extract(stored(sampling.draw(kept, params.sample_size, params.seed), "drawn-sessions"), kept)
     return _report(
         drawn,
         params,
@@ -84,23 +87,28 @@ def run_session_job(actions: DataFrame, users: DataFrame, params: TaskParams, si
     The matching sessions feed all four, so they are written to the shared folder once; the counters are
     observed while that happens. The popular categories are stored as well, a few rows.
     """
-    actions = P.in_period(actions, params)
-    counters = Observation("session counters")
-    kept = stored(sessions.observed(sessions.matching(actions, users, params), counters), "sessions")
-    sink(session_stat_ratio(kept, params), "session_stat_ratio")
-    sink(session_extract(kept, params), "session_extract")
-    counted = categories.counts(sessions.actions_of(actions, kept))
-    popular = stored(categories.top(counted, params.top_categories), "top-categories")
-    sink(top_categories(popular, params), "top_categories")
-    ranked = categories.top_sessions(actions, popular, params.top_sessions, kept)
-    sink(top_sessions_per_category(ranked, params), "top_sessions_per_category")
-    return counters.get
-
-
-def run_page_flow_job(actions: DataFrame, params: TaskParams, sink: Sink, tie_break: str = "page_id") -> None:
-    """Fill the page conversion report."""
-    steps = pageflow.page_steps(P.in_period(actions, params), tie_break)
-    sink(page_skip_ratio(pageflow.conversion(steps, params.page_flow), params), "page_skip_ratio")
+    with temporary_tables(actions.sparkSession):
+        actions = P.in_period(actions, params)
+        counters = Observation("session counters")
+        kept = stored(sessions.observed(sessions.matching(actions, users, params), counters), "sessions")
+        sink(session_stat_ratio(kept, params), "session_stat_ratio")
+        sink(session_extract(kept, params), "session_extract")
+        counted = categories.counts(sessions.actions_of(actions, kept))
+        popular = stored(categories.top(counted, params.top_categories), "top-categories")
+        sink(top_categories(popular, params), "top_categories")
+        ranked = categories.top_sessions(actions, popular, params.top_sessions, kept)
+        sink(top_sessions_per_category(ranked, params), "top_sessions_per_category")
+        return counters.get
+
+
+def run_page_flow_job(actions: DataFrame, params: TaskParams, sink: Sink, tie_break: str | None = None) -> None:
+    """Fill the page conversion report.
+
+    Visits of one second are ordered by the column ``tie_break`` or, without one, by a seeded hash of the row.
+    """
+    with temporary_tables(actions.sparkSession):
+        steps = pageflow.page_steps(P.in_period(actions, params), tie_break, params.seed)
+        sink(page_skip_ratio(pageflow.conversion(steps, params.page_flow), params), "page_skip_ratio")
 
 
 def run_area_job(

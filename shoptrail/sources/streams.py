@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail.runtime import remove_at_exit, work_folder
 from shoptrail.sources.tables import EVENTS_SCHEMA, StarSchema, ad_lines_from_events
 
 FILES_PER_BATCH = 1_000
+# Files, and so micro-batches, into which the registered streams cut their input.
+STAGED_FILES = 6
 
 
 def kafka_lines(spark: SparkSession, brokers: str, topics: str, starting_offsets: str = "latest", **options) -> DataFrame:
@@ -30,14 +33,25 @@ def file_lines(spark: SparkSession, folder: str, fmt: str = "text", files_per_ba
     return reader.schema("value string").load(folder)
 
 
-def star_schema_lines(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Lines derived from the ``events`` table of the test schema, read as a stream.
+def staged_events(spark: SparkSession, folder: str, files: int = STAGED_FILES) -> str:
+    """A folder with the ``events`` of the test schema in ``files`` files, written one after the other by event id.
 
-    The table is a file or a folder of files. A stream takes a single file only by pattern.
+    File streams take files in order of their modification time, so a stream meets the events in order.
     """
-    events = (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{folder}/events.parque[t]")
-    )
+    events = StarSchema(spark, folder).events()
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    staged = work_folder(spark, "staged-events")
+    for number in range(files):
+        # The ids of file k are those with floor(id * files / (last + 1)) = k.
+        low, high = (-(-k * (last + 1) // files) for k in (number, number + 1))
+        part = events.where((F.col("event_id") >= low) & (F.col("event_id") < high))
+        part.coalesce(1).write.mode("append").parquet(staged)
+    remove_at_exit(spark, staged)
+    return staged
+
+
+def star_schema_lines(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+    """Ad click lines derived from the ``events`` table of the test schema, as a stream of several micro-batches."""
+    staged = staged_events(spark, folder)
+    events = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(staged)
     return ad_lines_from_events(events, StarSchema(spark, folder).nation_regions())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
@@ -56,12 +56,20 @@ def city_areas(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITY_AREAS, "city_id bigint, city_name string, area string")
 
 
-def visit_actions(spark: SparkSession, table: str = "user_visit_action") -> DataFrame:
-    """The visit log of the catalog, with ``action_time`` as timestamp."""
+def visit_actions(
+    spark: SparkSession, table: str = "user_visit_action", observation: Observation | None = None
+) -> DataFrame:
+    """The visit log of the catalog, with ``action_time`` as timestamp. Rows with an unreadable time drop out.
+
+    With ``observation`` the numbers of rows and of unreadable times are reported beside the result.
+    """
     actions = spark.table(table)
     if dict(actions.dtypes)["action_time"] == "string":
         actions = actions.withColumn("action_time", C.parse_time(F.col("action_time")))
-    return actions
+    if observation is not None:
+        unreadable = F.count_if(F.col("action_time").isNull()).alias("unreadable")
+        actions = actions.observe(observation, F.count(F.lit(1)).alias("rows"), unreadable)
+    return actions.where(F.col("action_time").isNotNull())
 
 
 def user_info(spark: SparkSession, table: str = "user_info") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shoptrail.operators import ads
 from shoptrail.params import TaskParams
+from shoptrail.runtime import remove_at_exit, work_folder
+from shoptrail.sources.streams import star_schema_lines
 from shoptrail.streaming import products
 
 
@@ -20,3 +22,11 @@ def start_ad_statistics(
     """
     write = products.write_everything(folder, params.blacklist_threshold, params.top_ads)
     return products.start(ads.parse(lines), write, folder, interval=interval)
+
+
+def run_live(spark: SparkSession, tables: str, params: TaskParams) -> str:
+    """Run the application over the test tables' clicks to their end; returns the folder of its results."""
+    folder = work_folder(spark, "live")
+    start_ad_statistics(star_schema_lines(spark, tables), folder, params, interval=None).awaitTermination()
+    remove_at_exit(spark, folder)
+    return folder

@@ -1,4 +1,8 @@
-"""The advertising statistics as Structured Streaming queries over ad click lines."""
+"""The advertising statistics as Structured Streaming queries over ad click lines.
+
+Counts are stored as increments per micro-batch, so the streams keep no state, late clicks count, and a batch that is
+delivered again changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -9,14 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoptrail.operators import ads
-from shoptrail.runtime import work_folder
+from shoptrail.runtime import remove_at_exit, work_folder
 from shoptrail.sources.streams import star_schema_lines
-from shoptrail.streaming.sinks import COMPACT_EVERY, BatchLog, replace_groups
+from shoptrail.streaming.sinks import Increments, replace_days
 
-PLACE_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
-MINUTE_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
-USER_AD_SCHEMA = "date string, user_id bigint, adid bigint, click_count bigint"
-TOP_SCHEMA = "adid bigint, click_count bigint, rank bigint, date string, province string"
+PLACE_SCHEMA = "province string, city string, adid bigint, click_count bigint, date string"
+MINUTE_SCHEMA = "hour string, minute string, adid bigint, click_count bigint, date string"
+USER_AD_SCHEMA = "user_id bigint, adid bigint, click_count bigint, date string"
+LISTED_SCHEMA = "user_id bigint, date string"
+TOP_SCHEMA = "province string, adid bigint, click_count bigint, rank bigint, date string"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -31,83 +36,76 @@ def start(stream: DataFrame, write: BatchWriter, folder: str, mode: str = "appen
     return writer.trigger(**trigger).foreachBatch(write).start()
 
 
-def running_place_log(spark: SparkSession, folder: str) -> BatchLog:
-    return BatchLog(spark, f"{folder}/running_place_counts", PLACE_SCHEMA, ads.PLACE_AD, "click_count", newest=True)
+def _places(spark: SparkSession, folder: str) -> Increments:
+    return Increments(spark, f"{folder}/place_counts", PLACE_SCHEMA)
 
 
-def place_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
-    path = f"{folder}/place_counts"
-    return BatchLog(spark, path, PLACE_SCHEMA, ads.PLACE_AD, "click_count", compact_every=compact_every)
+def _minutes(spark: SparkSession, folder: str) -> Increments:
+    return Increments(spark, f"{folder}/minute_counts", MINUTE_SCHEMA)
 
 
-def minute_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
-    path = f"{folder}/minute_counts"
-    return BatchLog(spark, path, MINUTE_SCHEMA, ads.MINUTE_AD, "click_count", compact_every=compact_every)
+def _user_ads(spark: SparkSession, folder: str) -> Increments:
+    return Increments(spark, f"{folder}/user_ad_counts", USER_AD_SCHEMA)
 
 
-def user_ad_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
-    path = f"{folder}/user_ad_counts"
-    return BatchLog(spark, path, USER_AD_SCHEMA, ads.USER_AD, "click_count", compact_every=compact_every)
+def _listed(spark: SparkSession, folder: str) -> Increments:
+    """Listed users with the day of the click count that listed them."""
+    return Increments(spark, f"{folder}/blacklist", LISTED_SCHEMA)
 
 
-def listed_log(spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY) -> BatchLog:
-    return BatchLog(spark, f"{folder}/blacklist", "user_id bigint", ["user_id"], compact_every=compact_every)
+def place_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _places(spark, folder).totals(ads.PLACE_AD)
 
 
-def top_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(TOP_SCHEMA).parquet(f"{folder}/province_top")
+def minute_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _minutes(spark, folder).totals(ads.MINUTE_AD)
 
 
-def running_place_counts(clicks: DataFrame, keep_days: str | None = None) -> DataFrame:
-    """Running clicks per place and ad, kept as stream state.
+def user_ad_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _user_ads(spark, folder).totals(ads.USER_AD)
 
-    With ``keep_days``, a watermark delay such as ``"2 days"``, days that lie further back leave the
-    state, and clicks that arrive for them later are not counted any more. Without it nothing is ever
-    evicted and every click counts.
-    """
-    if keep_days is None:
-        return ads.place_counts(clicks)
-    by_day = clicks.withWatermark("ts", keep_days).groupBy(F.window("ts", "1 day"), "province", "city", "adid")
-    day = F.to_date("window.start").cast("string").alias("date")
-    return by_day.agg(F.count(F.lit(1)).alias("click_count")).select(day, "province", "city", "adid", "click_count")
 
+def listed_users(spark: SparkSession, folder: str) -> DataFrame:
+    return _listed(spark, folder).rows().select("user_id").distinct()
 
-def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
-    """Clicks per ad and sliding window of click time. Clicks later than ``lateness`` are not counted."""
-    windows = clicks.withWatermark("ts", lateness).groupBy(F.window("ts", length, slide), "adid")
-    return windows.agg(F.count(F.lit(1)).alias("click_count")).select(
-        F.col("window.start").alias("window_start"), "adid", "click_count"
-    )
 
+def top_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(TOP_SCHEMA).parquet(f"{folder}/province_top")
 
-def write_place_counts(folder: str) -> BatchWriter:
-    """Store the changed running counts; the newest batch wins."""
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        running_place_log(changed.sparkSession, folder).write(changed, batch_id)
+def batches(spark: SparkSession, folder: str, table: str) -> list[int]:
+    """Numbers of the batches that wrote to a table."""
+    rows = spark.read.parquet(f"{folder}/{table}").select("batch_id").distinct()
+    return sorted(r["batch_id"] for r in rows.collect())
 
-    return write
 
+def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
+    """Clicks per ad and sliding window of click time, as stream state. Clicks later than ``lateness`` are not counted.
 
-def _of_same_days(rows: DataFrame, changed: DataFrame) -> DataFrame:
-    """Rows of the days that occur in ``changed``. The days, a handful, prune the files that are read."""
-    days = [r["date"] for r in changed.select("date").distinct().collect()]
-    return rows.where(F.col("date").isin(days))
+    Clicks are counted per minute first, so only the minutes are copied into their windows. A window comes out once
+    the watermark has passed it.
+    """
+    minutes = clicks.withWatermark("ts", lateness).groupBy(F.window("ts", "1 minute"), "adid")
+    minutes = minutes.agg(F.count(F.lit(1)).alias("n")).select(F.window_time("window").alias("time"), "adid", "n")
+    windows = minutes.groupBy(F.window("time", length, slide), "adid").agg(F.sum("n").alias("click_count"))
+    return windows.select(F.col("window.start").alias("window_start"), "adid", "click_count")
 
 
-def update_province_top(
-    clicks: DataFrame, batch_id: int, folder: str, n: int, compact_every: int = COMPACT_EVERY
-) -> None:
-    """Add a batch's counts per place and rank again the days and provinces it touches.
+def write_place_counts(folder: str) -> BatchWriter:
+    def write(clicks: DataFrame, batch_id: int) -> None:
+        _places(clicks.sparkSession, folder).write(ads.place_counts(clicks), batch_id)
 
-    All other groups stay as they are. The counts are increments, so clicks may come in any order.
-    """
-    places = place_log(clicks.sparkSession, folder, compact_every)
+    return write
+
+
+def update_province_top(clicks: DataFrame, batch_id: int, folder: str, n: int) -> None:
+    """Add a batch's counts per place and rank again the days it touches. All other days stay as they are."""
+    places = _places(clicks.sparkSession, folder)
     places.write(ads.place_counts(clicks), batch_id)
-    changed = places.batch(batch_id)
-    touched = changed.select("date", "province").distinct()
-    current = _of_same_days(places.merged(batch_id), changed).join(touched, ["date", "province"], "left_semi")
-    replace_groups(ads.province_top(current, n), f"{folder}/province_top", ["date", "province"])
+    days = places.batch(batch_id).select("date").distinct()
+    of_days = places.rows(batch_id).join(days, "date", "left_semi")
+    counts = of_days.groupBy(*ads.PLACE_AD).agg(F.sum("click_count").alias("click_count"))
+    replace_days(ads.province_top(counts, n), f"{folder}/province_top")
 
 
 def write_province_top(folder: str, n: int) -> BatchWriter:
@@ -121,26 +119,26 @@ def write_minute_counts(folder: str) -> BatchWriter:
     """Store each batch's counts per minute; batches add up, so late clicks count as well."""
 
     def write(clicks: DataFrame, batch_id: int) -> None:
-        minute_log(clicks.sparkSession, folder).write(ads.minute_counts(clicks), batch_id)
+        _minutes(clicks.sparkSession, folder).write(ads.minute_counts(clicks), batch_id)
 
     return write
 
 
-def update_blacklist(
-    clicks: DataFrame, batch_id: int, folder: str, threshold: int, compact_every: int = COMPACT_EVERY
-) -> DataFrame:
+def update_blacklist(clicks: DataFrame, batch_id: int, folder: str, threshold: int) -> DataFrame:
     """Filter a batch by the list so far, add up its counts and list new offenders.
 
     The list is read afresh for each batch. Only rows of earlier batches count as known, so a batch
     that is delivered again gives the same result. Returns the admitted clicks, which stay lazy.
     """
     spark = clicks.sparkSession
-    listed, counts = listed_log(spark, folder, compact_every), user_ad_log(spark, folder, compact_every)
-    known = listed.rows(batch_id - 1).select("user_id")
+    listed, counts = _listed(spark, folder), _user_ads(spark, folder)
+    known = listed.rows(batch_id - 1).select("user_id").distinct()
     counts.write(ads.without_listed(ads.user_ad_counts(clicks), known), batch_id)
     changed = counts.batch(batch_id).select(*ads.USER_AD)
-    totals = _of_same_days(counts.merged(batch_id), changed).join(changed, ads.USER_AD, "left_semi")
-    listed.write(ads.without_listed(ads.blacklist(totals, threshold), known), batch_id)
+    totals = counts.rows(batch_id).join(changed.select("date").distinct(), "date", "left_semi")
+    totals = totals.join(changed, ads.USER_AD, "left_semi").groupBy(*ads.USER_AD).agg(F.sum("click_count").alias("click_count"))
+    new = totals.where(F.col("click_count") > threshold).groupBy("user_id").agg(F.min("date").alias("date"))
+    listed.write(ads.without_listed(new, known), batch_id)
     return ads.without_listed(clicks, known)
 
 
@@ -151,54 +149,51 @@ def write_blacklist(folder: str, threshold: int) -> BatchWriter:
     return write
 
 
-def write_everything(
-    folder: str, threshold: int, top_ads: int, compact_every: int = COMPACT_EVERY
-) -> BatchWriter:
-    """All advertising statistics from one pass over the stream.
-
-    Counts are stored as increments, so the stream itself keeps no state that could grow.
-    """
+def write_everything(folder: str, threshold: int, top_ads: int) -> BatchWriter:
+    """All advertising statistics from one pass over the stream."""
 
     def write(clicks: DataFrame, batch_id: int) -> None:
         clicks = clicks.persist()
         try:
-            admitted = update_blacklist(clicks, batch_id, folder, threshold, compact_every)
-            update_province_top(admitted, batch_id, folder, top_ads, compact_every)
-            minutes = minute_log(clicks.sparkSession, folder, compact_every)
-            minutes.write(ads.minute_counts(admitted), batch_id)
+            admitted = update_blacklist(clicks, batch_id, folder, threshold)
+            update_province_top(admitted, batch_id, folder, top_ads)
+            _minutes(clicks.sparkSession, folder).write(ads.minute_counts(admitted), batch_id)
         finally:
             clicks.unpersist()
 
     return write
 
 
-def _good_clicks(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
-    return ads.without_listed(ads.parse(star_schema_lines(spark, tables)), listed)
+def _run(spark: SparkSession, tables: str, purpose: str, writer: Callable[[str], BatchWriter], listed: DataFrame | None = None) -> str:
+    """Run the stream over the test tables to its end; returns the folder of its results."""
+    folder = work_folder(spark, purpose)
+    clicks = ads.parse(star_schema_lines(spark, tables))
+    if listed is not None:
+        clicks = ads.without_listed(clicks, listed)
+    start(clicks, writer(folder), folder).awaitTermination()
+    remove_at_exit(spark, folder)
+    return folder
 
 
 def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
-    folder = work_folder(spark, "place-counts")
-    clicks = ads.without_listed_static(ads.parse(star_schema_lines(spark, tables)), listed)
-    start(running_place_counts(clicks), write_place_counts(folder), folder, "update").awaitTermination()
-    return running_place_log(spark, folder).merged()
+    return place_totals(spark, _run(spark, tables, "place-counts", write_place_counts, listed))
 
 
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
-    folder = work_folder(spark, "province-top")
-    clicks = _good_clicks(spark, tables, listed)
-    start(clicks, write_province_top(folder, n), folder).awaitTermination()
-    return top_rows(spark, folder)
+    return top_rows(spark, _run(spark, tables, "province-top", lambda folder: write_province_top(folder, n), listed))
 
 
 def minute_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
-    folder = work_folder(spark, "minute-counts")
-    clicks = _good_clicks(spark, tables, listed)
-    start(clicks, write_minute_counts(folder), folder).awaitTermination()
-    return minute_log(spark, folder).merged()
+    return minute_totals(spark, _run(spark, tables, "minute-counts", write_minute_counts, listed))
+
+
+def sliding_hour(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
+    """Sliding windows from the stream's minute counts: no window is kept as state, and no click comes too late."""
+    totals = minute_totals(spark, _run(spark, tables, "minute-counts", write_minute_counts, listed))
+    start_time = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
+    minute = F.floor(F.unix_timestamp(start_time) / 60).alias("minute")
+    return ads.slide(totals.select("adid", minute, F.col("click_count").alias("n")))
 
 
 def blacklist(spark: SparkSession, tables: str, threshold: int) -> DataFrame:
-    folder = work_folder(spark, "blacklist")
-    clicks = ads.parse(star_schema_lines(spark, tables))
-    start(clicks, write_blacklist(folder, threshold), folder).awaitTermination()
-    return listed_log(spark, folder).rows().select("user_id")
+    return listed_users(spark, _run(spark, tables, "blacklist", lambda folder: write_blacklist(folder, threshold)))

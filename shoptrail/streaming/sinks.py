@@ -1,4 +1,9 @@
-"""Sinks of micro-batches. A batch that is delivered again replaces its own rows, nothing else."""
+"""Sinks of micro-batches: plain Parquet tables, partitioned by day and batch.
+
+A batch writes its own increments; one that is delivered again replaces its partitions, nothing else, and readers add up.
+Use one table per checkpoint, since batch numbers belong to the checkpoint. Days that are over can be rewritten into one
+partition by an ordinary job while the stream is stopped.
+"""
 
 from __future__ import annotations
 
@@ -7,95 +12,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.runtime import child_names, path_exists
-
+from shoptrail.runtime import path_exists
 
-COMPACT_EVERY = 100
 
+def _replace_partitions(df: DataFrame, folder: str, *partitions: str) -> None:
+    """Replace the partitions that occur in ``df`` and leave all others; one file each."""
+    writer = df.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(folder)
 
-class BatchLog:
-    """A keyed table kept as one folder of rows per micro-batch and merged when read.
 
-    Writing costs only the rows of the batch. The value is an increment, where all batches add up, or
-    with ``newest`` a running figure, where the newest batch wins; without a value only the keys count.
-    After every ``compact_every`` batches all rows so far are merged into a snapshot, so that readers
-    skip the older folders. Use one log per checkpoint, since batch numbers belong to the checkpoint.
-    """
+class Increments:
+    """Rows per micro-batch, with a ``date`` column that the files are laid out by."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: str,
-        keys: Sequence[str],
-        value: str | None = None,
-        newest: bool = False,
-        compact_every: int = COMPACT_EVERY,
-    ):
-        self.spark = spark
-        self.path = path
-        self.schema = f"{schema}, batch_id bigint"
-        self.keys = list(keys)
-        self.value = value
-        self.newest = newest
-        self.compact_every = compact_every
+    def __init__(self, spark: SparkSession, folder: str, schema: str):
+        self.spark, self.folder, self.schema = spark, folder, f"{schema}, batch_id bigint"
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
-        if (batch_id + 1) % self.compact_every == 0:
-            self._snapshot(batch_id)
-
-    def _numbers(self, kind: str, name: str, through: int | None) -> list[int]:
-        numbers = [int(n.split("=")[1]) for n in child_names(self.spark, f"{self.path}/{kind}") if n.startswith(f"{name}=")]
-        return sorted(n for n in numbers if through is None or n <= through)
-
-    def _complete(self, folder: str) -> bool:
-        return path_exists(self.spark, f"{folder}/_SUCCESS")
-
-    def batch(self, batch_id: int) -> DataFrame:
-        """The rows of one batch."""
-        return self._read_batches([batch_id])
-
-    def _read_batches(self, numbers: list[int]) -> DataFrame:
-        folder = f"{self.path}/batches"
-        reader = self.spark.read.schema(self.schema).option("basePath", folder)
-        return reader.parquet(*[f"{folder}/batch_id={n}" for n in numbers])
+        _replace_partitions(df.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.folder, "date", "batch_id")
 
     def rows(self, through: int | None = None) -> DataFrame:
-        """All rows of complete batches up to and including ``through``, from the last snapshot on."""
-        base, parts = -1, []
-        for number in reversed(self._numbers("snapshots", "through", through)):
-            folder = f"{self.path}/snapshots/through={number}"
-            if self._complete(folder):
-                base = number
-                parts.append(self.spark.read.schema(self.schema).parquet(folder))
-                break
-        later = [n for n in self._numbers("batches", "batch_id", through) if n > base]
-        later = [n for n in later if self._complete(f"{self.path}/batches/batch_id={n}")]
-        if later:
-            parts.append(self._read_batches(later))
-        if not parts:
+        """All rows of batches up to and including ``through``; the partition filter spares the other files."""
+        if not path_exists(self.spark, self.folder):
             return self.spark.createDataFrame([], self.schema)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        rows = self.spark.read.schema(self.schema).parquet(self.folder)
+        return rows if through is None else rows.where(F.col("batch_id") <= through)
 
-    def merged(self, through: int | None = None) -> DataFrame:
-        """One row per key, from all batches up to and including ``through``."""
-        return self._merge(self.rows(through)).drop("batch_id")
-
-    def _merge(self, rows: DataFrame) -> DataFrame:
-        values = []
-        if self.value:
-            merge = F.max_by(self.value, "batch_id") if self.newest else F.sum(self.value)
-            values.append(merge.alias(self.value))
-        return rows.groupBy(*self.keys).agg(*values, F.max("batch_id").alias("batch_id"))
+    def batch(self, batch_id: int) -> DataFrame:
+        return self.rows().where(F.col("batch_id") == batch_id)
 
-    def _snapshot(self, through: int) -> None:
-        target = f"{self.path}/snapshots/through={through}"
-        if not self._complete(target):
-            self._merge(self.rows(through)).repartitionByRange(*self.keys).write.mode("overwrite").parquet(target)
+    def totals(self, keys: Sequence[str], through: int | None = None, value: str = "click_count") -> DataFrame:
+        """Sums per key over all batches up to and including ``through``."""
+        return self.rows(through).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def replace_groups(df: DataFrame, folder: str, group: Sequence[str]) -> None:
-    """Replace the groups that occur in ``df`` and leave all others."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*group).parquet(folder)
+def replace_days(df: DataFrame, folder: str) -> None:
+    """Replace the days that occur in ``df`` and leave all others."""
+    _replace_partitions(df, folder, "date")

@@ -26,20 +26,61 @@ def random_rows(n, seed):
     ]
 
 
-@pytest.mark.parametrize("hot_actions", [0, 30, 10**6])
-def test_transitions_match_brute_force_whichever_sessions_are_cut(spark, hot_actions):
+@pytest.fixture(params=[1, 4, 60])
+def partitions(spark, request):
+    """Into how many slices the visits are cut; 60 cut every session of the small tables."""
+    keys = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("tie_break", ["event_id", None])
+def test_transitions_match_brute_force_whichever_sessions_are_cut(spark, partitions, tie_break):
     rows = random_rows(400, seed=3)
-    steps = pageflow.page_steps(frame(spark, rows), hot_actions=hot_actions)
+    if tie_break is None:  # the order inside a second is open: leave one visit per second
+        rows = list({(r[3], r[5]): r for r in rows}.values())
+    steps = pageflow.page_steps(frame(spark, rows), tie_break)
     found = {(r.from_page, r.to_page): r.transitions for r in pageflow.transitions(steps).collect()}
     assert found == brute_force(rows)
-    assert steps.selectExpr("sum(views)").first()[0] == 400
-
-
-@pytest.mark.parametrize("hot_actions", [0, 10**6])
-def test_conversion_along_flow(spark, hot_actions):
+    assert steps.selectExpr("sum(views)").first()[0] == len(rows)
+
+
+def test_no_slice_holds_a_whole_hot_session(spark):
+    """1,500 sessions of 400 actions and one of two million actions in one second, in 64 slices."""
+    hot = spark.range(0, 2_000_000, 1, 8).selectExpr("'hot' as session_id", "0L as at", "id as event_id")
+    others = spark.range(0, 600_000, 1, 8).selectExpr("concat('s', id % 1500) as session_id", "id div 1500 as at", "id + 2000000 as event_id")
+    actions = hot.union(others).selectExpr("session_id", "event_id % 7 as page_id", "timestamp_seconds(1704067200 + at) as action_time", "event_id")
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        cut = pageflow.slices(actions)
+        sizes = cut.groupBy("session_id", "slice").count()
+        assert sizes.agg({"count": "max"}).first()[0] < 200_000
+        steps = pageflow.page_steps(actions)
+        found = {(r.from_page, r.to_page): r.transitions for r in pageflow.transitions(steps).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(found.values()) == 2_000_000 - 1 + 600_000 - 1500
+    assert sum(n for (a, b), n in found.items() if b == (a + 1) % 7) >= 2_000_000 - 1
+
+
+def test_no_page_is_preferred_within_a_second(spark):
+    rows = [action(2 * i + k, f"s{i}", 0, page=p) for i in range(400) for k, p in enumerate((2, 1))]
+    found = {(r.from_page, r.to_page): r.transitions for r in pageflow.transitions(pageflow.page_steps(frame(spark, rows), None)).collect()}
+    assert set(found) == {(1, 2), (2, 1)} and min(found.values()) > 120
+
+
+def test_conversion_along_flow(spark, partitions):
     pages = [1, 2, 3, 1, 2, 9, 1]
     rows = [action(i, "s", i, page=p) for i, p in enumerate(pages)]
-    steps = pageflow.page_steps(frame(spark, rows), hot_actions=hot_actions)
+    steps = pageflow.page_steps(frame(spark, rows))
     converted = pageflow.conversion(steps, (1, 2, 3, 4, 5))
     assert [tuple(r) for r in converted.orderBy("step").collect()] == [
         (1, "1_2", 2, 3, 2 / 3),

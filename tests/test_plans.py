@@ -2,14 +2,17 @@
 
 import pytest
 
-import __spark_entry__ as entry_point
-from shoptrail.operators import sessions
+from shoptrail import runtime
+from shoptrail.operators import ads, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import registry
+from shoptrail.sources.streams import STAGED_FILES
 from shoptrail.sources.tables import StarSchema
+from shoptrail.streaming import sinks as stream_sinks
 
 FOLDER = "/root/testdata/sf0.001"
-BATCH = sorted(k for k in entry_point.queries() if not k.startswith("stream_"))
+QUERIES = registry.queries()
+BATCH = sorted(k for k in QUERIES if not k.startswith("stream_"))
 
 
 def physical_plan(df):
@@ -22,14 +25,55 @@ def event_scans(plan):
 
 @pytest.mark.parametrize("key", BATCH)
 def test_no_cross_join_and_no_python(spark, key):
-    plan = physical_plan(entry_point.queries()[key](spark, FOLDER))
+    plan = physical_plan(QUERIES[key](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow", "Scan ExistingRDD"):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("key", [k for k in BATCH if not k.startswith("ad_")])
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow")
+
+
+@pytest.fixture
+def seen(monkeypatch):
+    """Plans of the tables that a query stores before it returns, and of a stream's micro-batches."""
+    plans = []
+
+    def keep(df, purpose, real=runtime.stored):
+        plans.append(physical_plan(df))
+        return real(df, purpose)
+
+    def keep_partitions(df, folder, *names, real=stream_sinks._replace_partitions):
+        plans.append(physical_plan(df))
+        real(df, folder, *names)
+
+    for module in (registry, ads, pageflow, sampling):
+        monkeypatch.setattr(module, "stored", keep)
+    monkeypatch.setattr(stream_sinks, "_replace_partitions", keep_partitions)
+    return plans
+
+
+@pytest.mark.parametrize("key", ["category_top10_sessions", "page_flow_conversion", "session_random_extract", "ad_blacklist_replay",
+                                 "stream_ad_province_city_counts", "stream_ad_live_province_top3"])
+def test_stored_parts_and_batches_have_good_plans(spark, seen, key):
+    QUERIES[key](spark, FOLDER).collect()
+    assert len(seen) >= (STAGED_FILES if key.startswith("stream_") else 1)
+    for plan in seen:
+        assert not [operator for operator in UNWANTED if operator in plan]
+    if key.startswith(("category", "session")):
+        scans = [s for plan in seen for s in event_scans(plan)]
+        assert scans and all("GreaterThanOrEqual(ts" in s and "LessThan(ts" in s for s in scans)
+
+
+@pytest.mark.parametrize("key", ["session_hour_counts", "session_random_extract"])
+def test_no_window_without_keys(spark, seen, key):
+    for plan in [physical_plan(QUERIES[key](spark, FOLDER)), *seen]:
+        assert "Exchange SinglePartition" not in plan or "Window" not in plan.split("Exchange SinglePartition")[0]
+
+
+# Page queries read the stored visits; their scan of the events lies in the stored part.
+@pytest.mark.parametrize("key", [k for k in BATCH if not k.startswith(("ad_", "page_"))])
 def test_period_reaches_the_scan(spark, key):
-    scans = event_scans(physical_plan(entry_point.queries()[key](spark, FOLDER)))
+    scans = event_scans(physical_plan(QUERIES[key](spark, FOLDER)))
     assert scans and all("GreaterThanOrEqual(ts" in s and "LessThan(ts" in s for s in scans)
 
 

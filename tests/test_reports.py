@@ -71,7 +71,8 @@ def test_area_job(spark):
 
 
 def test_catalog_tables(spark):
-    raw = spark.createDataFrame([("2024-01-01", "2024-01-01 5:03:02")], "date string, action_time string")
+    times = ["2024-01-01 5:03:02", "no time", None]
+    raw = spark.createDataFrame([("2024-01-01", t) for t in times], "date string, action_time string")
     tables.save_table(raw, "visits", partition_by=("date",))
     tables.save_table(raw.union(raw), "visits")
     read = tables.visit_actions(spark, "visits")

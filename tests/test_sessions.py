@@ -137,10 +137,11 @@ def brute_force_quota(hours, size):
     return {k: v for k, v in quota.items() if v}
 
 
-@pytest.mark.parametrize("size", [1, 3, 10, 40, 1500])
+@pytest.mark.parametrize("size", [1, 3, 10, 40, 1500, 1_000_000])
 def test_sample_follows_quota(spark, size):
     hours = {(1, 5): 60, (1, 6): 20, (1, 7): 1, (2, 0): 7, (2, 23): 33, (3, 12): 4}
-    drawn = sampling.extract(spread(spark, hours), size, seed=1).collect()
+    df = spread(spark, hours)
+    drawn = sampling.extract(sampling.draw(df, size, seed=1), df).collect()
     assert len({r.session_id for r in drawn}) == len(drawn)
     found = {}
     for r in drawn:
@@ -154,7 +155,7 @@ def test_sample_is_reproducible_whatever_the_partitioning(spark):
 
     def draw(seed, parts):
         df = spread(spark, hours).repartition(parts)
-        return sorted(r.session_id for r in sampling.extract(df, 20, seed).collect())
+        return sorted(r.session_id for r in sampling.draw(df, 20, seed).collect())
 
     assert draw(1, 2) == draw(1, 7)
     assert draw(1, 2) != draw(2, 2)

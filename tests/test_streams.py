@@ -1,12 +1,15 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from test_ads import DAY, clicks_frame, line, lines_frame
 
 from shoptrail.operators import ads
 from shoptrail.params import TaskParams
-from shoptrail.sources.streams import file_lines
+from shoptrail.sources.streams import STAGED_FILES, file_lines
+from shoptrail.sources.tables import StarSchema
 from shoptrail.streaming import live, products
-from shoptrail.streaming.sinks import BatchLog, replace_groups
+from shoptrail.streaming.sinks import Increments, replace_days
 
 PARAMS = TaskParams("2024-01-01", "2024-01-31", blacklist_threshold=3)
 
@@ -14,8 +17,6 @@ PARAMS = TaskParams("2024-01-01", "2024-01-31", blacklist_threshold=3)
 def land(folder, batches):
     """One text file per batch, in order of arrival."""
     folder.mkdir(exist_ok=True)
-    import os
-
     for number, lines in enumerate(batches):
         path = folder / f"part-{number:03d}.txt"
         path.write_text("\n".join(lines) + "\n")
@@ -46,9 +47,7 @@ def test_blacklist_is_the_same_for_any_split(spark, tmp_path, size):
     out = str(tmp_path / "out")
     clicks = ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, size))))
     products.start(clicks, products.write_blacklist(out, 3), out).awaitTermination()
-    listed = products.listed_log(spark, out).rows().select("user_id")
-    assert rows(listed) == expected and expected
-    assert listed.count() == listed.distinct().count()
+    assert rows(products.listed_users(spark, out)) == expected and expected
 
 
 def test_listed_users_are_filtered_from_the_next_batch_on(spark, tmp_path):
@@ -56,22 +55,21 @@ def test_listed_users_are_filtered_from_the_next_batch_on(spark, tmp_path):
     out = str(tmp_path / "out")
     query = live.start_ad_statistics(stream(spark, land(tmp_path / "in", batches)), out, PARAMS, interval=None)
     query.awaitTermination()
-    assert rows(products.user_ad_log(spark, out).merged()) == [("2024-01-01", 1, 1, 4), ("2024-01-01", 2, 1, 1)]
-    assert rows(products.place_log(spark, out).merged()) == [("2024-01-01", "p", "c", 1, 5)]
-    assert rows(products.minute_log(spark, out).merged()) == [("20240101", "00", "00", 1, 5)]
+    assert rows(products.user_ad_counts(spark, out)) == [("2024-01-01", 1, 1, 4), ("2024-01-01", 2, 1, 1)]
+    assert rows(products.place_totals(spark, out)) == [("2024-01-01", "p", "c", 1, 5)]
+    assert rows(products.minute_totals(spark, out)) == [("20240101", "00", "00", 1, 5)]
     assert [(r.adid, r.click_count) for r in products.top_rows(spark, out).collect()] == [(1, 5)]
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 100])
-def test_running_counts_equal_their_batch_twin(spark, tmp_path, broadcast_keys):
+def test_place_counts_equal_their_batch_twin(spark, tmp_path):
     lines = some_lines()
     listed = spark.createDataFrame([(0,), (3,)], "user_id bigint")
     out = str(tmp_path / "out")
     arriving = ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 30))))
-    running = products.running_place_counts(ads.without_listed_static(arriving, listed, broadcast_keys))
-    products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
+    products.start(ads.without_listed_static(arriving, listed), products.write_place_counts(out), out).awaitTermination()
     expected = ads.place_counts(ads.without_listed(clicks_frame(spark, lines), listed))
-    assert rows(products.running_place_log(spark, out).merged()) == rows(expected)
+    assert rows(products.place_totals(spark, out)) == rows(expected)
+    assert products.batches(spark, out, "place_counts") == [0, 1, 2, 3]
 
 
 def test_top_ads_equal_their_batch_twin(spark, tmp_path):
@@ -84,45 +82,38 @@ def test_top_ads_equal_their_batch_twin(spark, tmp_path):
     assert rows(products.top_rows(spark, out).select(columns)) == rows(expected.select(columns))
 
 
-def test_running_counts_can_forget_old_days(spark, tmp_path):
-    batches = [[line(0)], [line(5 * DAY)], [line(5 * DAY + 1)], [line(1), line(5 * DAY + 2)]]
-    out = str(tmp_path / "out")
-    running = products.running_place_counts(ads.parse(stream(spark, land(tmp_path / "in", batches))), "2 days")
-    products.start(running, products.write_place_counts(out), out, "update").awaitTermination()
-    found = {(r.date, r.click_count) for r in products.running_place_log(spark, out).merged().collect()}
-    assert found == {("2024-01-01", 1), ("2024-01-06", 3)}
-
-
 def test_minute_trend_counts_late_clicks(spark, tmp_path):
     lines = some_lines(60)
     late_first = chunks(lines, 20)[::-1]
     out = str(tmp_path / "out")
     clicks = ads.parse(stream(spark, land(tmp_path / "in", late_first)))
     products.start(clicks, products.write_minute_counts(out), out).awaitTermination()
-    total = products.minute_log(spark, out).merged()
+    total = products.minute_totals(spark, out)
     assert rows(total) == rows(ads.minute_counts(clicks_frame(spark, lines)))
     assert total.agg(F.sum("click_count")).first()[0] == 60
 
 
+def windows_of(spark, tmp_path, batches, length, lateness="1 hour"):
+    """What the stateful sliding windows put out; a last click far ahead closes all windows before."""
+    out = str(tmp_path / "out")
+    far = [[line(30 * DAY, ad=99)], [line(30 * DAY + 1, ad=99)]]
+    clicks = ads.parse(stream(spark, land(tmp_path / "in", [*batches, *far])))
+    write = lambda df, batch_id: df.write.parquet(f"{out}/rows/{batch_id}")
+    products.start(products.sliding_counts(clicks, lateness, length), write, out).awaitTermination()
+    found = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/rows")
+    return rows(found.where("adid <> 99"))
+
+
 def test_sliding_windows_of_a_stream_equal_the_batch(spark, tmp_path):
     lines = some_lines(40)
-    out = str(tmp_path / "out")
-    schema = "window_start timestamp, adid bigint, click_count bigint"
-    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count", newest=True)
-    windows = products.sliding_counts(ads.parse(stream(spark, land(tmp_path / "in", chunks(lines, 10)))), "1 hour", "10 minutes")
-    products.start(windows, log.write, out, "update").awaitTermination()
-    assert rows(log.merged()) == rows(ads.sliding_counts(clicks_frame(spark, lines), 10))
+    found = windows_of(spark, tmp_path, chunks(lines, 10), "10 minutes")
+    assert found == rows(ads.sliding_counts(clicks_frame(spark, lines), 10))
 
 
 def test_click_behind_the_watermark_is_not_counted(spark, tmp_path):
     hour = 3_600_000
-    batches = [[line(0)], [line(10 * hour)], [line(10 * hour + 1)], [line(1)]]
-    out = str(tmp_path / "out")
-    schema = "window_start timestamp, adid bigint, click_count bigint"
-    log = BatchLog(spark, out + "/log", schema, ["window_start", "adid"], "click_count", newest=True)
-    clicks = ads.parse(stream(spark, land(tmp_path / "in", batches)))
-    products.start(products.sliding_counts(clicks, "1 hour", "1 minute"), log.write, out, "update").awaitTermination()
-    assert [r[2] for r in rows(log.merged())] == [1, 2]
+    found = windows_of(spark, tmp_path, [[line(0)], [line(10 * hour)], [line(10 * hour + 1)], [line(1)]], "1 minute")
+    assert [r[2] for r in found] == [1, 2]
 
 
 def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
@@ -133,10 +124,10 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
 
     def state():
         return [
-            rows(products.listed_log(spark, out).rows()),
-            rows(products.user_ad_log(spark, out).merged()),
-            rows(products.place_log(spark, out).merged()),
-            rows(products.minute_log(spark, out).merged()),
+            rows(Increments(spark, f"{out}/blacklist", products.LISTED_SCHEMA).rows()),
+            rows(products.user_ad_counts(spark, out)),
+            rows(products.place_totals(spark, out)),
+            rows(products.minute_totals(spark, out)),
             rows(products.top_rows(spark, out)),
         ]
 
@@ -145,47 +136,39 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
     before = state()
     write(second, 1)
     assert state() == before
-    assert before[0] == [(1, 0), (2, 1)]
-
-
-def test_compaction_while_running_changes_nothing(spark, tmp_path):
-    states = []
-    for name, every in (("often", 2), ("never", 10**6)):
-        out = str(tmp_path / name)
-        write = products.write_everything(out, 3, 3, compact_every=every)
-        for number, part in enumerate(chunks(some_lines(), 30)):
-            write(clicks_frame(spark, part), number)
-        logs = [products.user_ad_log(spark, out), products.place_log(spark, out), products.minute_log(spark, out)]
-        states.append([rows(log.merged()) for log in logs] + [rows(products.top_rows(spark, out))])
-        assert (tmp_path / name / "place_counts" / "snapshots" / "through=3").exists() == (every == 2)
-    assert states[0] == states[1]
-
-
-def test_compacted_log_reads_the_same(spark, tmp_path):
-    schema = "k string, n bigint"
-    batches = [[("a", 1), ("b", 2)], [("a", 5)], [("b", 1), ("c", 9)]]
-    expected = {True: [("a", 5), ("b", 1), ("c", 9)], False: [("a", 6), ("b", 3), ("c", 9)]}
-    for newest in (True, False):
-        for every in (1, 2, 10):
-            log = BatchLog(spark, str(tmp_path / f"{newest}-{every}"), schema, ["k"], "n", newest, every)
-            for number, batch in enumerate(batches):
-                log.write(spark.createDataFrame(batch, schema), number)
-            assert rows(log.merged()) == expected[newest]
-            assert rows(log.merged(0)) == [("a", 1), ("b", 2)]
-            assert log.rows().where("k = 'a'").count() == (2 if every == 10 else 1)
-
-
-def test_empty_log_has_its_schema(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "none"), "k string, n bigint", ["k"], "n")
-    assert log.merged().count() == 0 and log.merged().columns == ["k", "n"]
-
-
-def test_replace_groups_leaves_other_groups(spark, tmp_path):
+    assert [(user, batch) for user, _, batch in before[0]] == [(1, 0), (2, 1)]
+
+
+def test_empty_increments_have_their_schema(spark, tmp_path):
+    none = Increments(spark, str(tmp_path / "none"), "click_count bigint, date string")
+    assert none.totals(["date"]).count() == 0 and none.totals(["date"]).columns == ["date", "click_count"]
+
+
+def test_replace_days_leaves_other_days(spark, tmp_path):
     folder = str(tmp_path / "top")
-    schema = "v int, d string, p string"
-    replace_groups(spark.createDataFrame([(1, "x", "0"), (2, "x", "1"), (3, "y", "0")], schema), folder, ["d", "p"])
-    replace_groups(spark.createDataFrame([(9, "x", "1")], schema), folder, ["d", "p"])
-    assert rows(spark.read.schema(schema).parquet(folder)) == [(1, "x", "0"), (3, "y", "0"), (9, "x", "1")]
+    schema = "v int, date string"
+    replace_days(spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], schema), folder)
+    replace_days(spark.createDataFrame([(9, "x")], schema), folder)
+    assert rows(spark.read.schema(schema).parquet(folder)) == [(3, "y"), (9, "x")]
+
+
+def test_top_ads_have_one_file_per_day(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = products.write_province_top(out, 3)
+    for number, part in enumerate(chunks(some_lines() + [line(DAY + i, ad=i % 2, province="p9") for i in range(5)], 30)):
+        write(clicks_frame(spark, part), number)
+    folders = [f for f in os.listdir(f"{out}/province_top") if f.startswith("date=")]
+    assert len(folders) == 2
+    assert all(sum(n.endswith(".parquet") for n in os.listdir(f"{out}/province_top/{f}")) == 1 for f in folders)
+
+
+def test_registered_streams_run_in_several_batches(spark):
+    tables = "/root/testdata/sf0.001"
+    out = live.run_live(spark, tables, PARAMS)
+    for table in ("user_ad_counts", "place_counts", "minute_counts"):
+        assert products.batches(spark, out, table) == list(range(STAGED_FILES))
+    admitted = products.place_totals(spark, out).agg(F.sum("click_count")).first()[0]
+    assert 0 < admitted <= StarSchema(spark, tables).events().count()
 
 
 def test_parquet_line_source(spark, tmp_path):
@@ -194,4 +177,4 @@ def test_parquet_line_source(spark, tmp_path):
     out = str(tmp_path / "out")
     clicks = ads.parse(file_lines(spark, folder, "parquet"))
     products.start(clicks, products.write_minute_counts(out), out).awaitTermination()
-    assert products.minute_log(spark, out).merged().agg(F.sum("click_count")).first()[0] == 10
+    assert products.minute_totals(spark, out).agg(F.sum("click_count")).first()[0] == 10
