@@ -30,7 +30,7 @@ MOST = 2
 DP_BUDGET = 1 << 16
 SEED = 42
 #: Documents of one size and source that are ranked together; larger groups are cut by ranges of the seeded hash.
-RANKED_TOGETHER = 10_000
+RANKED_TOGETHER = 1_000
 
 _HASH_RANGE = 1 << 62
 
