@@ -283,7 +283,7 @@ def ad_click_sliding_hour(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def session_filter_task_json(spark: SparkSession, folder: str) -> DataFrame:
     """The parameters as a task description gives them."""
-    return _kept_sessions(spark, folder, TaskParams.from_json(spark, TASK_JSON))
+    return _shown(_kept_sessions(spark, folder, TaskParams.from_json(spark, TASK_JSON)))
 
 
 @_query

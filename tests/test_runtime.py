@@ -10,9 +10,10 @@ from shoptrail import runtime
 ROOT = str(Path(__file__).resolve().parent.parent)
 SCRIPT = """
 import sys
-from shoptrail.runtime import build_session, stored, work_folder
-spark = build_session("t", master="local[1]", spark__ui__enabled="false", spark__sql__warehouse__dir=sys.argv[1], spark__checkpoint__dir="")
-print(stored(spark.range(3), "some rows").count(), work_folder(spark, "x"))
+from shoptrail.runtime import build_session, stored
+spark = build_session("t", master="local[1]", spark__ui__enabled="false", spark__checkpoint__dir=sys.argv[1])
+rows = stored(spark.range(3), "some rows")
+print(rows.count(), rows.inputFiles()[0])
 spark.stop()
 """
 
@@ -29,14 +30,23 @@ def test_temporary_tables_go_with_their_caller(spark):
 
 
 def test_nothing_is_left_behind_by_a_session(tmp_path):
-    """Without a checkpoint folder, tables lie below the warehouse and go with the process."""
-    done = subprocess.run(
-        [sys.executable, "-c", SCRIPT, str(tmp_path / "warehouse")], capture_output=True, text=True, timeout=300, cwd=ROOT
-    )
-    count, folder = done.stdout.split()
-    assert count == "3" and f"{tmp_path}/warehouse/shoptrail-work/" in folder
-    left = [f for _, _, names in os.walk(tmp_path) for f in names]
-    assert left == []
+    done = subprocess.run([sys.executable, "-c", SCRIPT, str(tmp_path)], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    count, file = done.stdout.split()
+    assert count == "3" and f"{tmp_path}/" in file
+    assert [f for _, _, names in os.walk(tmp_path) for f in names] == []
+
+
+def test_folders_lie_below_the_warehouse_where_no_checkpoint_folder_is_set():
+    class Session:
+        def __init__(self, **settings):
+            self.settings, self.conf = settings, self
+
+        def get(self, key, *default):
+            return self.settings.get(key.replace(".", "_"), *default)
+
+    warehouse = {"spark_sql_warehouse_dir": "hdfs://x/warehouse/"}
+    assert runtime.work_folder(Session(**warehouse), "a b").startswith("hdfs://x/warehouse/shoptrail-work/a-b-")
+    assert runtime.work_folder(Session(spark_checkpoint_dir="hdfs://x/c", **warehouse), "a").startswith("hdfs://x/c/a-")
 
 
 def test_no_machine_local_folders():
