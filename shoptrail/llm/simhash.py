@@ -108,13 +108,37 @@ def _keys(fp, ball: bool):
     return F.array(*rows)
 
 
-def links(prints: DataFrame, fp: str = "fp") -> DataFrame:
-    """Pairs ``(fp_a, fp_b)`` of the distinct fingerprints ``fp`` that differ in 1 to 4 bits, each pair at least once."""
+#: Fingerprints that share a segment key beyond which they are linked through common midpoints.
+HOT_BUCKET = 4096
+
+
+def _stars(prints: DataFrame) -> DataFrame:
+    """Links among fingerprints by common midpoints: two differ in at most 4 bits just if some point lies within 2 of both.
+
+    Each fingerprint meets the smallest one around each point of its ball, so a group of n gives n stars, not n^2 pairs.
+    """
+    masks = [0, *(1 << a for a in range(64)), *(1 << a | 1 << b for a in range(64) for b in range(a))]
+    signed = F.lit([m - (1 << 64) if m >> 63 else m for m in masks]).cast("array<bigint>")
+    ball = prints.select("fp", F.explode(F.transform(signed, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
+    least = ball.groupBy("point").agg(F.min("fp").alias("fp_b"))
+    met = ball.join(least, "point").where("fp <> fp_b")
+    return met.select(F.col("fp").alias("fp_a"), "fp_b").distinct()
+
+
+def links(prints: DataFrame, fp: str = "fp", hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """Pairs ``(fp_a, fp_b)`` of the distinct fingerprints ``fp`` that differ in 1 to 4 bits.
+
+    Every such pair is a row or, where its segment key holds more than ``hot_bucket`` fingerprints, connected by rows.
+    """
     table = prints.select(F.col(fp).alias("fp_b"), F.explode(_keys(F.col(fp), False)).alias("key"))
     probes = prints.select(F.col(fp).alias("fp_a"), F.explode(_keys(F.col(fp), True)).alias("key"))
+    hot = table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_bucket).select("key")
+    hot = stored(hot, "hot-buckets")
     near = (F.col("fp_a") < F.col("fp_b")) & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= DISTANCE)
-    found = probes.join(table, (probes.key == table.key) & near)
-    return found.select("fp_a", "fp_b")
+    cool = probes.join(hot, "key", "left_anti")
+    found = cool.join(table, (cool.key == table.key) & near).select("fp_a", "fp_b")
+    crowded = probes.join(hot, "key", "left_semi").select(F.col("fp_a").alias("fp")).distinct()
+    return found.union(_stars(crowded))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

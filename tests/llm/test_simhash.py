@@ -73,6 +73,19 @@ def test_links_are_all_pairs_within_the_distance(spark):
     assert pairs == expected
 
 
+@pytest.mark.parametrize("hot_bucket", [0, 3])
+def test_crowded_buckets_connect_the_same_fingerprints(spark, hot_bucket):
+    rng = random.Random(8)
+    prints = set()
+    for _ in range(6):
+        base = rng.getrandbits(63)
+        prints |= {base ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 5))) for _ in range(12)}
+    df = spark.createDataFrame([(p,) for p in prints], "fp long")
+    near = [(a, b) for a in prints for b in prints if 0 < bin(a ^ b).count("1") <= 4]
+    found = list(map(tuple, simhash.links(df, hot_bucket=hot_bucket).collect()))
+    assert set(found) <= set(near) and roots(prints, found) == roots(prints, near)
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, edges):
