@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm import scan
 from shoptrail.llm.toxicity import held_out
-from shoptrail.runtime import work_folder
+from shoptrail.runtime import remove_at_exit, work_folder
 
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Bigrams that a task holds before it sorts and sends them.
@@ -232,9 +232,12 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 def train(texts: DataFrame, text: str = "text", folder: str | None = None) -> dict:
-    """Count, store and describe a model; what reaches the driver is one row of sums per hash range."""
+    """Count, store and describe a model; what reaches the driver is one row of sums per hash range.
+
+    Without a ``folder`` of its own the model goes with the driver's process.
+    """
     spark = texts.sparkSession
-    folder = folder or work_folder(spark, "language-model")
+    kept, folder = folder is not None, folder or work_folder(spark, "language-model")
     texts = texts.select(text)
     n_bytes = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(max(n_bytes / RANGE_BYTES, 16))), 4, np.log2(RANGES)))
@@ -242,6 +245,8 @@ def train(texts: DataFrame, text: str = "text", folder: str | None = None) -> di
         _contexts_of_range(folder, bits), "range int, words binary, contexts binary, counts binary, stats binary"
     )
     done = words.groupBy("range").applyInArrow(_words_of_range(folder), "range int, stats array<bigint>").collect()
+    if done and not kept:
+        remove_at_exit(spark, folder)
     total = np.sum([r["stats"] for r in done if r["range"] >= 0], axis=0) if done else np.zeros(7, int)
     pairs = next((r["stats"][:4] for r in done if r["range"] < 0), [0] * 4)
     stats = [int(x) for x in total]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.runtime import path_exists, work_folder
+from shoptrail.runtime import path_exists, remove_at_exit, stored, work_folder
 
 #: The split pattern of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -110,7 +110,8 @@ def token_counts(
     with arrow_rows(spark, TEXTS_AT_ONCE * 4):
         found.select("digest", "tokenizer", "n_tokens").write.mode("append").parquet(cache)
     counts = spark.read.schema(_CACHE).parquet(cache).where(F.col("tokenizer") == version)
-    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written out, so that the join has both sides straight from a shuffle and AQE can cut a text that very many rows share.
+    counts = stored(counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     rows = docs.select(F.col(id).alias(id), F.unhex(F.sha2(content, 256)).alias("digest"), F.octet_length(content).cast("long").alias("n_bytes"))
     return rows.join(counts, "digest").select(id, "n_bytes", "n_tokens")
 
@@ -125,4 +126,5 @@ def query(documents: DataFrame) -> DataFrame:
 
     cache = work_folder(documents.sparkSession, "token cache")
     counts = token_counts(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), cache, {"<|endoftext|>": 50256})
+    remove_at_exit(documents.sparkSession, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
