@@ -201,11 +201,16 @@ def query(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a window of an item."""
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
-    found = contamination(numbered.select("__row", "text"), items, id="__row")
-    dirty = stored(found.where("n_hit > 0").select("__row"), "contaminated rows")
-    return numbered.join(dirty, "__row", "left_anti").select(*all_of(docs))
+    """``docs`` without the rows that hold a window of an item.
+
+    Rows are known by two hashes of their text, as equal texts are equally contaminated; so no copy of the documents is
+    numbered and stored, and the few contaminated texts are what joins.
+    """
+    key = F.struct(F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
+    found = contamination(docs.select(key.alias("key"), "text"), items, id="key")
+    dirty = stored(found.where("n_hit > 0").select("key.k1", "key.k2").distinct(), "contaminated texts")
+    same = (key["k1"] == dirty["k1"]) & (key["k2"] == dirty["k2"])
+    return docs.join(dirty, same, "left_anti").select(*all_of(docs))
 
 
 #: DuckDB counterpart of ``query``.
