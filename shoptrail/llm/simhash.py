@@ -172,7 +172,8 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     roots = components(links(prints), "fp_a", "fp_b")
     rooted = prints.join(roots, prints.fp == roots.node, "left").select("row", "order", F.coalesce("root", "fp").alias("root"))
     stay = stored(rooted.groupBy("root").agg(F.min_by("row", "order").alias("__row")).select("__row"), "kept rows")
-    return kept.join(stay, "__row", "left_semi").select(*all_of(docs))
+    # The rows that stay grow with the documents: the same join at every size, never a broadcast.
+    return kept.join(stay.hint("merge"), "__row", "left_semi").select(*all_of(docs))
 
 
 def query(documents: DataFrame) -> DataFrame:
