@@ -26,6 +26,8 @@ from shoptrail.llm.toxicity import held_out
 from shoptrail.runtime import stored
 
 PASSAGE_WORDS, PASSAGES = 64, 256
+#: Texts whose passages are held at once.
+TEXTS_AT_ONCE = 256
 #: Expected number of labelled rows to fit on.
 SAMPLE = 8_000
 #: Scores from which a document is accepted.
@@ -198,8 +200,11 @@ def scored(
 
     def run(batches):
         for batch in batches:
-            x, owner = passages_of(batch.column(len(names) - 1))
-            result = pa.array(score(weights, x, owner, batch.num_rows))
+            column, found = batch.column(len(names) - 1), []
+            for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = column.slice(first, TEXTS_AT_ONCE)
+                found.append(score(weights, *passages_of(part), len(part)))
+            result = pa.array(np.concatenate(found or [np.zeros(0)]))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(out)], result], names=[*out, "__score"])
 
     return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add("__score", "double"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BYTES = np.arange(256, dtype=np.uint8)
 #: A-Z to a-z, all other bytes unchanged.
