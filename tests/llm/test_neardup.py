@@ -1,0 +1,80 @@
+import random
+import re
+
+import pytest
+from llm_rows import SCHEMA, document
+
+import corpus_pipeline
+from shoptrail.llm import neardup, simhash
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def survivors(rows):
+    """Smallest id of each component of documents that share 0.8 of their shingles."""
+    sets = [shingles(r[1]) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    ids = {}
+    for i, r in enumerate(rows):
+        ids.setdefault(find(i), []).append((r[0] is None, r[0] or 0))
+    return sorted((min(v) for v in ids.values()))
+
+
+def near_copies(words):
+    """Families whose members share 0.8 to 0.95 of their shingles with the first or with each other, and some that share 0.6."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        base = [rng.choice(words) for _ in range(200)]
+        rows.append(document(1000 + 10 * k, " ".join(base), f"s{k % 5}"))
+        for n, changes in enumerate((1, 2, 3, 4, 10)):
+            near = list(base)
+            for at in range(7, 7 + 17 * changes, 17):
+                near[at] = "changed"
+            rows.append(document(1001 + 10 * k + n, " ".join(near), f"s{(k + n) % 5}"))
+    return rows
+
+
+def test_near_copies_leave_the_pipeline_stage(spark, words):
+    rows = near_copies(words)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
+    assert kept.columns == docs.columns
+    expected = survivors(rows)
+    assert len(expected) < 150  # 60 families of which one far member may stay
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == expected
+    assert simhash.deduplicated(docs).count() > len(expected)
+
+
+def test_edge_cases_match_brute_force(edge_docs, edge_rows):
+    kept = neardup.deduplicated(edge_docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == survivors(edge_rows)
+
+
+def test_a_large_group_links_through_any_member(spark, words):
+    """A chain: neighbours are near copies, the ends are not; bands with several components compare across them."""
+    rng = random.Random(5)
+    text, rows = [rng.choice(words) for _ in range(150)], []
+    for k in range(40):
+        text = list(text)
+        text[(k * 31) % 150] = f"new{k}"
+        rows.append(document(k, " ".join(text), "s"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert len(survivors(rows)) == 1 and neardup.deduplicated(docs).count() == 1
+
+
+def test_empty(no_docs):
+    assert neardup.deduplicated(no_docs).count() == 0
