@@ -71,7 +71,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_BUDGET) -> np.ndarray:
     """How many documents of each (positive, distinct) size to take so that the words come near ``budget``.
 
-    Exact when the dynamic programme can reach the remaining budget, otherwise the nearest sum below it.
+    Exact when the dynamic programme can reach the remaining budget, otherwise the nearest sum below it. Where no more than
+    ``dp_budget`` sums are possible (few, long documents), the nearest of them below the budget is taken.
     """
     order = np.argsort(-sizes)
     size, count = sizes[order].astype(object), counts[order].astype(object)
@@ -80,12 +81,20 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_
         return counts.copy()
     take = [c * budget // whole for c in count]
     left = budget - sum(s * t for s, t in zip(size, take))
+    shares, open_words = list(take), left
     for k, s in enumerate(size):
         if left <= dp_budget:
             break
         more = min(count[k] - take[k], (left - dp_budget // 2) // s)
         take[k] += max(more, 0)
         left -= max(more, 0) * s
+    # Beyond the programme's reach only long documents are free; the largest that fits goes in.
+    for k, s in enumerate(size):
+        if left <= dp_budget:
+            break
+        more = min(count[k] - take[k], left // s)
+        take[k] += more
+        left -= more * s
     left = int(left)
     if 0 < left <= dp_budget:
         # first[v]: number of the item with which v was first reached; items are sizes times powers of two.
@@ -114,11 +123,31 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_
             k, many = items[first[v]]
             take[k] += many
             v -= many * int(size[k])
+    if open_words > dp_budget and sum(s * t for s, t in zip(size, take)) < budget:
+        best = _best_of_few(size, [c - t for c, t in zip(count, shares)], open_words, dp_budget)
+        if best is not None:
+            take = [t + b for t, b in zip(shares, best)]
     out = np.zeros(len(sizes), np.int64)
     out[order] = take
     return out
 
 
+def _best_of_few(size, free, budget: int, most_sums: int) -> list[int] | None:
+    """The numbers of documents with the largest sum up to ``budget``, or None if more than ``most_sums`` sums are possible."""
+    came: dict[int, tuple[int, int]] = {0: (-1, 0)}
+    for k, s in enumerate(size):
+        for before in list(came):
+            for many in range(1, int(min(free[k], (budget - before) // s)) + 1):
+                came.setdefault(before + many * s, (k, many))
+                if len(came) > most_sums:
+                    return None
+    take, v = [0] * len(size), max(came)
+    while v:
+        k, many = came[v]
+        take[k], v = take[k] + many, v - many * size[k]
+    return take
+
+
 def quotas(sizes: DataFrame, goals: DataFrame, most: int = MOST, dp_budget: int = DP_BUDGET) -> DataFrame:
     """Per source and size: ``passes`` over all documents and ``extra``, the documents taken once more."""
 

@@ -92,3 +92,18 @@ def test_fit_beyond_the_dynamic_programme():
     sizes, many = np.array([20_000, 9_999, 7_777, 3]), np.array([3, 2, 2, 1_000])
     take = mixing.fit(sizes, many, 60_001, dp_budget=100)
     assert (take <= many).all() and 60_001 - 100 <= (sizes * take).sum() <= 60_001
+
+
+@pytest.mark.parametrize(
+    "sizes, budget, best",
+    [([60_000, 60_001], 80_000, 60_001), ([100_000, 70_000, 70_001], 145_000, 140_001), ([90_000], 80_000, 0), ([200_000, 199_999, 3], 399_999, 399_999)],
+)
+def test_few_long_documents(sizes, budget, best):
+    take = mixing.fit(np.array(sizes), np.ones(len(sizes), np.int64), budget)
+    assert (take <= 1).all() and int((np.array(sizes) * take).sum()) == best
+
+
+def test_many_long_documents():
+    sizes = np.arange(70_000, 71_000)
+    take = mixing.fit(sizes, np.ones(1000, np.int64), 10_000_000)
+    assert (take <= 1).all() and 10_000_000 - 70_000 < int((sizes * take).sum()) <= 10_000_000
