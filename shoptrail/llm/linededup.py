@@ -5,6 +5,9 @@ costs one small sketch per task. Lines whose estimate is near the threshold get
 ``SITES`` sites stays where it first occurs (smallest document id, nulls last) and is removed everywhere else, so its words
 stay once in the corpus. Rows of documents are never removed; a document may become empty.
 
+With ``long_words``, lines of so many words or more are removed from ``LONG_SITES`` sites on: long passages do not repeat across
+sites by chance. The pipeline's stage does so; the query keeps the one threshold of its SQL.
+
 Lines end at line feeds and are compared without leading and trailing spaces; shorter ones than ``MIN_CHARS`` are too common
 by chance and always stay. A null site is a site of its own. Null texts stay null. Rows that repeat id and text are treated
 alike: each keeps a line that first occurs in it.
@@ -16,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.columns import all_of, quoted
+from shoptrail.llm.mixing import word_count
 from shoptrail.runtime import stored
 
 #: Distinct sites from which a line is boilerplate.
 SITES = 6
+#: Words from which a line is a long passage in the pipeline, and the distinct sites from which such a line is boilerplate.
+LONG_WORDS, LONG_SITES = 50, 2
 MIN_CHARS = 20
 #: Sketches have 2^LG_K cells: a standard error of 1.04 / 2^(LG_K / 2).
 LG_K = 10
@@ -27,36 +33,46 @@ LG_K = 10
 ERRORS = 5
 
 
-def _lines(docs: DataFrame, id: str, text: str, site: str, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, id: str, text: str, site: str, min_chars: int, long_words: int | None = None) -> DataFrame:
     line = F.trim("line")
+    # A line of so many words has at least twice as many characters, less one.
+    is_long = F.lit(False) if long_words is None else (F.length(line) >= 2 * long_words - 1) & (word_count(line) >= long_words)
     lines = docs.select(
         F.col(id).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"),
         F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("site"),
         F.posexplode(F.split(text, "\n")).alias("at", "line"),
     )
     lines = lines.where(F.length(line) >= min_chars)
-    return lines.select("id", "t1", "t2", "site", "at", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
+    hashes = [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
+    return lines.select("id", "t1", "t2", "site", "at", *hashes, is_long.alias("long"))
 
 
-def boilerplate(lines: DataFrame, sites: int = SITES, lg_k: int = LG_K) -> DataFrame:
-    """``(h1, h2, first)`` of the lines on at least ``sites`` sites; ``first`` is their first occurrence."""
+def boilerplate(lines: DataFrame, sites: int = SITES, lg_k: int = LG_K, long_sites: int = LONG_SITES) -> DataFrame:
+    """``(h1, h2, first)`` of the lines on at least ``sites`` sites (``long`` ones: ``long_sites``); ``first`` is their first occurrence."""
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "at")
-    sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", lg_k).alias("sketch"), F.min(place).alias("first"))
-    sketched = sketched.select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("estimate"))
-    band = max(1.0, ERRORS * 1.04 / 2 ** (lg_k / 2) * sites)
-    sketched = stored(sketched.where(F.col("estimate") >= sites - band), "line sketches")
-    near = sketched.where(F.col("estimate") <= sites + band)
+    sketched = lines.groupBy("h1", "h2").agg(
+        F.hll_sketch_agg("site", lg_k).alias("sketch"), F.min(place).alias("first"), F.max("long").alias("long"),
+        (F.min("site") != F.max("site")).alias("spread"),
+    )
+    need = F.when(F.col("long"), long_sites).otherwise(sites)
+    sketched = sketched.select("h1", "h2", "first", "spread", need.alias("need"), F.hll_sketch_estimate("sketch").alias("estimate"))
+    band = F.greatest(F.lit(1.0), F.lit(ERRORS * 1.04 / 2 ** (lg_k / 2)) * F.col("need"))
+    # Most lines stand on one site, which is known without an estimate.
+    candidates = (F.col("spread") | (F.col("need") < 2)) & (F.col("estimate") >= F.col("need") - band)
+    sketched = stored(sketched.where(candidates).drop("spread"), "line sketches")
+    near = sketched.where(F.col("estimate") <= F.col("need") + band)
     exact = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
-    exact = exact.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("h1", "h2")
-    sure = sketched.where(F.col("estimate") > sites + band).select("h1", "h2", "first")
-    return sure.union(near.join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "first"))
+    exact = exact.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    sure = sketched.where(F.col("estimate") > F.col("need") + band).select("h1", "h2", "first")
+    return sure.union(near.join(exact, ["h1", "h2"]).where("n >= need").select("h1", "h2", "first"))
 
 
 def cleaned(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, min_chars: int = MIN_CHARS
-) -> DataFrame:
+    docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, min_chars: int = MIN_CHARS,
+    long_words: int | None = None,
+) -> DataFrame:
     """All rows and columns of ``docs`` with the text cleaned, and ``__dropped``, the numbers of the removed lines."""
-    lines = stored(_lines(docs, id, text, site, min_chars), "lines")
+    lines = stored(_lines(docs, id, text, site, min_chars, long_words), "lines")
     common = stored(boilerplate(lines, sites), "boilerplate")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "at")
     drops = lines.join(common, ["h1", "h2"]).where(place != F.col("first"))
@@ -84,7 +100,7 @@ def query(documents: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    return cleaned(docs).select(*all_of(docs))
+    return cleaned(docs, long_words=LONG_WORDS).select(*all_of(docs))
 
 
 #: DuckDB counterpart of ``query``.

@@ -66,3 +66,18 @@ def test_empty(no_docs):
 def test_no_python(edge_docs):
     plan = linededup.query(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_passages_go_from_two_sites_on(spark, words):
+    passage = lambda k, n: " ".join(words[(k * 50 + i) % 400] for i in range(n))
+    rows = [(k, f"own line of document number {k}\n{passage(0, 60)}", f"site{k % 2}") for k in range(4)]  # long, two sites
+    rows += [(10 + k, passage(1, 60), "site0") for k in range(3)]  # long, one site
+    rows += [(20 + k, passage(2, 49), f"site{k}") for k in range(5)]  # short, five sites
+    rows += [(30 + k, passage(3, 49), f"site{k}") for k in range(6)]  # short, six sites
+    rows += [(40 + k, passage(4, 50), None if k else "site1") for k in range(2)]  # just long, a null site
+    docs = spark.createDataFrame([document(*r) for r in rows], SCHEMA)
+    texts = {r["doc_id"]: r["text"] for r in linededup.deduplicated(docs).collect()}
+    whole = {r[0]: r[1] for r in rows}
+    changed = {k for k in whole if texts[k] != whole[k]}
+    assert changed == {1, 2, 3, 31, 32, 33, 34, 35, 41}
+    assert texts[1] == "own line of document number 1" and texts[41] == ""
