@@ -7,6 +7,9 @@ looked up: the whole document, its paragraphs (between blank lines) and its line
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +65,47 @@ provided that the above copyright notice and this permission notice appear in al
 }
 
 
+#: Whole licence texts, one file each, and the words from which a paragraph of one is known by itself.
+TEXTS, PARAGRAPH_WORDS = Path(__file__).with_name("licence_texts"), 20
+
+
+def _plain(text: str) -> str:
+    """``canonical`` of a constant."""
+    lower = text.translate(str.maketrans(_UPPER, _LOWER))
+    form = f" {re.sub('[^a-z0-9]+', ' ', re.sub(_COPYRIGHT, '', lower)).strip(' ')} ".translate(str.maketrans("cz", "ss"))
+    for variant, common in SPELLINGS:
+        form = form.replace(variant, common)
+    return form.strip(" ")
+
+
+def _with_texts(known: dict[str, tuple[str, ...]]) -> dict[str, tuple[str, ...]]:
+    """``known`` with the texts of the files and with their paragraphs, but for those that stand in several licences."""
+    whole = {f.stem: f.read_text(encoding="utf-8").strip() for f in sorted(TEXTS.glob("*.txt"))}
+    mit = known["MIT"][-1].splitlines()
+    whole["MIT"] = "\n\n".join(["\n".join(mit[:4]), mit[4], "\n".join(mit[5:])])
+    parts = {name: re.split("\n[ \t]*\n", text) for name, text in whole.items()}
+    parts["MIT"] = parts["MIT"][:1]  # the others also stand in other licences of its family
+    holders: dict[str, set[str]] = {}
+    for name, texts in parts.items():
+        for text in texts:
+            holders.setdefault(_plain(text), set()).add(name)
+    seen = {_plain(text) for texts in known.values() for text in texts}
+    out = {}
+    for name in [*known, *(n for n in whole if n not in known)]:
+        own = [whole[name]] if name in whole else []
+        own += [t for t in parts.get(name, []) if len(_plain(t).split()) >= PARAGRAPH_WORDS and len(holders[_plain(t)]) == 1]
+        added = []
+        for text in own:
+            if _plain(text) not in seen:
+                seen.add(_plain(text))
+                added.append(text)
+        out[name] = (*added, *known.get(name, ()))
+    return out
+
+
+KNOWN = _with_texts(KNOWN)
+
+
 def canonical(text) -> F.Column:
     lower = F.translate(text, _UPPER, _LOWER)
     words = F.regexp_replace(F.regexp_replace(lower, _COPYRIGHT, ""), "[^a-z0-9]+", " ")

@@ -55,3 +55,17 @@ def test_empty(no_docs):
 def test_no_python(edge_docs):
     plan = licences.query(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_whole_texts_in_their_usual_layout(spark):
+    lines = MIT.splitlines()
+    usual = "\n\n".join(["\n".join(lines[:4]), lines[4], "\n".join(lines[5:])])
+    texts = {"MIT": usual} | {f.stem: f.read_text(encoding="utf-8") for f in licences.TEXTS.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-3.0", "MPL-2.0", "BSD-3-Clause", "ISC"} <= set(texts)
+    rows = [document(2 * k, t) for k, t in enumerate(texts.values())]
+    rows += [document(2 * k + 1, f"Words before.\n\n{t}\n\nand after") for k, t in enumerate(texts.values())]
+    found = {r["doc_id"]: (r["licences"], r["entire"]) for r in licences.query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k, name in enumerate(texts):
+        assert found[2 * k] == (name, True)
+        if name != "BSD-2-Clause":  # all of its paragraphs also stand in BSD-3-Clause
+            assert found[2 * k + 1] == (name, False)
