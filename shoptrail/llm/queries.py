@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shoptrail.llm import decontaminate, kneserney, licences, linededup, mixing, quality, simhash, tokencount, topk, toxicity
+from shoptrail.llm import conversations, decontaminate, kneserney, licences, linededup, minhash, mixing, quality, runs, simhash
+from shoptrail.llm import tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +55,18 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.query(_table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.query(_table(spark, folder, "documents"))
+
+
+def op12_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.query(_table(spark, folder, "conversations"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.query(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = {name: f for name, f in globals().items() if name.startswith("op")}
     return operators | {"pipeline": corpus_pipeline.run}
@@ -65,4 +78,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_top_k_search": topk.SQL,
         "op9_line_dedup": linededup.SQL,
         "op10_licence_scan": licences.SQL,
+        "op13_minhash_near_dedup": minhash.SQL,
     }

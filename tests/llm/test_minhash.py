@@ -1,0 +1,93 @@
+import random
+import re
+
+import pytest
+from llm_rows import SCHEMA, document
+from test_simhash import LOWER, roots
+
+from shoptrail.llm import minhash
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return frozenset(tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset()
+
+
+def expected(rows):
+    sets = [shingles(r[1]) for r in rows]
+    where = {}
+    for i, s in enumerate(sets):
+        where.setdefault(s, []).append(i)
+    distinct = [s for s in where if s]
+    near = [(g[0], i) for s, g in where.items() if s for i in g[1:]]
+    for i, s in enumerate(distinct):
+        for t in distinct[:i]:
+            if min(len(s), len(t)) * 100 >= 85 * max(len(s), len(t)):
+                common = len(s & t)
+                if 100 * common >= 85 * (len(s) + len(t) - common):
+                    near.append((where[s][0], where[t][0]))
+    root = roots(range(len(rows)), near)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[root[i]] = min(least.get(root[i], r[0]), r[0])
+    component = [least.get(root[i]) for i in range(len(rows))]
+    return sorted(((r[0], len(s), c, r[0] is not None and r[0] == c) for r, s, c in zip(rows, sets, component)), key=repr)
+
+
+def found(spark, rows):
+    return sorted(map(tuple, minhash.query(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()), key=repr)
+
+
+def test_edge_cases_match_brute_force(spark, edge_rows):
+    assert found(spark, edge_rows) == expected(edge_rows)
+
+
+def test_empty(no_docs):
+    assert minhash.query(no_docs).count() == 0
+
+
+def changed(rng, base, words, kinds="rid"):
+    out = list(base)
+    for _ in range(rng.randrange(13)):
+        at, kind = rng.randrange(len(out)), rng.choice(kinds)
+        if kind == "r":
+            out[at] = rng.choice(words)
+        elif kind == "i":
+            out.insert(at, rng.choice(words))
+        else:
+            del out[at]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_crowded_lists_lose_no_link(spark, words, seed):
+    """Groups of near copies on either side of the threshold, large and small, with and without their original."""
+    rng = random.Random(seed)
+    rows = []
+    for group in range(4):
+        base = [rng.choice(words) for _ in range(rng.choice([20, 60, 150, 400]))]
+        # With few words to change into, copies share what sets them apart from the original.
+        into = rng.sample(words, 3) if group % 2 else words
+        for _ in range([300, 200, 40, 12][group]):
+            rows.append(document(len(rows), changed(rng, base, into)))
+    footer = " ".join(rng.choice(words) for _ in range(40))
+    rows += [document(len(rows) + k, " ".join(rng.choice(words) for _ in range(rng.randrange(30))) + " " + footer) for k in range(150)]
+    rng.shuffle(rows)
+    assert found(spark, rows) == expected(rows)
+
+
+def test_candidates_follow_the_size_of_a_group(spark, words, monkeypatch):
+    rng = random.Random(3)
+    base = [rng.choice(words) + str(k) for k in range(200)]
+    many = [f"new{k}" for k in range(10**5)]
+    rows = [document(k, changed(rng, base, many, "r")) for k in range(1200)]
+    counted = []
+    compared = minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, *a, **b: counted.append(pairs.count()) or compared(pairs, *a, **b))
+    sizes = {}
+    for n in (300, 1200):
+        counted.clear()
+        found(spark, rows[:n])
+        sizes[n] = sum(counted)
+    assert sizes[1200] < 6 * sizes[300]

@@ -22,6 +22,9 @@ COLUMNS = {
     "op8": "doc_id held_out predicted score",
     "op9": "doc_id n_bytes n_lines n_removed text_sha256",
     "op10": "doc_id entire licences n_licences",
+    "op11": "collapsed_sha256 doc_id exponent_milli length n_runs period runs_sha256 start",
+    "op12": "audit blank conv_id cost duplicate gaps illegal repaired_sha256 truncated",
+    "op13": "component_id doc_id kept n_shingles",
     "pipeline": "doc_id size source_size taken target",
 }
 
@@ -60,4 +63,6 @@ def test_returns_whole_table(spark, key):
     found = registered.queries()[key](spark, FOLDER)
     assert " ".join(sorted(found.columns)) == COLUMNS[key.split("_")[0]]
     n = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    if key.startswith("op12"):
+        n = spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id").distinct().count()
     assert 0 < found.count() < n if key == "pipeline" else found.count() == n
