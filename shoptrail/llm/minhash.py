@@ -11,8 +11,8 @@ Each distinct set is posted under its pairs of coordinate and value, and sets me
   sets with fewer than ``MATCHES`` such values, nearly all of a corpus, are skipped altogether.
 * *Merging.* Sets that meet in a list of up to ``SHORT`` count their matches, and pairs with ``MATCHES`` or more compare their
   whole sets.
-* *Crowded lists.* A list of n near copies is not paired, which would take n^2 steps: each member compares with the smallest
-  one, the pivot. The members' differences from it show the group's centre, the elements that most of them have, and how far
+* *Crowded lists.* A list of n near copies is not paired, which would take n^2 steps: each member compares with one of
+  them, the pivot. The members' differences from it show the group's centre, the elements that most of them have, and how far
   each member is from there. Two sets differ just where their differences from the centre differ, so members close to it link
   with the closest one, and a member further away links only with what shares some of its differences: those are joined
   by the same prefixes, with a bound of its own for each member. Near copies that were changed in different places have hardly
@@ -117,19 +117,22 @@ def _scanned(docs: DataFrame, id: str, text: str, signatures: bool) -> DataFrame
 
 
 def _met(postings: DataFrame) -> DataFrame:
-    """Lists that a common key brings together: ``(node, key, length, pivot)`` of the prefixes of the nodes.
+    """Lists that a common key brings together: ``(node, key, length, pivot, known)`` of the prefixes of the nodes.
 
     ``postings`` are distinct rows ``(node, key, need)``: two nodes must have ``need`` keys in common, the larger of
-    both their numbers. ``length`` is the number of members, ``pivot`` the smallest.
+    both their numbers. ``length`` is the number of members, ``pivot`` the one whose keys most nodes have (their
+    number is ``known``): it changes little from list to list, and near copies are less apart from it than from each other.
     """
     common = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = postings.join(stored(common, "common keys"), "key")
     entries = F.array_sort(F.collect_list(F.struct("n", "key")))
     nodes = common.groupBy("node", "need").agg(entries.alias("entries")).where(F.size("entries") >= F.col("need"))
     prefix = F.slice("entries", F.lit(1), (F.size("entries") - F.col("need") + 1).cast("int"))
-    prefixes = stored(nodes.select("node", F.explode(prefix.key).alias("key")), "prefixes")
-    lists = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("length"), F.min("node").alias("pivot"))
-    return stored(prefixes.join(stored(lists.where("length > 1"), "lists"), "key"), "lists")
+    known = F.aggregate(F.col("entries").n, F.lit(0).cast("long"), lambda total, n: total + n)
+    prefixes = stored(nodes.select("node", known.alias("known"), F.explode(prefix.key).alias("key")), "prefixes")
+    first = F.max(F.struct("known", "node"))
+    lists = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("length"), first.node.alias("pivot"), first.known.alias("known"))
+    return stored(prefixes.drop("known").join(stored(lists.where("length > 1"), "lists"), "key"), "lists")
 
 
 def _enough(common: Column, a: Column, b: Column) -> Column:
@@ -269,6 +272,22 @@ def _with_partners(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _stars(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(a, b)``: each member of a crowded list with the pivot of its group.
+
+    Lists whose pivot is like a better known pivot, one of another list that it is in, join the group of that one, so a member
+    is in few groups. Any set serves to tell the members of a group apart.
+    """
+    stars = lists.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.max("known").alias("known"))
+    stars = stored(stars, "stars")
+    pivots = stars.select(F.col("b").alias("a")).distinct()
+    pairs = stars.join(pivots, "a")
+    alike = pairs.join(_with_matches(pairs.select("a", "b"), nodes), ["a", "b"])
+    better = alike.groupBy(F.col("a").alias("b")).agg(F.max_by("b", F.struct("known", "b")).alias("to"))
+    grouped = stars.join(stored(better, "pivots"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
+    return stored(grouped.where("a <> b").distinct(), "stars")
+
+
 def links(docs: DataFrame, nodes: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pairs ``(a, b)`` of nodes whose sets are similar enough, all or, in crowded lists, enough to connect the same nodes."""
     postings = nodes.select("node", F.lit(MATCHES).alias("need"), F.explode("signature").alias("key"))
@@ -276,18 +295,18 @@ def links(docs: DataFrame, nodes: DataFrame, id: str = "doc_id", text: str = "te
     x, y = lists.where(F.col("length") <= SHORT).alias("x"), lists.where(F.col("length") <= SHORT).alias("y")
     short = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")))
     short = short.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    stars = lists.where((F.col("length") > SHORT) & (F.col("node") != F.col("pivot")))
-    stars = stored(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
-    short = stored(_with_matches(short.join(stars, ["a", "b"], "left_anti"), nodes), "candidates")
+    short = stored(_with_matches(short, nodes), "candidates")
+    stars = _stars(lists.where(F.col("length") > SHORT), nodes)
     ends = short.union(stars).select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = _whole_sets(docs, id, text, nodes, ends)
     linked = _enough(F.col("common"), F.col("size_a"), F.col("size_b"))
     members = stored(_compared(stars, sets, apart=True), "members")
     near = stored(_compared(short, sets, apart=False).where(linked).select("a", "b"), "links")
+    near = near.union(members.where(linked).select("a", "b"))
     if members.isEmpty():
         return near
     close, rest = _around_centres(members)
-    near = stored(near.union(members.where(linked).select("a", "b")).union(close), "links")
+    near = stored(near.union(close), "links")
     # What is connected by now need not be compared.
     roots = components(near, "a", "b")
     for end in "ab":
