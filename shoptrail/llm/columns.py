@@ -12,3 +12,11 @@ def quoted(name: str) -> Column:
 
 def all_of(df: DataFrame) -> list[Column]:
     return [quoted(c) for c in df.columns]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` or, where the table has such a column, a name like it that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

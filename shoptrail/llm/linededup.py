@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.columns import all_of, quoted
+from shoptrail.llm.columns import all_of, quoted, unused
 from shoptrail.llm.mixing import word_count
 from shoptrail.runtime import stored
 
@@ -71,29 +71,36 @@ def cleaned(
     docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, min_chars: int = MIN_CHARS,
     long_words: int | None = None,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with the text cleaned, and ``__dropped``, the numbers of the removed lines."""
+    """All rows and columns of ``docs`` with the text cleaned, and a last column: the numbers of lines, and of the removed ones.
+
+    The last column is named ``lines`` or, where ``docs`` has such a column, like it.
+    """
+    names = ["same_id", "same_t1", "same_t2", "dropped", "k1", "k2"]
+    o_id, t1, t2, dropped, k1, k2 = (unused(docs, name) for name in names)
     lines = stored(_lines(docs, id, text, site, min_chars, long_words), "lines")
     common = stored(boilerplate(lines, sites), "boilerplate")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "at")
     drops = lines.join(common, ["h1", "h2"]).where(place != F.col("first"))
-    drops = drops.groupBy(F.col("id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
-    drops = stored(drops.agg(F.collect_set("at").alias("__dropped")), "removed lines")
-    keyed = docs.withColumns({"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(1), text)})
-    same = (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2")) & F.col(id).eqNullSafe(F.col("__id"))
+    drops = drops.groupBy(F.col("id").alias(o_id), F.col("t1").alias(t1), F.col("t2").alias(t2))
+    drops = stored(drops.agg(F.collect_set("at").alias(dropped)), "removed lines")
+    keyed = docs.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
+    same = (quoted(k1) == quoted(t1)) & (quoted(k2) == quoted(t2)) & F.col(id).eqNullSafe(quoted(o_id))
     joined = keyed.join(drops, same, "left")
     parts = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "__dropped")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), quoted(dropped))
     clean = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
-    whole = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(clean)
-    return joined.select(*[whole.alias(c) if c == text else quoted(c) for c in docs.columns], "__dropped", F.size(parts).alias("__lines"))
+    counts = F.struct(F.size(parts).alias("n"), F.coalesce(F.size(quoted(dropped)), F.lit(0)).alias("removed"))
+    lines = counts.alias(unused(docs, "lines"))
+    whole = F.when(quoted(dropped).isNull(), F.col(text)).otherwise(clean)
+    return joined.select(*[whole.alias(c) if c == text else quoted(c) for c in docs.columns], lines)
 
 
 def query(documents: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed, and size and digest of the cleaned text, of every document (null text: 0, null)."""
     return cleaned(documents.select("doc_id", "text", "source")).select(
         "doc_id",
-        F.greatest(F.col("__lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_removed"),
+        F.greatest(F.col("lines.n"), F.lit(0)).cast("long").alias("n_lines"),
+        F.col("lines.removed").cast("long").alias("n_removed"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("text_sha256"),
     )

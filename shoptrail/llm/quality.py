@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptrail.llm import scan
-from shoptrail.llm.columns import all_of, quoted
+from shoptrail.llm.columns import all_of, quoted, unused
 from shoptrail.llm.toxicity import held_out
 from shoptrail.runtime import stored
 
@@ -178,6 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed, id: str, text: str, label
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.list_(pa.float64()))], names=["id", "y", "x"])
 
     rows = docs.select(id, text).join(F.broadcast(drawn), F.col(id) == F.col("l_id")).select(F.col("l_id").alias("id"), "y", text)
+    # One text for each id, however many rows repeat it.
+    rows = rows.groupBy("id", "y").agg(F.min_by(text, F.xxhash64(text)).alias(text))
     bags = rows.mapInArrow(run, rows.select("id", "y").schema.add("x", T.ArrayType(T.DoubleType()))).toArrow().to_pandas()
     bags = bags.sort_values("id", kind="stable")
     if bags["y"].nunique() < 2:
@@ -188,37 +190,38 @@ def train(docs: DataFrame, labels: DataFrame, allowed, id: str, text: str, label
 
 
 def scored(
-    docs: DataFrame, labels: DataFrame, allowed, id: str = "doc_id", text: str = "text", label: str = "quality", keep_text: bool = False
-) -> DataFrame:
-    """``docs`` with ``__score``: all columns, or the id alone; ``allowed`` says of a label row whether it may be learned from."""
+    docs: DataFrame, labels: DataFrame, allowed, id: str = "doc_id", text: str = "text", label: str = "quality", keep_text: bool = False,
+    column: str = "score",
+) -> DataFrame:
+    """``docs`` with the score as ``column``: all columns, or the id alone; ``allowed`` says of a label row whether it may be learned from."""
     weights = train(docs, labels, allowed, id, text, label)
     names = [c for c in docs.columns if c != text] + [text] if keep_text else [id, text]
     rows = docs.select(*[quoted(c) for c in names])
     out = names if keep_text else [id]
     if isinstance(weights, float):
-        return rows.select(*[quoted(c) for c in out], F.lit(weights).alias("__score"))
+        return rows.select(*[quoted(c) for c in out], F.lit(weights).alias(column))
 
     def run(batches):
         for batch in batches:
-            column, found = batch.column(len(names) - 1), []
+            texts, found = batch.column(len(names) - 1), []
             for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = column.slice(first, TEXTS_AT_ONCE)
+                part = texts.slice(first, TEXTS_AT_ONCE)
                 found.append(score(weights, *passages_of(part), len(part)))
             result = pa.array(np.concatenate(found or [np.zeros(0)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(out)], result], names=[*out, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(out)], result], names=[*out, column])
 
-    return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add("__score", "double"))
+    return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add(column, "double"))
 
 
 def query(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document; labels of held-out rows are never read into the fit."""
     found = scored(documents, labels, ~held_out(F.col("doc_id"), 4, 2))
-    return found.select(
-        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= ACCEPTED).cast("int").alias("predicted")
-    )
+    predicted = (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", predicted)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    found = scored(docs, labels, ~held_out(F.col("doc_id"), 4, 2), keep_text=True)
-    return found.where(F.col("__score") >= ACCEPTED).select(*all_of(docs))
+    column = unused(docs, "quality_score")
+    found = scored(docs, labels, ~held_out(F.col("doc_id"), 4, 2), keep_text=True, column=column)
+    return found.where(quoted(column) >= ACCEPTED).select(*all_of(docs))

@@ -1,9 +1,9 @@
 """SimHash near-duplicate detection with multi-index hashing.
 
-Fingerprints of ``bits`` = 64 bits link when they differ in at most ``distance`` bits. A pair within the distance must
-agree nearly in some segment: with three segments and distance 4, one of the first two differs in at most one bit or the
-last is equal, since 2 + 2 + 1 > 4. So every distinct fingerprint is stored in one table row per segment and looks up the
-small Hamming balls around its own segments; complete distances are then verified.
+Fingerprints of 64 bits link when they differ in at most 4 bits. A pair within the distance differs in at most 2 bits in one
+of its two halves of 32 bits, so some value lies within 1 bit of both halves there. Every distinct fingerprint is stored in
+the tables of both halves under the small Hamming balls of radius 1 around its own values and meets the others there;
+complete distances are then verified. Values of 32 bits are long enough that chance fills no bucket.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm import scan
-from shoptrail.llm.columns import all_of, quoted
+from shoptrail.llm.columns import all_of, quoted, unused
 from shoptrail.llm.components import components
 from shoptrail.runtime import stored
 
@@ -88,28 +88,23 @@ def fingerprints(
     return rows.mapInArrow(run, rows.select(*[quoted(c) for c in out]).schema.add(fingerprint, "long"))
 
 
-#: (lowest bit, bits, radius of the Hamming ball) of each segment, for distances up to 4 in 64 bits.
-SEGMENTS = ((0, 22, 1), (22, 21, 1), (43, 21, 0))
+#: (lowest bit, bits) of each segment. Two balls of radius 1 cover distances up to 2 in one of two segments, so up to 4 + 1 in all.
+SEGMENTS = ((0, 32), (32, 32))
 DISTANCE = 4
 
 
-def _segment(fp, low: int, bits: int):
-    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def _keys(fp, ball: bool):
-    """The segment keys under which a fingerprint is stored, or the keys in the balls around its segments."""
+def _keys(fp):
+    """The values within 1 bit of each segment, numbered by segment."""
     rows = []
-    for number, (low, bits, radius) in enumerate(SEGMENTS):
-        value = _segment(fp, low, bits)
-        offset = F.lit(number << 32)
-        masks = [0] + [1 << k for k in range(bits)] * (ball and radius)
-        rows += [value.bitwiseXOR(F.lit(mask)) + offset for mask in masks]
+    for number, (low, bits) in enumerate(SEGMENTS):
+        value = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << bits) - 1))
+        rows += [value.bitwiseXOR(F.lit(mask)) + F.lit(number << 32) for mask in [0, *(1 << k for k in range(bits))]]
     return F.array(*rows)
 
 
-#: Fingerprints that share a segment key beyond which they are linked through common midpoints.
-HOT_BUCKET = 4096
+#: Fingerprints of a bucket beyond which they are linked through common midpoints: a group of near copies, whose pairs are
+#: not listed. Both ways are exact.
+HOT_BUCKET = 2048
 
 
 def _stars(prints: DataFrame) -> DataFrame:
@@ -130,15 +125,15 @@ def links(prints: DataFrame, fp: str = "fp", hot_bucket: int = HOT_BUCKET) -> Da
 
     Every such pair is a row or, where its segment key holds more than ``hot_bucket`` fingerprints, connected by rows.
     """
-    table = prints.select(F.col(fp).alias("fp_b"), F.explode(_keys(F.col(fp), False)).alias("key"))
-    probes = prints.select(F.col(fp).alias("fp_a"), F.explode(_keys(F.col(fp), True)).alias("key"))
-    hot = table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot_bucket).select("key")
+    table = stored(prints.select(F.col(fp).alias("fp"), F.explode(_keys(F.col(fp))).alias("key")), "segment tables")
+    hot = table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_bucket).select("key")
     hot = stored(hot, "hot-buckets")
-    near = (F.col("fp_a") < F.col("fp_b")) & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= DISTANCE)
-    cool = probes.join(hot, "key", "left_anti")
-    found = cool.join(table, (cool.key == table.key) & near).select("fp_a", "fp_b")
-    crowded = probes.join(hot, "key", "left_semi").select(F.col("fp_a").alias("fp")).distinct()
-    return found.union(_stars(crowded))
+    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= DISTANCE
+    cool = table.join(hot, "key", "left_anti")
+    x, y = cool.alias("x"), table.alias("y")
+    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & near)
+    crowded = table.join(hot, "key", "left_semi").select("fp").distinct()
+    return found.select(F.col("x.fp").alias("fp_a"), F.col("y.fp").alias("fp_b")).union(_stars(crowded))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,18 +157,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (nulls last; of repeated ids, the first row)."""
-    kept = fingerprints(docs.withColumn("__row", F.monotonically_increasing_id()), text, fingerprint="__fp", keep_text=True)
+    row, fp = unused(docs, "row"), unused(docs, "fingerprint")
+    kept = fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), text, fingerprint=fp, keep_text=True)
     kept = stored(kept, "fingerprints")
-    prints = kept.groupBy("__fp").agg(
-        F.min_by("__row", F.struct(F.col(id).isNull(), F.col(id), F.col("__row"))).alias("row"),
-        F.min(F.struct(F.col(id).isNull(), F.col(id), F.col("__row"))).alias("order"),
-    )
-    prints = stored(prints.withColumnRenamed("__fp", "fp"), "fingerprints")
+    order = F.struct(quoted(id).isNull(), quoted(id), quoted(row))
+    prints = kept.groupBy(quoted(fp).alias("fp")).agg(F.min_by(quoted(row), order).alias("row"), F.min(order).alias("order"))
+    prints = stored(prints, "distinct fingerprints")
     roots = components(links(prints), "fp_a", "fp_b")
     rooted = prints.join(roots, prints.fp == roots.node, "left").select("row", "order", F.coalesce("root", "fp").alias("root"))
-    stay = stored(rooted.groupBy("root").agg(F.min_by("row", "order").alias("__row")).select("__row"), "kept rows")
+    stay = stored(rooted.groupBy("root").agg(F.min_by("row", "order").alias(row)).select(row), "kept rows")
     # The rows that stay grow with the documents: the same join at every size, never a broadcast.
-    return kept.join(stay.hint("merge"), "__row", "left_semi").select(*all_of(docs))
+    return kept.join(stay.hint("merge"), row, "left_semi").select(*all_of(docs))
 
 
 def query(documents: DataFrame) -> DataFrame:

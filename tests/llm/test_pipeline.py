@@ -64,3 +64,23 @@ def test_empty_documents(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tables)
     assert docs.count() == 0
+
+
+#: Names that stages use inside.
+CLASHING = ["row", "fingerprint", "same_id", "same_t1", "dropped", "k1", "lines", "quality_score", "node", "fp"]
+
+
+def test_stages_keep_columns_of_any_name(spark, tables, edge_rows):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(edge_rows, SCHEMA)
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own {name}").alias(name) for name in CLASHING]).repartition(3)
+    columns, n = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, tables)
+        assert docs.columns == columns
+        rows = docs.collect()
+        assert len(rows) <= n and all(r[c] == f"own {c}" for r in rows for c in CLASHING)
+        docs = spark.createDataFrame(rows, docs.schema)
+    sizes = dict(corpus_pipeline.STAGES)["mix"](spark, docs, tables)
+    assert sizes.count() == docs.count()

@@ -55,9 +55,9 @@ def test_empty(no_docs):
 
 
 def test_segments_leave_no_pair_out():
-    assert sorted((low, bits) for low, bits, _ in simhash.SEGMENTS) == [(0, 22), (22, 21), (43, 21)]
-    # A pair that is found in no segment differs in more bits than the distance.
-    assert sum(radius + 1 for *_, radius in simhash.SEGMENTS) > simhash.DISTANCE
+    assert sum(bits for _, bits in simhash.SEGMENTS) == 64 and [low for low, _ in simhash.SEGMENTS] == [0, 32]
+    # Two balls of radius 1 meet up to distance 2: a pair that is found in neither segment differs in more than the distance.
+    assert sum(2 + 1 for _ in simhash.SEGMENTS) > simhash.DISTANCE
 
 
 def test_links_are_all_pairs_within_the_distance(spark):
