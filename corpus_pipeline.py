@@ -5,9 +5,15 @@ one's documents. All but the last return the columns of documents.
 
 * quality: documents that the classifier rejects go; it learns from the labels beside the documents.
 * line_dedup: boilerplate lines are removed from the texts, no document goes.
-* near_dedup: one document of each group of near duplicates stays.
+* near_dedup: one document of each group of near duplicates stays; they link by SimHash fingerprints of four-word shingles that
+  differ in 4 bits or less.
 * decontaminate: documents that hold a window of a benchmark item go.
 * mix: how many words of each document the mix takes.
+
+Documents with a null in any column take part: a null text counts as empty, a null id never is the smallest of a group, a
+null source is a source of its own. Documents without words are copies of each other, so one of them stays. Repeated rows are
+exact copies. Texts are scanned whole, however long. Further columns are kept up to the mix, whatever their names. An empty
+table gives an empty result, as long as the labels hold both classes for the quality classifier.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import decontaminate, linededup, mixing, neardup, quality
+from shoptrail.llm import decontaminate, linededup, mixing, quality, simhash
 from shoptrail.llm.columns import all_of
 from shoptrail.runtime import stored
 
@@ -33,7 +39,7 @@ def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.deduplicated(docs)
+    return simhash.deduplicated(docs)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
