@@ -137,7 +137,7 @@ STEP_BANDS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("
 # of a day exceeds the threshold.
 _LIVE = """,
 numbered AS (
-  SELECT c.*, (event_id * {files}) // ((SELECT max(event_id) FROM events) + 1) AS file FROM clicks c),
+  SELECT c.*, greatest(coalesce((event_id * {files}) // ((SELECT max(event_id) FROM events) + 1), 0), 0) AS file FROM clicks c),
 per_file AS (SELECT date, user_id, adid, file, count(*) AS n FROM numbered GROUP BY ALL),
 running AS (SELECT *, sum(n) OVER (PARTITION BY date, user_id, adid ORDER BY file) AS upto FROM per_file),
 last_file AS (SELECT user_id, min(file) AS last FROM running WHERE upto > {blacklist_threshold} GROUP BY user_id),
@@ -294,6 +294,7 @@ def build(params: TaskParams, filters: dict[str, TaskParams], files: int) -> dic
     }
     for key in ("ad_province_city_counts", "ad_province_top3", "ad_click_trend_minute", "ad_blacklist", "ad_click_sliding_hour"):
         sql["stream_" + key] = sql[key]
+    sql["stream_ad_running_place_counts"] = sql["stream_ad_state_rows"] = sql["ad_province_city_counts"]
     sql["stream_ad_live_user_counts"] = (
         live + "SELECT date, user_id, adid, count(*) AS click_count FROM admitted GROUP BY date, user_id, adid"
     )

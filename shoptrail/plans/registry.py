@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail.functions import bitmaps
 from shoptrail.functions import columns as C
 from shoptrail.operators import ads, areas, categories, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import oracle
 from shoptrail.runtime import stored
-from shoptrail.sources.streams import STAGED_FILES
+from shoptrail.sources.streams import STAGED_PARTS
 from shoptrail.sources.tables import REGION_LEVELS, StarSchema, visit_actions
 from shoptrail.streaming import products as stream_products
 from shoptrail.streaming.live import run_live
@@ -245,13 +247,18 @@ def _stored_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     return stored(ad_blacklist(spark, folder), "blacklist")
 
 
+def _stored_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(bitmaps.bitmaps(ad_blacklist(spark, folder)), "blacklist")
+
+
 def _good_clicks(spark: SparkSession, folder: str) -> DataFrame:
     return ads.without_listed(_clicks(spark, folder), _stored_blacklist(spark, folder))
 
 
 @_query
 def ad_clicks_not_blacklisted(spark: SparkSession, folder: str) -> DataFrame:
-    return _good_clicks(spark, folder).select(*_AD_COLUMNS)
+    """The list as bitmaps: one bit decides about a click."""
+    return bitmaps.without(_clicks(spark, folder), _stored_bitmaps(spark, folder)).select(*_AD_COLUMNS)
 
 
 @_query
@@ -291,15 +298,19 @@ def actions_from_text(spark: SparkSession, folder: str) -> DataFrame:
     """Times as the catalog may hold them: text, with one-digit hours."""
     actions = StarSchema(spark, folder).actions(PARAMS)
     as_text = actions.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd H:mm:ss"))
-    as_text.createOrReplaceTempView("visit_actions_as_text")
+    view = f"visit_actions_as_text_{uuid.uuid4().hex}"
+    as_text.createOrReplaceTempView(view)
     time = F.col("action_time")
-    return visit_actions(spark, "visit_actions_as_text").select(
-        "event_id",
-        "session_id",
-        F.unix_timestamp(time).alias("action_sec"),
-        C.date_hour(time).alias("date_hour"),
-        C.minute_key(time).alias("minute_key"),
-    )
+    try:
+        return visit_actions(spark, view).select(
+            "event_id",
+            "session_id",
+            F.unix_timestamp(time).alias("action_sec"),
+            C.date_hour(time).alias("date_hour"),
+            C.minute_key(time).alias("minute_key"),
+        )
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 @_query
@@ -328,6 +339,20 @@ def stream_ad_blacklist(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.blacklist(spark, folder, PARAMS.blacklist_threshold)
 
 
+@_query
+def stream_ad_running_place_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Running sums as the stream's own state, put out in update mode."""
+    done = stream_products.run_running_counts(spark, folder, _stored_bitmaps(spark, folder))
+    return stream_products.running_totals(spark, done)
+
+
+@_query
+def stream_ad_state_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the state itself holds at the end."""
+    done = stream_products.run_running_counts(spark, folder, _stored_bitmaps(spark, folder))
+    return stream_products.state_rows(spark, done)
+
+
 @_query
 def stream_ad_live_user_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The whole application with its feedback: clicks of listed users stop counting with the next file."""
@@ -344,4 +369,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.build(PARAMS, FILTERS, STAGED_FILES)
+    return oracle.build(PARAMS, FILTERS, STAGED_PARTS)

@@ -84,6 +84,12 @@ def remove_at_exit(spark: SparkSession, folder: str) -> None:
     fs.deleteOnExit(path)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with wildcards."""
+    fs, path = _file_system(spark, pattern)
+    return [str(status.getPath()) for status in fs.globStatus(path) or []]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)

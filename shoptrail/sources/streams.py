@@ -9,8 +9,9 @@ from shoptrail.runtime import remove_at_exit, work_folder
 from shoptrail.sources.tables import EVENTS_SCHEMA, StarSchema, ad_lines_from_events
 
 FILES_PER_BATCH = 1_000
-# Files, and so micro-batches, into which the registered streams cut their input.
-STAGED_FILES = 6
+# Parts, and so micro-batches, into which the registered streams cut their input, and rows of a part from which on it is cut.
+STAGED_PARTS = 6
+ROWS_PER_FILE = 1_000_000
 
 
 def kafka_lines(spark: SparkSession, brokers: str, topics: str, starting_offsets: str = "latest", **options) -> DataFrame:
@@ -27,31 +28,54 @@ def kafka_lines(spark: SparkSession, brokers: str, topics: str, starting_offsets
     return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
-def file_lines(spark: SparkSession, folder: str, fmt: str = "text", files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Lines from files that arrive in a folder, as text or as parquet with a ``value`` column."""
-    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", files_per_batch)
-    return reader.schema("value string").load(folder)
+def file_lines(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "text",
+    files_per_batch: int | None = FILES_PER_BATCH,
+    bytes_per_batch: int | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """Lines from files that arrive in a folder, as text or as parquet with a ``value`` column.
+
+    A batch takes a number of files or, with ``bytes_per_batch``, files up to that size. With ``archive``, a folder
+    outside of the arriving one, files move there once their batch is done, so that listing the folder stays cheap;
+    the checkpoint knows them and none is read again.
+    """
+    reader = spark.readStream.format(fmt).schema("value string")
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    elif files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.load(folder)
 
 
-def staged_events(spark: SparkSession, folder: str, files: int = STAGED_FILES) -> str:
-    """A folder with the ``events`` of the test schema in ``files`` files, written one after the other by event id.
+def staged_events(spark: SparkSession, folder: str, parts: int = STAGED_PARTS) -> tuple[str, int]:
+    """A folder with the ``events`` of the test schema in parts, written one after the other by event id, and files per part.
 
-    File streams take files in order of their modification time, so a stream meets the events in order.
+    File streams take files in order of their modification time, so a stream that takes a part's files at a time meets
+    the parts in order. Rows with a null or negative id belong to the first part.
     """
     events = StarSchema(spark, folder).events()
-    last = events.agg(F.max("event_id")).first()[0] or 0
+    last, rows = events.agg(F.max("event_id"), F.count(F.lit(1))).first()
+    last = max(last or 0, 0)
+    files = max(1, rows // (parts * ROWS_PER_FILE))
     staged = work_folder(spark, "staged-events")
-    for number in range(files):
-        # The ids of file k are those with floor(id * files / (last + 1)) = k.
-        low, high = (-(-k * (last + 1) // files) for k in (number, number + 1))
-        part = events.where((F.col("event_id") >= low) & (F.col("event_id") < high))
-        part.coalesce(1).write.mode("append").parquet(staged)
+    for number in range(parts):
+        # The ids of part k are those with floor(id * parts / (last + 1)) = k.
+        low, high = (-(-k * (last + 1) // parts) for k in (number, number + 1))
+        inside = F.col("event_id") < high
+        inside = inside | F.col("event_id").isNull() if number == 0 else inside & (F.col("event_id") >= low)
+        # Round robin gives all files of a part the same number of rows, so none is left out as empty.
+        events.where(inside).repartition(files).write.mode("append").parquet(staged)
     remove_at_exit(spark, staged)
-    return staged
+    return staged, files
 
 
-def star_schema_lines(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+def star_schema_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ad click lines derived from the ``events`` table of the test schema, as a stream of several micro-batches."""
-    staged = staged_events(spark, folder)
-    events = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(staged)
+    staged, files = staged_events(spark, folder)
+    events = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files).parquet(staged)
     return ad_lines_from_events(events, StarSchema(spark, folder).nation_regions())

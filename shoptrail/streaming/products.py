@@ -1,27 +1,31 @@
 """The advertising statistics as Structured Streaming queries over ad click lines.
 
-Counts are stored as increments per micro-batch, so the streams keep no state, late clicks count, and a batch that is
-delivered again changes nothing.
+Most streams keep no state: they merge each batch's counts into tables of current rows (``sinks.CurrentRows``), so late clicks
+count and a batch that is delivered again changes nothing. ``running_place_counts`` keeps its counts as state instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shoptrail.functions import bitmaps
 from shoptrail.operators import ads
 from shoptrail.runtime import remove_at_exit, work_folder
 from shoptrail.sources.streams import star_schema_lines
-from shoptrail.streaming.sinks import Increments, replace_days
+from shoptrail.streaming.sinks import CurrentRows
 
-PLACE_SCHEMA = "province string, city string, adid bigint, click_count bigint, date string"
-MINUTE_SCHEMA = "hour string, minute string, adid bigint, click_count bigint, date string"
-USER_AD_SCHEMA = "user_id bigint, adid bigint, click_count bigint, date string"
-LISTED_SCHEMA = "user_id bigint, date string"
-TOP_SCHEMA = "province string, adid bigint, click_count bigint, rank bigint, date string"
+PLACE_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
+MINUTE_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
+USER_AD_SCHEMA = "date string, user_id bigint, adid bigint, click_count bigint"
+TOP_SCHEMA = "date string, province string, adid bigint, click_count bigint, rank bigint"
+LISTED_SCHEMA = f"shard int, {bitmaps.SCHEMA}"
+#: Partitions of the blacklist, of which a batch rewrites those with new users.
+LIST_SHARDS = 16
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -36,47 +40,49 @@ def start(stream: DataFrame, write: BatchWriter, folder: str, mode: str = "appen
     return writer.trigger(**trigger).foreachBatch(write).start()
 
 
-def _places(spark: SparkSession, folder: str) -> Increments:
-    return Increments(spark, f"{folder}/place_counts", PLACE_SCHEMA)
+def _counts(spark: SparkSession, folder: str, name: str, schema: str) -> CurrentRows:
+    return CurrentRows(spark, f"{folder}/{name}", schema, {"click_count": F.sum})
 
 
-def _minutes(spark: SparkSession, folder: str) -> Increments:
-    return Increments(spark, f"{folder}/minute_counts", MINUTE_SCHEMA)
+def _places(spark: SparkSession, folder: str) -> CurrentRows:
+    return _counts(spark, folder, "place_counts", PLACE_SCHEMA)
 
 
-def _user_ads(spark: SparkSession, folder: str) -> Increments:
-    return Increments(spark, f"{folder}/user_ad_counts", USER_AD_SCHEMA)
+def _minutes(spark: SparkSession, folder: str) -> CurrentRows:
+    return _counts(spark, folder, "minute_counts", MINUTE_SCHEMA)
 
 
-def _listed(spark: SparkSession, folder: str) -> Increments:
-    """Listed users with the day of the click count that listed them."""
-    return Increments(spark, f"{folder}/blacklist", LISTED_SCHEMA)
+def _user_ads(spark: SparkSession, folder: str) -> CurrentRows:
+    return _counts(spark, folder, "user_ad_counts", USER_AD_SCHEMA)
+
+
+def _tops(spark: SparkSession, folder: str) -> CurrentRows:
+    return _counts(spark, folder, "province_top", TOP_SCHEMA)
+
+
+def _listed(spark: SparkSession, folder: str) -> CurrentRows:
+    """Listed users as bitmaps."""
+    return CurrentRows(spark, f"{folder}/blacklist", LISTED_SCHEMA, {"bits": F.bitmap_or_agg}, "shard")
 
 
 def place_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return _places(spark, folder).totals(ads.PLACE_AD)
+    return _places(spark, folder).rows()
 
 
 def minute_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return _minutes(spark, folder).totals(ads.MINUTE_AD)
+    return _minutes(spark, folder).rows()
 
 
 def user_ad_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _user_ads(spark, folder).totals(ads.USER_AD)
+    return _user_ads(spark, folder).rows()
 
 
 def listed_users(spark: SparkSession, folder: str) -> DataFrame:
-    return _listed(spark, folder).rows().select("user_id").distinct()
+    return bitmaps.members(_listed(spark, folder).rows())
 
 
 def top_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(TOP_SCHEMA).parquet(f"{folder}/province_top")
-
-
-def batches(spark: SparkSession, folder: str, table: str) -> list[int]:
-    """Numbers of the batches that wrote to a table."""
-    rows = spark.read.parquet(f"{folder}/{table}").select("batch_id").distinct()
-    return sorted(r["batch_id"] for r in rows.collect())
+    return _tops(spark, folder).rows()
 
 
 def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
@@ -91,9 +97,19 @@ def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "6
     return windows.select(F.col("window.start").alias("window_start"), "adid", "click_count")
 
 
+@contextmanager
+def _kept(clicks: DataFrame) -> Iterator[DataFrame]:
+    """A batch whose clicks are read more than once."""
+    clicks = clicks.persist()
+    try:
+        yield clicks
+    finally:
+        clicks.unpersist()
+
+
 def write_place_counts(folder: str) -> BatchWriter:
     def write(clicks: DataFrame, batch_id: int) -> None:
-        _places(clicks.sparkSession, folder).write(ads.place_counts(clicks), batch_id)
+        _places(clicks.sparkSession, folder).add(ads.place_counts(clicks), batch_id)
 
     return write
 
@@ -101,11 +117,8 @@ def write_place_counts(folder: str) -> BatchWriter:
 def update_province_top(clicks: DataFrame, batch_id: int, folder: str, n: int) -> None:
     """Add a batch's counts per place and rank again the days it touches. All other days stay as they are."""
     places = _places(clicks.sparkSession, folder)
-    places.write(ads.place_counts(clicks), batch_id)
-    days = places.batch(batch_id).select("date").distinct()
-    of_days = places.rows(batch_id).join(days, "date", "left_semi")
-    counts = of_days.groupBy(*ads.PLACE_AD).agg(F.sum("click_count").alias("click_count"))
-    replace_days(ads.province_top(counts, n), f"{folder}/province_top")
+    days = places.add(ads.place_counts(clicks), batch_id)
+    _tops(clicks.sparkSession, folder).replace(ads.province_top(places.rows(batch_id, days), n), batch_id, days)
 
 
 def write_province_top(folder: str, n: int) -> BatchWriter:
@@ -116,10 +129,10 @@ def write_province_top(folder: str, n: int) -> BatchWriter:
 
 
 def write_minute_counts(folder: str) -> BatchWriter:
-    """Store each batch's counts per minute; batches add up, so late clicks count as well."""
+    """Add each batch's counts per minute, so late clicks count as well."""
 
     def write(clicks: DataFrame, batch_id: int) -> None:
-        _minutes(clicks.sparkSession, folder).write(ads.minute_counts(clicks), batch_id)
+        _minutes(clicks.sparkSession, folder).add(ads.minute_counts(clicks), batch_id)
 
     return write
 
@@ -127,19 +140,18 @@ def write_minute_counts(folder: str) -> BatchWriter:
 def update_blacklist(clicks: DataFrame, batch_id: int, folder: str, threshold: int) -> DataFrame:
     """Filter a batch by the list so far, add up its counts and list new offenders.
 
-    The list is read afresh for each batch. Only rows of earlier batches count as known, so a batch
-    that is delivered again gives the same result. Returns the admitted clicks, which stay lazy.
+    The list is read afresh for each batch. Only what earlier batches listed counts as known, so a batch that is
+    delivered again gives the same result. Returns the admitted clicks, which stay lazy.
     """
     spark = clicks.sparkSession
     listed, counts = _listed(spark, folder), _user_ads(spark, folder)
-    known = listed.rows(batch_id - 1).select("user_id").distinct()
-    counts.write(ads.without_listed(ads.user_ad_counts(clicks), known), batch_id)
-    changed = counts.batch(batch_id).select(*ads.USER_AD)
-    totals = counts.rows(batch_id).join(changed.select("date").distinct(), "date", "left_semi")
-    totals = totals.join(changed, ads.USER_AD, "left_semi").groupBy(*ads.USER_AD).agg(F.sum("click_count").alias("click_count"))
-    new = totals.where(F.col("click_count") > threshold).groupBy("user_id").agg(F.min("date").alias("date"))
-    listed.write(ads.without_listed(new, known), batch_id)
-    return ads.without_listed(clicks, known)
+    known = listed.rows(batch_id - 1).select("bucket", "bits")
+    admitted = bitmaps.without(clicks, known)
+    days = counts.add(ads.user_ad_counts(admitted), batch_id)
+    over = counts.rows(batch_id, days).where(F.col("click_count") > threshold).select("user_id")
+    new = bitmaps.bitmaps(bitmaps.without(over, known))
+    listed.add(new.withColumn("shard", F.pmod("bucket", F.lit(LIST_SHARDS)).cast("int")), batch_id)
+    return admitted
 
 
 def write_blacklist(folder: str, threshold: int) -> BatchWriter:
@@ -153,17 +165,74 @@ def write_everything(folder: str, threshold: int, top_ads: int) -> BatchWriter:
     """All advertising statistics from one pass over the stream."""
 
     def write(clicks: DataFrame, batch_id: int) -> None:
-        clicks = clicks.persist()
-        try:
+        with _kept(clicks) as clicks:
             admitted = update_blacklist(clicks, batch_id, folder, threshold)
             update_province_top(admitted, batch_id, folder, top_ads)
-            _minutes(clicks.sparkSession, folder).write(ads.minute_counts(admitted), batch_id)
-        finally:
-            clicks.unpersist()
+            _minutes(clicks.sparkSession, folder).add(ads.minute_counts(admitted), batch_id)
 
     return write
 
 
+#: Spark's own state store on disk, whose checkpoints hold the changes of a batch and not the whole state.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB; the session's settings are as before afterwards."""
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def running_place_counts(clicks: DataFrame, lateness: str = "31 days") -> DataFrame:
+    """Clicks per day and place so far, as stream state; for update mode.
+
+    A day leaves the state once the latest click is ``lateness`` past its end; clicks for it are then dropped and reported as
+    ``numRowsDroppedByWatermark`` of the query's progress. Clicks without a time have no day and are not counted.
+    """
+    days = clicks.withWatermark("ts", lateness).groupBy(F.window("ts", "1 day"), "province", "city", "adid")
+    return days.agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def _day(column: str) -> Column:
+    return F.date_format(F.col(f"{column}.start"), "yyyy-MM-dd").alias("date")
+
+
+def write_running_counts(folder: str) -> BatchWriter:
+    """Put the rows that a batch changed in place of the earlier ones; counts only grow, so the larger is the later."""
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        table = CurrentRows(changed.sparkSession, f"{folder}/running_counts", PLACE_SCHEMA, {"click_count": F.max})
+        table.add(changed.select(_day("window"), "province", "city", "adid", "click_count"), batch_id)
+
+    return write
+
+
+def running_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return CurrentRows(spark, f"{folder}/running_counts", PLACE_SCHEMA, {"click_count": F.max}).rows()
+
+
+def state_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that the state of ``running_place_counts`` holds after its last batch, to look one up or to compare all."""
+    state = spark.read.format("statestore").load(f"{folder}/checkpoint")
+    return state.select(_day("key.window"), "key.province", "key.city", "key.adid", F.col("value.count").alias("click_count"))
+
+
+def start_running_counts(clicks: DataFrame, folder: str, lateness: str = "31 days", interval: str | None = None) -> StreamingQuery:
+    """Keep running counts below ``folder``; starting again there goes on from the state of the last finished batch."""
+    with state_on_disk(clicks.sparkSession):
+        return start(running_place_counts(clicks, lateness), write_running_counts(folder), folder, "update", interval)
+
+
 def _run(spark: SparkSession, tables: str, purpose: str, writer: Callable[[str], BatchWriter], listed: DataFrame | None = None) -> str:
     """Run the stream over the test tables to its end; returns the folder of its results."""
     folder = work_folder(spark, purpose)
@@ -179,6 +248,15 @@ def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFra
     return place_totals(spark, _run(spark, tables, "place-counts", write_place_counts, listed))
 
 
+def run_running_counts(spark: SparkSession, tables: str, listed: DataFrame) -> str:
+    """Run the stateful stream over the test tables to its end, without the users of a list of bitmaps; returns its folder."""
+    folder = work_folder(spark, "running-counts")
+    clicks = bitmaps.without(ads.parse(star_schema_lines(spark, tables)), listed)
+    start_running_counts(clicks, folder).awaitTermination()
+    remove_at_exit(spark, folder)
+    return folder
+
+
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
     return top_rows(spark, _run(spark, tables, "province-top", lambda folder: write_province_top(folder, n), listed))
 

@@ -6,7 +6,7 @@ from shoptrail import runtime
 from shoptrail.operators import ads, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import registry
-from shoptrail.sources.streams import STAGED_FILES
+from shoptrail.sources.streams import STAGED_PARTS
 from shoptrail.sources.tables import StarSchema
 from shoptrail.streaming import sinks as stream_sinks
 
@@ -42,13 +42,13 @@ def seen(monkeypatch):
         plans.append(physical_plan(df))
         return real(df, purpose)
 
-    def keep_partitions(df, folder, *names, real=stream_sinks._replace_partitions):
+    def keep_partitions(table, df, *rest, real=stream_sinks.CurrentRows._write):
         plans.append(physical_plan(df))
-        real(df, folder, *names)
+        real(table, df, *rest)
 
     for module in (registry, ads, pageflow, sampling):
         monkeypatch.setattr(module, "stored", keep)
-    monkeypatch.setattr(stream_sinks, "_replace_partitions", keep_partitions)
+    monkeypatch.setattr(stream_sinks.CurrentRows, "_write", keep_partitions)
     return plans
 
 
@@ -56,7 +56,7 @@ def seen(monkeypatch):
                                  "stream_ad_province_city_counts", "stream_ad_live_province_top3"])
 def test_stored_parts_and_batches_have_good_plans(spark, seen, key):
     QUERIES[key](spark, FOLDER).collect()
-    assert len(seen) >= (STAGED_FILES if key.startswith("stream_") else 1)
+    assert len(seen) >= (STAGED_PARTS if key.startswith("stream_") else 1)
     for plan in seen:
         assert not [operator for operator in UNWANTED if operator in plan]
     if key.startswith(("category", "session")):

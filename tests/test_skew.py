@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shoptrail.functions import bitmaps
 from shoptrail.operators import ads, categories, sessions
 from shoptrail.runtime import stored
 
@@ -108,3 +109,15 @@ def test_blacklist_replay_with_hot_user(spark, clicks):
     per_user = kept.groupBy("user_id").count().where("user_id = 7").first()
     days = clicks.where("user_id = 7").agg(F.count_distinct("date")).first()[0]
     assert days == 1 and 51 <= per_user["count"] <= 5 * 50 + 1
+
+
+def test_bitmap_list_with_a_hot_user(spark):
+    """A third of the clicks are one user's, who is not listed; the list is joined by shuffle and that user's part is cut."""
+    clicks = spark.range(600_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("user_id"), F.col("id").alias("ts_ms"))
+    listed = stored(bitmaps.bitmaps(spark.range(100, 200_000, 2).toDF("user_id")), "listed")
+    expected = clicks.join(listed_ids(spark), "user_id", "left_anti").count()
+    assert bitmaps.without(clicks, listed).count() == expected
+
+
+def listed_ids(spark):
+    return spark.range(100, 200_000, 2).toDF("user_id")
