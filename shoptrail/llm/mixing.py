@@ -2,7 +2,8 @@
 
 A source's target is met by whole passes over all its documents and a remaining budget. The budget is fitted on the
 histogram of exact document sizes: every size first gives its proportional share of documents, what is left is filled from
-the largest size down, and a bounded-knapsack dynamic programme over the last ``DP_BUDGET`` words closes the gap. Which
+the largest size down, and a bounded-knapsack dynamic programme over the last ``DP_BUDGET`` words closes the gap; where documents
+are longer than that, over as many ranges of sums. Which
 documents of a size are taken is decided by a seeded hash. Only histograms (source, size, count) reach the fitting; the
 number of different sizes k of a source is bounded by its words, as k(k-1)/2 <= words.
 
@@ -12,6 +13,8 @@ own, ordered last. Rows that agree in id, source and size are interchangeable.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +31,8 @@ SHARE = 1.5
 MOST = 2
 #: The dynamic programme runs over at most so many words.
 DP_BUDGET = 1 << 16
+#: Where documents are too long for that, it runs over as many ranges of sums, on a gap of so many of the longest documents.
+LONGEST_LEFT = 32
 SEED = 42
 #: Documents of one size and source that are ranked together; larger groups are cut by ranges of the seeded hash.
 RANKED_TOGETHER = 1_000
@@ -71,8 +76,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_BUDGET) -> np.ndarray:
     """How many documents of each (positive, distinct) size to take so that the words come near ``budget``.
 
-    Exact when the dynamic programme can reach the remaining budget, otherwise the nearest sum below it. Where no more than
-    ``dp_budget`` sums are possible (few, long documents), the nearest of them below the budget is taken.
+    Exact when the dynamic programme can reach the remaining budget, otherwise a sum below it: the nearest one if the
+    programme sees all that is left, and for documents too long for that one that ``_nearest`` finds.
     """
     order = np.argsort(-sizes)
     size, count = sizes[order].astype(object), counts[order].astype(object)
@@ -124,9 +129,10 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = DP_
             take[k] += many
             v -= many * int(size[k])
     if open_words > dp_budget and sum(s * t for s, t in zip(size, take)) < budget:
-        best = _best_of_few(size, [c - t for c, t in zip(count, shares)], open_words, dp_budget)
-        if best is not None:
-            take = [t + b for t, b in zip(shares, best)]
+        free = [c - t for c, t in zip(count, shares)]
+        other = _best_of_few(size, free, open_words, dp_budget) or _nearest(size, free, open_words, dp_budget)
+        other = [t + b for t, b in zip(shares, other)]
+        take = max(take, other, key=lambda t: sum(s * n for s, n in zip(size, t)))
     out = np.zeros(len(sizes), np.int64)
     out[order] = take
     return out
@@ -148,6 +154,44 @@ def _best_of_few(size, free, budget: int, most_sums: int) -> list[int] | None:
     return take
 
 
+def _nearest(size, free, budget: int, buckets: int) -> list[int]:
+    """The numbers of documents with a sum close below ``budget``, for documents too long to close a small gap with.
+
+    The largest go first until the gap is ``LONGEST_LEFT`` of them; the programme then runs over ``buckets`` ranges of sums and
+    keeps the largest sum of each, so it is exact for gaps up to ``buckets`` words and stops at an exact fit.
+    """
+    take, left = [0] * len(size), int(budget)
+    for k, s in enumerate(size):
+        take[k] = int(max(0, min(free[k], (left - LONGEST_LEFT * size[0]) // s)))
+        left -= take[k] * int(s)
+    unit = max(1, -(-left // buckets))
+    sums = np.full(left // unit + 1, -1, np.int64)
+    sums[0] = 0
+    # Every sum that was ever kept has a number; a step's numbers follow each other.
+    number, begins, steps, total = np.zeros(len(sums), np.int64), [], [], 1
+    for k in range(len(size)):
+        rest, many = int(min(free[k] - take[k], left // size[k])), 1
+        while rest > 0 and sums[-1] < left:
+            many = min(many, rest)
+            old = np.flatnonzero(sums >= 0)
+            new = sums[old] + many * int(size[k])
+            old, new = old[new <= left], new[new <= left]
+            to = new // unit
+            keep = np.append(to[1:] != to[:-1], True)[: len(to)] & (new > sums[to])
+            begins.append(total)
+            steps.append((k, many, number[old[keep]]))
+            sums[to[keep]], number[to[keep]] = new[keep], total + np.arange(keep.sum())
+            total += int(keep.sum())
+            rest, many = rest - many, many * 2
+    at = int(number[np.flatnonzero(sums >= 0)[-1]])
+    while at:
+        step = bisect.bisect_right(begins, at) - 1
+        k, many, came_from = steps[step]
+        take[k] += many
+        at = int(came_from[at - begins[step]])
+    return take
+
+
 def quotas(sizes: DataFrame, goals: DataFrame, most: int = MOST, dp_budget: int = DP_BUDGET) -> DataFrame:
     """Per source and size: ``passes`` over all documents and ``extra``, the documents taken once more."""
 

@@ -107,3 +107,35 @@ def test_many_long_documents():
     sizes = np.arange(70_000, 71_000)
     take = mixing.fit(sizes, np.ones(1000, np.int64), 10_000_000)
     assert (take <= 1).all() and 10_000_000 - 70_000 < int((sizes * take).sum()) <= 10_000_000
+
+
+def reachable(sizes, budget):
+    bits = 1
+    for size in sizes:
+        bits |= (bits << int(size)) & ((1 << budget + 1) - 1)
+    return bits.bit_length() - 1
+
+
+@pytest.mark.parametrize("n,low,high,budget", [(60, 70_001, 198_798, 1_000_000), (200, 80_000, 500_000, 20_000_000), (30, 330_000, 2_000_000, 9_000_000)])
+def test_long_documents_come_near_the_budget(n, low, high, budget):
+    rng = np.random.default_rng(n)
+    sizes = np.unique(rng.integers(low, high, n))
+    take = mixing.fit(sizes, np.ones(len(sizes), np.int64), budget)
+    assert ((take == 0) | (take == 1)).all()
+    taken = int((take * sizes).sum())
+    # An exact search meets the budget to a few words; ranges of sums lose a few times their width at most.
+    assert budget - 0.001 * sizes.min() <= taken <= budget
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_small_cases_beyond_the_programme_are_exact(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.unique(rng.integers(50, 400, 12))
+    counts = rng.integers(1, 4, len(sizes))
+    budget = int((sizes * counts).sum() * rng.uniform(0.2, 0.9))
+    # The programme alone sees 40 words; the gap of all documents has more sums than ranges of sums.
+    found = mixing._nearest(sizes[::-1].astype(object), counts[::-1].astype(object), budget, budget)
+    assert sum(int(s) * t for s, t in zip(sizes[::-1], found)) == reachable(np.repeat(sizes, counts), budget)
+    assert all(0 <= t <= c for t, c in zip(found, counts[::-1]))
+    taken = int((mixing.fit(sizes, counts, budget, dp_budget=40) * sizes).sum())
+    assert budget - sizes.min() < taken <= budget
