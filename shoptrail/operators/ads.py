@@ -17,10 +17,11 @@ MINUTE_MS = 60_000
 MOST_MS = (2**63 - 1) // 1000
 
 
-def parse(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
+def parse(lines: DataFrame, observation: Observation | str | None = None) -> DataFrame:
     """Text lines to typed clicks. Lines with a missing or unreadable field drop out.
 
-    With ``observation`` the numbers of lines and of malformed ones are reported beside the result.
+    With ``observation`` the numbers of lines and of malformed ones are reported beside the result: by the
+    observation or, if it is a name, by a stream's progress.
     Each line is split once: the generator keeps conditions on the fields from being pushed below the
     split, where each would repeat it.
     """

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions import columns as C
-from shoptrail.operators.ranking import salt_count
 from shoptrail.runtime import stored
 
 
@@ -29,31 +28,36 @@ def with_day_count(counts: DataFrame) -> DataFrame:
     return counts.withColumn("days", _days(counts))
 
 
+#: Leading hexadecimal digits of the seeded hash that name the cells of an hour: 4,096 of them.
+CELL_DIGITS = 3
+
+
 def draw(sessions: DataFrame, size: int, seed: int) -> DataFrame:
     """Draw about ``size`` sessions without replacement, the same ones for the same seed: ids, date and hour.
 
     An hour gets ``floor(its share of the day * floor(size / days))`` sessions, those with the lowest seeded
-    hash. The quotas come from counts; only id, hour and hash of the sessions are ranked, first in shards of
-    an hour, of which no more than the hour's quota goes on.
+    hash. Counts per hour and cell of hashes show the cell in which the quota ends; sessions in the cells before it are
+    drawn as they are, those of later cells never leave the scan's stage, and only within a cell are sessions ranked. So a
+    window holds a 4,096th of an hour, however many sessions the hour has.
     """
     start = F.col("start_time")
-    counts = stored(hour_counts(sessions), "hour-counts")
-    share = F.col("sessions").cast("double") / F.col("day_sessions")
-    quota = F.least(F.col("sessions"), (share * F.floor(F.lit(size) / _days(counts))).cast("bigint"))
-    quotas = stored(counts.select("date", "hour", quota.alias("quota")).where("quota > 0"), "hour-quotas")
     lean = sessions.select(
         C.day_of(start).alias("date"),
         C.hour_of(start).alias("hour"),
         "session_id",
         F.md5(F.concat_ws(":", F.lit(str(seed)), "session_id")).alias("draw"),
-        F.pmod(F.xxhash64("session_id"), F.lit(salt_count(sessions.sparkSession))).alias("shard"),
-    )
-    lean = lean.join(quotas, ["date", "hour"])
-    by_shard = Window.partitionBy("date", "hour", "shard").orderBy("draw", "session_id")
-    first = lean.withColumn("rank", F.row_number().over(by_shard)).where(F.col("rank") <= F.col("quota"))
-    by_hour = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
-    ranked = first.withColumn("rank", F.row_number().over(by_hour)).where(F.col("rank") <= F.col("quota"))
-    return ranked.select("date", "hour", "session_id")
+    ).withColumn("cell", F.left("draw", F.lit(CELL_DIGITS)))
+    cells = stored(lean.groupBy("date", "hour", "cell").agg(F.count(F.lit(1)).alias("n")), "cell-counts")
+    counts = cells.groupBy("date", "hour").agg(F.sum("n").alias("sessions"))
+    counts = stored(counts.withColumn("day_sessions", F.sum("sessions").over(Window.partitionBy("date"))), "hour-counts")
+    share = F.col("sessions").cast("double") / F.col("day_sessions")
+    quota = F.least(F.col("sessions"), (share * F.floor(F.lit(size) / _days(counts))).cast("bigint"))
+    upto = F.sum("n").over(Window.partitionBy("date", "hour").orderBy("cell"))
+    cuts = cells.withColumn("before", upto - F.col("n")).join(counts.select("date", "hour", quota.alias("quota")), ["date", "hour"])
+    cuts = stored(cuts.where("before < quota").select("date", "hour", "cell", (F.col("quota") - F.col("before")).alias("wanted")), "cuts")
+    within = Window.partitionBy("date", "hour", "cell").orderBy("draw", "session_id")
+    ranked = lean.join(cuts, ["date", "hour", "cell"]).withColumn("rank", F.row_number().over(within))
+    return ranked.where(F.col("rank") <= F.col("wanted")).select("date", "hour", "session_id")
 
 
 def extract(drawn: DataFrame, details: DataFrame) -> DataFrame:

@@ -295,6 +295,12 @@ def build(params: TaskParams, filters: dict[str, TaskParams], files: int) -> dic
     for key in ("ad_province_city_counts", "ad_province_top3", "ad_click_trend_minute", "ad_blacklist", "ad_click_sliding_hour"):
         sql["stream_" + key] = sql[key]
     sql["stream_ad_running_place_counts"] = sql["stream_ad_state_rows"] = sql["ad_province_city_counts"]
+    sql["stream_ad_counters"] = (
+        live
+        + """SELECT file AS batch_id, count(*) AS lines, CAST(0 AS BIGINT) AS malformed,
+                    count(*) FILTER (WHERE user_id IN (SELECT user_id FROM listed)) AS filtered
+             FROM numbered GROUP BY file"""
+    )
     sql["stream_ad_live_user_counts"] = (
         live + "SELECT date, user_id, adid, count(*) AS click_count FROM admitted GROUP BY date, user_id, adid"
     )

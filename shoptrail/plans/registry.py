@@ -353,6 +353,12 @@ def stream_ad_state_rows(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.state_rows(spark, done)
 
 
+@_query
+def stream_ad_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines, malformed lines and filtered clicks of each batch, counted while the stream runs."""
+    return stream_products.batch_counters(spark, folder, _stored_bitmaps(spark, folder))
+
+
 @_query
 def stream_ad_live_user_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The whole application with its feedback: clicks of listed users stop counting with the next file."""

@@ -248,6 +248,34 @@ def place_counts(spark: SparkSession, tables: str, listed: DataFrame) -> DataFra
     return place_totals(spark, _run(spark, tables, "place-counts", write_place_counts, listed))
 
 
+COUNTER_SCHEMA = "batch_id bigint, lines bigint, malformed bigint, filtered bigint"
+
+
+def counters(query: StreamingQuery) -> list[tuple[int, int, int, int]]:
+    """Per batch with input, of those whose progress Spark still keeps: lines, malformed ones, and clicks of listed users."""
+    found = {}
+    for progress in query.recentProgress:
+        seen = progress["observedMetrics"]
+        if progress["numInputRows"] and "read" in seen and "admitted" in seen:
+            read, admitted = seen["read"], seen["admitted"]["clicks"]
+            found[progress["batchId"]] = (read["lines"], read["malformed"], read["lines"] - read["malformed"] - admitted)
+    return [(batch, *counted) for batch, counted in sorted(found.items())]
+
+
+def counted_clicks(lines: DataFrame, listed: DataFrame) -> DataFrame:
+    """Clicks of users that are not on a list of bitmaps, counted on the way."""
+    return bitmaps.without(ads.parse(lines, "read"), listed).observe("admitted", F.count(F.lit(1)).alias("clicks"))
+
+
+def batch_counters(spark: SparkSession, tables: str, listed: DataFrame) -> DataFrame:
+    """The counters of a stream over the test tables that keeps the minute trend."""
+    folder = work_folder(spark, "counters")
+    query = start(counted_clicks(star_schema_lines(spark, tables), listed), write_minute_counts(folder), folder)
+    query.awaitTermination()
+    remove_at_exit(spark, folder)
+    return spark.createDataFrame(counters(query), COUNTER_SCHEMA)
+
+
 def run_running_counts(spark: SparkSession, tables: str, listed: DataFrame) -> str:
     """Run the stateful stream over the test tables to its end, without the users of a list of bitmaps; returns its folder."""
     folder = work_folder(spark, "running-counts")

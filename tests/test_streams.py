@@ -289,3 +289,13 @@ def test_parquet_line_source(spark, tmp_path):
     clicks = ads.parse(file_lines(spark, folder, "parquet"))
     products.start(clicks, products.write_minute_counts(out), out).awaitTermination()
     assert products.minute_totals(spark, out).agg(F.sum("click_count")).first()[0] == 10
+
+
+def test_counters_of_a_running_stream(spark, tmp_path):
+    parts = [[line(1, user=1), "broken line", line(2, user=2)], ["", line(3, user=1)], [line(4, user=3)]]
+    out, listed = str(tmp_path / "out"), bitmaps.bitmaps(spark.createDataFrame([(1,)], "user_id bigint"))
+    clicks = products.counted_clicks(stream(spark, land(tmp_path / "in", parts)), listed)
+    query = products.start(clicks, products.write_minute_counts(out), out)
+    query.awaitTermination()
+    assert products.counters(query) == [(0, 3, 1, 1), (1, 2, 1, 1), (2, 1, 0, 0)]
+    assert products.minute_totals(spark, out).agg(F.sum("click_count")).first()[0] == 2
