@@ -196,19 +196,22 @@ def _around_centres(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links within the groups of each pivot, and pairs that may link besides.
 
     ``members`` are rows of ``_compared`` with the pivot as ``b``. A group's centre is the set of the elements that more than
-    half of its members have, its pivot too. Let a member of ``size`` elements differ from the centre in ``d``: two sets
+    half of its members have, its pivot too, or the pivot's set if most members link with that. Let a member of ``size`` elements differ from the centre in ``d``: two sets
     link if they differ in up to 15 / 185 of both sizes, so they do at once if the sum of both ``slack`` = 185 d - 15 size
     is 0 or less. If that is so for any partner, it is for the member of least slack. Other pairs need (slack + slack) / 370
     of their differences in common: at least 1. Pairs of members that link with that member need no comparison.
     """
     part, whole = SIMILAR
     plus, minus = whole + part, whole - part
-    own = members.groupBy(F.col("b").alias("a")).agg(F.first("size_b").alias("size_a"), F.count(F.lit(1)).alias("n"))
+    linked = F.count_if(_enough(F.col("common"), F.col("size_a"), F.col("size_b")))
+    own = members.groupBy(F.col("b").alias("a")).agg(F.first("size_b").alias("size_a"), F.count(F.lit(1)).alias("n"), linked.alias("linked"))
     own = stored(own, "groups")
     rows = members.select("a", "b", F.col("size_a").alias("size"), "apart")
     rows = rows.union(own.select("a", F.col("a").alias("b"), "size_a", F.array().cast("array<bigint>")))
-    often = members.select("b", F.explode("apart").alias("element")).groupBy("b", "element").agg(F.count(F.lit(1)).alias("times"))
-    often = often.join(own.select(F.col("a").alias("b"), "n"), "b").where(2 * F.col("times") > F.col("n") + 1)
+    # A pivot that most members link with is near the centre and serves as one.
+    astray = own.where("2 * linked <= n").select(F.col("a").alias("b"), "n")
+    often = members.select("b", "apart").join(astray, "b").select("b", "n", F.explode("apart").alias("element"))
+    often = often.groupBy("b", "n", "element").agg(F.count(F.lit(1)).alias("times")).where(2 * F.col("times") > F.col("n") + 1)
     centres = stored(often.groupBy("b").agg(F.collect_list("element").alias("centre")), "centres")
     rows = rows.join(centres.hint("merge"), "b", "left")
     moved = F.concat(F.array_except("apart", "centre"), F.array_except("centre", "apart"))
