@@ -174,7 +174,7 @@ def _ratio_columns() -> str:
     return ", ".join(parts)
 
 
-def build(params: TaskParams, filters: dict[str, TaskParams], files: int) -> dict[str, str]:
+def build(params: TaskParams, filters: dict[str, TaskParams], files: int, periods, permilles) -> dict[str, str]:
     """SQL per query key. ``filters`` holds the parameters of the single-condition queries."""
     base = "WITH " + _BASE.format(
         start_date=params.start_date, end_date=params.end_date, start_age=params.start_age, end_age=params.end_age
@@ -322,4 +322,43 @@ def build(params: TaskParams, filters: dict[str, TaskParams], files: int) -> dic
              strftime(make_timestamp(action_sec * 1000000), '%Y-%m-%d_%H') AS date_hour,
              strftime(make_timestamp(action_sec * 1000000), '%Y%m%d%H%M') AS minute_key FROM actions"""
     )
+    early, late = (f"date BETWEEN '{first}' AND '{last}'" for _, first, last in periods)
+    asked = ", ".join(f"({p}::BIGINT)" for p in permilles)
+    sql["session_length_quantiles"] = (
+        base
+        + f""", l AS (
+             SELECT p.period, m.measure, CASE m.measure WHEN 'visit_length' THEN visit_length ELSE step_length END AS length
+             FROM kept, (VALUES ('visit_length'), ('step_length')) m(measure),
+                  (VALUES {", ".join(str(p) for p in periods)}) p(period, first, last)
+             WHERE start_time[:10] BETWEEN p.first AND p.last),
+           r AS (SELECT *, row_number() OVER (PARTITION BY period, measure ORDER BY length) AS rn,
+                        count(*) OVER (PARTITION BY period, measure) AS n FROM l)
+           SELECT period, measure, permille, n, length FROM r, (VALUES {asked}) a(permille)
+           WHERE rn = greatest((n * permille + 999) // 1000, 1)"""
+    )
+    # Sketches count exactly below 65,536 distinct values and estimate beyond; this is the exact count at any size.
+    sql["distinct_by_period"] = (
+        base
+        + ", "
+        + _ADS.format(blacklist_threshold=threshold).replace("ev AS", "ad_ev AS").replace("FROM ev ", "FROM ad_ev ").strip()
+        + f""", seen AS (
+             SELECT DISTINCT 'session_id' AS counted, date, session_id AS v FROM actions
+             UNION ALL SELECT DISTINCT 'user_id', date, CAST(user_id AS VARCHAR) FROM actions
+             UNION ALL SELECT DISTINCT 'listed', date, CAST(user_id AS VARCHAR) FROM user_ad WHERE click_count > {threshold}),
+           sides AS (SELECT counted, v, bool_or({early}) AS a, bool_or({late}) AS b FROM seen GROUP BY counted, v)
+           SELECT counted, count(*) FILTER (a) AS early, count(*) FILTER (b) AS late, count(*) FILTER (a OR b) AS both_sets,
+                  count(*) FILTER (a AND NOT b) AS gone, count(*) FILTER (b AND NOT a) AS added FROM sides GROUP BY counted"""
+    )
+    sql["visits_of_busy_days"] = (
+        base
+        + """, d AS (SELECT date, count(*) AS n FROM actions GROUP BY date)
+           SELECT date, page_id, count(*) AS visits FROM actions
+           WHERE date IN (SELECT date FROM d WHERE n > (SELECT avg(n) FROM d)) GROUP BY date, page_id"""
+    )
+    sql["visits_by_profile"] = (
+        base
+        + """SELECT professional, sex, city, count(*) AS visits, count(*) FILTER (click_category_id <> -1) AS clicks,
+                    count(pay_category_ids) AS purchases
+             FROM actions a JOIN user_info u ON a.user_id = u.user_id GROUP BY professional, sex, city"""
+    )
     return sql

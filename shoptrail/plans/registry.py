@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from shoptrail.functions import bitmaps
 from shoptrail.functions import columns as C
-from shoptrail.operators import ads, areas, categories, pageflow, sampling, sessions
+from shoptrail.operators import ads, areas, categories, distributions, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import oracle
 from shoptrail.runtime import stored
+from shoptrail.sources import layouts
 from shoptrail.sources.streams import STAGED_PARTS
 from shoptrail.sources.tables import REGION_LEVELS, StarSchema, visit_actions
 from shoptrail.streaming import products as stream_products
@@ -54,6 +55,10 @@ FILTERS = {
 TASK_JSON = """{startDate:"2024-01-05", endDate:"2024-01-24", startAge:25, endAge:40, sex:"female",
 professionals:"professional1,professional3,professional5", cities:"", keywords:"", categoryIds:"1,2,3,4,5,6,7"}"""
 
+#: Two sets of days that share some, and the shares of which quantiles are taken.
+EARLY, LATE = ("early", "2024-01-05", "2024-01-15"), ("late", "2024-01-13", "2024-01-24")
+PERMILLES = (100, 500, 900, 990, 1000)
+
 _QUERIES: dict[str, Query] = {}
 _AD_COLUMNS = ["ts_ms", "date", "province", "city", "user_id", "adid"]
 
@@ -313,6 +318,42 @@ def actions_from_text(spark: SparkSession, folder: str) -> DataFrame:
         spark.catalog.dropTempView(view)
 
 
+@_query
+def session_length_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Two periods from one table of sketches per day."""
+    lengths = stored(distributions.lengths(_kept_sessions(spark, folder)), "session-lengths")
+    sketches = stored(distributions.length_sketches(lengths), "length-sketches")
+    return distributions.quantiles(lengths, distributions.merged(sketches, (EARLY, LATE)), PERMILLES)
+
+
+@_query
+def distinct_by_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions, users and users that exceeded the blacklist's threshold on some of the days, from sketches per day."""
+    visits = StarSchema(spark, folder).actions(PARAMS).select("date", "session_id", "user_id")
+    counts = ad_user_click_counts(spark, folder)
+    listed = counts.where(F.col("click_count") > PARAMS.blacklist_threshold).select("date", F.col("user_id").alias("listed"))
+    names = ["session_id", "user_id", "listed"]
+    sketches = distributions.distinct_sketches(visits.unionByName(listed, allowMissingColumns=True), names)
+    return distributions.distinct_counts(stored(sketches, "distinct-sketches"), names, EARLY, LATE)
+
+
+@_query
+def visits_of_busy_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Visits per page on days with more visits than the mean; the days prune the folders of the saved log at run time."""
+    visits = layouts.saved_by_date(StarSchema(spark, folder).actions(PARAMS).select("event_id", "date", "page_id"))
+    kept = layouts.of_days(visits, layouts.busy_days(visits))
+    return kept.groupBy("date", "page_id").agg(F.count(F.lit(1)).alias("visits"))
+
+
+@_query
+def visits_by_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Two bucketed tables joined bucket by bucket."""
+    star = StarSchema(spark, folder)
+    visits = star.actions(PARAMS).select("event_id", "user_id", "click_category_id", "pay_category_ids")
+    users = star.users().select("user_id", *sessions.PROFILE_COLUMNS)
+    return layouts.visits_by_profile(*layouts.co_located(visits, users))
+
+
 @_query
 def stream_ad_province_city_counts(spark: SparkSession, folder: str) -> DataFrame:
     return stream_products.place_counts(spark, folder, _stored_blacklist(spark, folder))
@@ -375,4 +416,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.build(PARAMS, FILTERS, STAGED_PARTS)
+    return oracle.build(PARAMS, FILTERS, STAGED_PARTS, (EARLY, LATE), PERMILLES)

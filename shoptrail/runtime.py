@@ -45,14 +45,14 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Later steps then plan with its real size and need not derive it again, also after losing executors.
     The table goes when ``temporary_tables`` around the call ends, or else with the session's process.
     """
     folder = work_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.partitionBy(*partition_by).parquet(folder)
     remove_at_exit(df.sparkSession, folder)
     inside = _stored_inside.get()
     if inside is not None:

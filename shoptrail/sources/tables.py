@@ -80,10 +80,24 @@ def product_info(spark: SparkSession, table: str = "product_info") -> DataFrame:
     return spark.table(table)
 
 
-def save_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a catalog table, whatever its former layout."""
+def save_table(
+    df: DataFrame,
+    name: str,
+    partition_by: tuple[str, ...] = (),
+    bucket_by: tuple[int | str, ...] = (),
+    folder: str | None = None,
+) -> None:
+    """Replace a catalog table, whatever its former layout.
+
+    ``bucket_by`` is the number of buckets, then the columns. With ``folder`` the files lie there and outlive the table.
+    """
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.partitionBy(*partition_by).saveAsTable(name)
+    writer = df.write.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by)
+    if folder:
+        writer = writer.option("path", folder)
+    writer.saveAsTable(name)
 
 
 class StarSchema:

@@ -3,9 +3,10 @@
 import pytest
 
 from shoptrail import runtime
-from shoptrail.operators import ads, pageflow, sampling, sessions
+from shoptrail.operators import ads, distributions, pageflow, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans import registry
+from shoptrail.sources import layouts
 from shoptrail.sources.streams import STAGED_PARTS
 from shoptrail.sources.tables import StarSchema
 from shoptrail.streaming import sinks as stream_sinks
@@ -46,7 +47,7 @@ def seen(monkeypatch):
         plans.append(physical_plan(df))
         real(table, df, *rest)
 
-    for module in (registry, ads, pageflow, sampling):
+    for module in (registry, ads, distributions, layouts, pageflow, sampling):
         monkeypatch.setattr(module, "stored", keep)
     monkeypatch.setattr(stream_sinks.CurrentRows, "_write", keep_partitions)
     return plans
@@ -70,8 +71,11 @@ def test_no_window_without_keys(spark, seen, key):
         assert "Exchange SinglePartition" not in plan or "Window" not in plan.split("Exchange SinglePartition")[0]
 
 
-# Page queries read the stored visits; their scan of the events lies in the stored part.
-@pytest.mark.parametrize("key", [k for k in BATCH if not k.startswith(("ad_", "page_"))])
+# Page queries and those on laid-out tables or sketches scan the events in a stored part.
+STORED_FIRST = ("ad_", "page_", "visits_", "session_length_quantiles", "distinct_by_period")
+
+
+@pytest.mark.parametrize("key", [k for k in BATCH if not k.startswith(STORED_FIRST)])
 def test_period_reaches_the_scan(spark, key):
     scans = event_scans(physical_plan(QUERIES[key](spark, FOLDER)))
     assert scans and all("GreaterThanOrEqual(ts" in s and "LessThan(ts" in s for s in scans)
