@@ -3,11 +3,12 @@
 Vectors are packed into blocks; a block of candidates is laid out by dimension. For each query, partial scores accumulate
 over one run of dimensions after the other; a candidate's final score is at most its partial score plus the product of
 the remaining norms (Cauchy-Schwarz), and candidates that cannot reach the k-th best score so far are compacted away.
-Query blocks meet candidate blocks through an equi-join on the block pair, so no task holds all queries or candidates.
+Candidate blocks lie in as many groups as there are blocks; every query block is sent to each group and streams past the
+group's blocks, so a candidate moves once and no task holds all queries or candidates.
 
 Components x become floor(scale * x). Vectors that are null or hold null or non-finite components take no part, neither
-do those without an id; vectors of different lengths are not compared. Rows that repeat an id count one by one, but no row
-is a candidate for a query of its own id. Ties go to the smaller id. Scores beyond 64 bits are cut to the nearest bound.
+do those without an id; vectors of different lengths are not compared. Rows that repeat an id count one by one, as queries
+and as candidates: a query leaves out its own row alone. Ties go to the smaller id. Scores beyond 64 bits are cut to the nearest bound.
 """
 
 from __future__ import annotations
@@ -27,48 +28,87 @@ CANDIDATES, QUERIES = 8192, 512
 #: Candidates that share one column layout, and dimensions that are accumulated before candidates are dropped.
 LAYOUT, STEP = 2048, 16
 
-_PACKED = "dim int, block long, ids binary, vectors binary"
+def _joined(parts) -> bytes:
+    return np.concatenate(parts).astype("<i8").tobytes()
 
 
-def _packed(vectors: DataFrame, most: int) -> DataFrame:
-    """Blocks of at most ``most`` vectors of one length: ids and row-major components as little-endian 64-bit integers."""
+def _candidate_blocks(vectors: DataFrame, most: int) -> DataFrame:
+    """Blocks of at most ``most`` vectors of one length: ids, row-major components and which rows are queries (little-endian)."""
 
     def run(batches):
         for batch in batches:
             dims = np.asarray(batch.column(2))
+            asked = batch.column(3).to_numpy(zero_copy_only=False)
             out = []
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 for part in np.array_split(rows, -(-len(rows) // most)):
                     values = batch.column(1).take(pa.array(part)).flatten().to_numpy(zero_copy_only=False)
                     ids = batch.column(0).take(pa.array(part)).to_numpy(zero_copy_only=False)
-                    out.append((int(dim), ids.astype("<i8").tobytes(), values.astype("<i8").tobytes()))
-            columns = list(zip(*out)) or [[], [], []]
-            types = (pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["dim", "ids", "vectors"])
-
-    packed = vectors.mapInArrow(run, "dim int, ids binary, vectors binary")
+                    places = np.flatnonzero(asked[part]).astype("<i8").tobytes()
+                    out.append((int(dim), ids.astype("<i8").tobytes(), values.astype("<i8").tobytes(), places))
+            columns = list(zip(*out)) or [[], [], [], []]
+            types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            names = ["dim", "ids", "vectors", "asked"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+
+    packed = vectors.mapInArrow(run, "dim int, ids binary, vectors binary, asked binary")
     return packed.withColumn("block", F.monotonically_increasing_id())
 
 
-def top_of_block(query_ids, queries, ids, vectors, k: int = K, layout: int = LAYOUT, step: int = STEP):
-    """Per query: ids and scores of the ``k`` best candidates, scores descending, ties to the smaller id."""
+def _query_blocks(candidates: DataFrame, most: int) -> DataFrame:
+    """The queries among stored candidates in blocks of about ``most``, each with the block and place of its own row."""
+
+    def run(batches):
+        held: dict[int, list] = {}
+        names = ["dim", "q_ids", "q_vectors", "q_blocks", "q_places"]
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+
+        def block(dim):
+            columns = [dim, *[_joined(parts) for parts in zip(*held.pop(dim))]]
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, types)], names=names)
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                dim, ids, vecs, asked, number = (batch.column(c)[r].as_py() for c in range(5))
+                places = np.frombuffer(asked, "<i8")
+                ids = np.frombuffer(ids, "<i8")
+                vecs = np.frombuffer(vecs, "<i8").reshape(len(ids), dim)
+                for first in range(0, len(places), most):
+                    part = places[first : first + most]
+                    parts = held.setdefault(dim, [])
+                    parts.append((ids[part], vecs[part].ravel(), np.full(len(part), number), part))
+                    if sum(len(p[0]) for p in parts) >= most:
+                        yield block(dim)
+        for dim in list(held):
+            yield block(dim)
+
+    asked = candidates.where(F.length("asked") > 0).select("dim", "ids", "vectors", "asked", "block")
+    packed = asked.mapInArrow(run, "dim int, q_ids binary, q_vectors binary, q_blocks binary, q_places binary")
+    return packed.withColumn("q", F.monotonically_increasing_id())
+
+
+def top_of_block(own_places, queries, ids, vectors, k: int = K, layout: int = LAYOUT, step: int = STEP):
+    """Per query: ids and scores of the ``k`` best candidates, scores descending, ties to the smaller id.
+
+    ``own_places`` says where in the block a query's own row stands, -1 where it is not in it.
+    """
     dim = vectors.shape[1]
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(dim, 1)
     exact = np.float64 if largest < 2.0**52 else object  # sums of products stay whole numbers either way
     cuts = list(range(0, dim, step)) + [dim] if dim else [0, 0]
     rest_q = [np.sqrt((queries[:, c:].astype(np.float64) ** 2).sum(1)) for c in cuts]
-    best: list = [(np.empty(0, np.int64), np.empty(0, exact)) for _ in query_ids]
+    best: list = [(np.empty(0, np.int64), np.empty(0, exact)) for _ in own_places]
     for first in range(0, len(ids), layout):
         own = ids[first : first + layout]
         columns = np.ascontiguousarray(vectors[first : first + layout].T)
         rest = [np.sqrt((columns[c:].astype(np.float64) ** 2).sum(0)) for c in cuts]
         columns = columns.astype(exact)
         opening = queries[:, cuts[0] : cuts[1]].astype(exact) @ columns[cuts[0] : cuts[1]]
-        for number, (query_id, query) in enumerate(zip(query_ids, queries.astype(exact))):
+        for number, (own_place, query) in enumerate(zip(own_places, queries.astype(exact))):
             top_ids, top_scores = best[number]
             floor = float(top_scores[-1]) if len(top_scores) == k else -np.inf
-            alive = np.flatnonzero(own != query_id)
+            alive = np.flatnonzero(np.arange(first, first + len(own)) != own_place)
             partial = opening[number][alive]
             for a, b in zip(cuts[1:-1], cuts[2:]):
                 if floor > -np.inf:
@@ -96,34 +136,36 @@ def top_k(
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.where(F.col(id).isNotNull() & F.col(vector).isNotNull() & finite)
-    rows = rows.select(F.col(id).cast("long").alias("id"), whole.alias("v"), F.size(vector).alias("dim"), is_query.alias("q"))
-    candidates = stored(_packed(rows.select("id", "v", "dim"), CANDIDATES), "candidate blocks")
-    queries = stored(_packed(rows.where("q").select("id", "v", "dim"), QUERIES), "query blocks")
-    # Every candidate block meets every query block of its length; the pair of block numbers is the key, so the work
-    # spreads over all tasks. The listing of pairs holds numbers only.
-    pairs = candidates.select("dim", F.col("block").alias("c")).join(queries.select("dim", F.col("block").alias("q")), "dim")
-    pairs = stored(pairs.select("c", "q"), "block pairs")
-    left = pairs.join(candidates.withColumnRenamed("block", "c"), "c")
-    right = pairs.join(queries.select(F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")), "q")
-    met = left.join(right, ["c", "q"])
+    rows = rows.select(F.col(id).cast("long").alias("id"), whole.alias("v"), F.size(vector).alias("dim"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    candidates = stored(_candidate_blocks(rows.select("id", "v", "dim", "q"), CANDIDATES), "candidate blocks")
+    queries = stored(_query_blocks(candidates, QUERIES), "query blocks")
+    # As many groups as blocks of a length: a group holds one block or a few. The size of the queries times the groups is
+    # not known to the planner, so it must not take them for small enough to broadcast. The queries stream, on the left;
+    # the blocks of a group are held.
+    groups = candidates.groupBy("dim").agg(F.count(F.lit(1)).alias("groups"))
+    sent = queries.join(groups, "dim").select("*", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")).drop("groups")
+    dealt = candidates.join(groups, "dim").select(
+        "dim", F.pmod(F.xxhash64("block"), F.col("groups")).alias("group"), "block", "ids", "vectors"
+    )
+    met = sent.hint("merge").join(dealt, ["dim", "group"])
 
     def run(batches):
         for batch in batches:
             out = [], [], [], [], []
             for r in range(batch.num_rows):
-                dim, ids, vecs, q_ids, q_vecs = (batch.column(c)[r].as_py() for c in range(5))
-                ids, q_ids = np.frombuffer(ids, "<i8"), np.frombuffer(q_ids, "<i8")
+                dim, ids, vecs, block, q_ids, q_vecs, q_blocks, q_places, q = (batch.column(c)[r].as_py() for c in range(9))
+                ids, q_ids, q_blocks, q_places = (np.frombuffer(b, "<i8") for b in (ids, q_ids, q_blocks, q_places))
                 vecs = np.frombuffer(vecs, "<i8").reshape(len(ids), dim)
                 q_vecs = np.frombuffer(q_vecs, "<i8").reshape(len(q_ids), dim)
-                block = batch.column(5)[r].as_py()
-                for n, (found, scores) in enumerate(top_of_block(q_ids, q_vecs, ids, vecs, k)):
+                own_places = np.where(q_blocks == block, q_places, -1)
+                for n, (found, scores) in enumerate(top_of_block(own_places, q_vecs, ids, vecs, k)):
                     scores = [max(min(int(s), 2**63 - 1), -(2**63)) for s in scores]
-                    for column, value in zip(out, (block, n, int(q_ids[n]), found.tolist(), scores)):
+                    for column, value in zip(out, (q, n, int(q_ids[n]), found.tolist(), scores)):
                         column.append(value)
             types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["q", "n", "query_id", "ids", "scores"])
 
-    tops = met.select("dim", "ids", "vectors", "q_ids", "q_vectors", "q").mapInArrow(
+    tops = met.select("dim", "ids", "vectors", "block", "q_ids", "q_vectors", "q_blocks", "q_places", "q").mapInArrow(
         run, "q long, n int, query_id long, ids array<bigint>, scores array<bigint>"
     )
     flat = tops.select("q", "n", "query_id", F.inline(F.arrays_zip("ids", "scores"))).toDF("q", "n", "query_id", "vec_id", "score")
@@ -138,12 +180,12 @@ def query(embeddings: DataFrame) -> DataFrame:
 #: DuckDB counterpart of ``query``.
 SQL = """
 WITH e AS (
-  SELECT vec_id, [floor(x::DOUBLE * 1024)::BIGINT for x in embedding] AS v FROM embeddings
+  SELECT row_number() OVER () AS row_no, vec_id, [floor(x::DOUBLE * 1024)::BIGINT for x in embedding] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.row_no, q.vec_id AS query_id, c.vec_id,
     list_inner_product([x::DOUBLE for x in q.v], [x::DOUBLE for x in c.v])::BIGINT AS score
-  FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+  FROM e q JOIN e c ON q.row_no <> c.row_no AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+FROM (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """

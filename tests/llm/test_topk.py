@@ -16,9 +16,9 @@ def brute_force(rows, k=10):
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
     out = []
-    for q, v in usable:
+    for row, (q, v) in enumerate(usable):
         if q % 100 == 0:
-            found = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v)]
+            found = [(-sum(a * b for a, b in zip(v, w)), i) for other, (i, w) in enumerate(usable) if other != row and len(w) == len(v)]
             out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(found)[:k], 1)]
     return sorted(out)
 
@@ -53,7 +53,19 @@ def test_edge_cases(spark):
     assert topk.query(df.limit(0)).count() == 0
 
 
-def test_queries_repeat_when_their_rows_do(spark):
-    df = spark.createDataFrame([(*r, 0.0, 1) for r in vectors(30, 4, 3) + [(0, [0.1, 0.2, 0.3, 0.4])]], SCHEMA)
-    found = topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).collect()
-    assert sorted(r["rank"] for r in found) == [1, 1, 2, 2, 3, 3] and all(r["vec_id"] != 0 for r in found)
+def test_a_query_leaves_out_its_own_row_alone(spark, monkeypatch):
+    """Ids repeat, also within a block and as a third of all rows: other rows of a query's id are candidates."""
+    monkeypatch.setattr(topk, "CANDIDATES", 16)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rows = [(i if i % 3 else 0, v) for i, v in vectors(90, 4, 3, ties=True)] + [(100, [0.1] * 4), (100, [0.1] * 4)]
+    df = spark.createDataFrame([(*r, 0.0, 1) for r in rows], SCHEMA).repartition(3)
+    assert sorted(map(tuple, topk.query(df).collect())) == brute_force(rows)
+
+
+def test_candidates_move_once(spark, monkeypatch):
+    """One row per group and query block leaves the join, and candidates are not repeated before it."""
+    monkeypatch.setattr(topk, "CANDIDATES", 20)
+    df = spark.createDataFrame([(*r, 0.0, 1) for r in vectors(400, 8, 4)], SCHEMA).repartition(4)
+    plan = topk.query(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode(sequence") == 1 and "SortMergeJoin" in plan
+    assert sorted(map(tuple, topk.query(df).collect())) == brute_force([(r["vec_id"], r["embedding"]) for r in df.collect()])
