@@ -147,14 +147,16 @@ def contamination(
     regions = reports.select("row_id", "n_words", F.inline("regions"))
     frequency = regions.select(F.inline("hits")).groupBy("hash").agg(F.count("*").alias("df"))
     # The prefix of a window: its rarest shingle, with its place in the window. No report at all: it occurs nowhere.
+    # Windows have numbers from here on, so that one which many items share is one row and its hits carry no item.
     prefix = (
-        parts.select("item", "n", "words", F.posexplode("hashes").alias("offset", "hash"))
+        parts.select("n", "words", "hashes")
+        .distinct()
+        .select("n", "words", F.posexplode("hashes").alias("offset", "hash"))
         .join(frequency, "hash", "left")
-        .groupBy("item", "n", "words")
+        .groupBy("n", "words")
         .agg(F.min_by(F.struct("hash", "offset", "df"), F.struct(F.coalesce("df", F.lit(0)), "hash", "offset")).alias("p"))
         .where("p.df is not null")
-        .groupBy(F.col("p.hash").alias("hash"), F.col("p.offset").alias("offset"), "n", "words")
-        .agg(F.collect_set(F.col("item").cast("string")).alias("items"))
+        .select("p.hash", "p.offset", "n", "words", F.monotonically_increasing_id().alias("window_no"))
     )
     prefix = stored(prefix, "prefixes")
     hits = regions.select("row_id", "n_words", "first", "words", F.inline("hits"))
@@ -163,11 +165,20 @@ def contamination(
         hits.join(prefix.withColumnRenamed("words", "window"), "hash")
         .where((start >= 0) & (start + F.col("n") <= F.col("n_words")))
         .where(F.expr("array_join(slice(split(words, ' '), at - offset - first + 1, n), ' ') = window"))
-        .select("row_id", start.alias("begin"), (start + F.col("n")).alias("end"), "items")
+        .select("row_id", start.alias("begin"), (start + F.col("n")).alias("end"), "window_no")
     )
-    spans = found.groupBy("row_id").agg(
-        F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
+    found = stored(found, "hits")
+    spans = found.groupBy("row_id").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"))
+    # Items of the windows that occur, found once per row and window.
+    occurring = prefix.join(found.select("window_no").distinct(), "window_no", "left_semi").select("window_no", "n", "words")
+    items_of = parts.select(F.col("item").cast("string").alias("item"), "n", "words").where("item is not null")
+    items_of = items_of.join(occurring, ["n", "words"]).select("window_no", "item").distinct()
+    named_items = (
+        found.select("row_id", "window_no")
+        .distinct()
+        .join(items_of, "window_no")
+        .groupBy("row_id")
+        .agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     )
     covered = F.aggregate(
         "spans",
@@ -178,8 +189,9 @@ def contamination(
         ),
         lambda s: s["n"],
     )
-    spans = spans.select("row_id", covered.alias("n_hit"), "item_ids")
-    return reports.select("id", "row_id", "n_words").join(spans, "row_id", "left").select(
+    spans = spans.select("row_id", covered.alias("n_hit"))
+    counted = reports.select("id", "row_id", "n_words").join(spans, "row_id", "left").join(named_items, "row_id", "left")
+    return counted.select(
         F.col("id").alias(id),
         "row_id",
         "n_words",

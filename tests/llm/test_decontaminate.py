@@ -69,3 +69,23 @@ def test_decontaminated_keeps_clean_rows(spark, edge_docs, edge_rows, items):
     assert kept.columns == edge_docs.columns
     dirty = {r[0] for r in brute_force([(r[1], r[1]) for r in edge_rows], items) if r[5]}
     assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(repr(r) for r in edge_rows if r[1] not in dirty)
+
+
+def test_a_window_of_many_items_is_one_row(spark, monkeypatch):
+    """Hits are as many for 300 items that share their windows as for one of them."""
+    tables = {}
+
+    def keep(df, purpose, real=decontaminate.stored):
+        tables.setdefault(purpose, []).append(real(df, purpose))
+        return tables[purpose][-1]
+
+    monkeypatch.setattr(decontaminate, "stored", keep)
+    shared = " ".join(f"w{i}" for i in range(14))
+    docs = [(i, f"before {shared} after {shared}") for i in range(20)] + [(20, "nothing of it")]
+    for count in (1, 300):
+        items = [(i, f"{shared} end{i}") for i in range(count)]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        found = decontaminate.query(df, spark.createDataFrame(items, "item_id long, text string"))
+        assert sorted((tuple(r) for r in found.collect()), key=repr) == brute_force(docs, items)
+    one, many = tables["hits"]
+    assert one.count() == many.count() == 20 * 2 * 5 and set(many.columns) == {"row_id", "begin", "end", "window_no"}
