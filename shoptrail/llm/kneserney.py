@@ -2,9 +2,13 @@
 
 Tokens are the words of the lower-cased text (A-Z only) and one end per text. Tasks count bigrams of their texts as sorted
 arrays of 64-bit hashes, combined before the shuffle; a shuffle by context brings a context's words together, and a second
-one by word gives continuation counts and plain counts. Both kinds of groups are cut by hash ranges, so a frequent word adds
-one entry per task, not one per occurrence. The merged groups are stored as sorted hash arrays, one raw file per range, in
-the shared folder; scoring workers map those files into memory and look tokens up by binary search.
+one by word gives continuation counts and plain counts. Both kinds of groups are cut by hash ranges, whose number grows with
+the text, so a frequent word adds one entry per task, not one per occurrence. The followers of a context that accounts for
+more text than a range holds are dealt over several ranges, in proportion to that text; the parts of its totals meet in the
+second shuffle. At most one context per range is that frequent, so their list is bounded by the number of ranges. The merged
+groups are stored as sorted hash arrays, one raw file per range, in the shared folder; scoring workers map those files into
+memory, once per worker, and look tokens up by binary search. Counts have 64 bits; what a bigram occurs beyond 32 bits is in
+a file of its own.
 
 A file is written under a temporary name and then renamed, so a repeated task leaves the same file. Words are known by
 their 64-bit hashes. Order 2 is what the disk allows: distinct trigrams alone would be larger than the input.
@@ -32,12 +36,15 @@ from shoptrail.runtime import remove_at_exit, work_folder
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Bigrams that a task holds before it sorts and sends them.
 PAIRS_AT_ONCE = 3_000_000
-#: Text bytes for each hash range, and the most ranges.
-RANGE_BYTES, RANGES = 16 << 20, 4096
+#: Text bytes for each hash range.
+RANGE_BYTES = 16 << 20
+#: The largest count that an entry of a bigram file holds.
+MOST = 2**32 - 1
 
 _PAIRS = [("hash", "<u8"), ("count", "<u4")]
-_CONTEXTS = [("hash", "<u8"), ("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")]
-_WORDS = [("hash", "<u8"), ("count", "<u8"), ("contexts", "<u4")]
+_BEYOND = [("hash", "<u8"), ("more", "<u8")]
+_CONTEXTS = [("hash", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")]
+_WORDS = [("hash", "<u8"), ("count", "<u8"), ("contexts", "<u8")]
 
 
 def tokens(column: pa.Array):
@@ -76,25 +83,92 @@ def _combined(before: np.ndarray, current: np.ndarray, count: np.ndarray | None
     return before[at], current[at], np.add.reduceat(count[order], at) if len(at) else count[:0]
 
 
-def _ranges(sorted_hashes: np.ndarray, bits: int):
-    """``(range, first, last)`` of the hash ranges that occur."""
-    of = (sorted_hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sorted_hashes), np.int64)
+def _cut(of: np.ndarray):
+    """``(range, first, last)`` of the ranges that occur in sorted range numbers."""
     at = np.append(_runs(of), len(of)) if len(of) else [0]
     return [(int(of[a]), a, b) for a, b in zip(at[:-1], at[1:])]
 
 
+class Ranges:
+    """Which hash range an entry belongs to.
+
+    Words and contexts go by their leading ``bits``; the followers of a context in ``spread`` (context hash to number of
+    ranges) go to that many ranges from there on.
+    """
+
+    def __init__(self, bits: int, spread: dict[int, int]):
+        self.bits, self.spread = bits, spread
+        self.hashes = np.array(sorted(spread), "<u8")
+        self.parts = np.array([spread[h] for h in sorted(spread)], "<u8")
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _place(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.hashes):
+            return np.zeros(len(contexts), bool), np.zeros(len(contexts), np.int64)
+        place = np.minimum(np.searchsorted(self.hashes, contexts), len(self.hashes) - 1)
+        return self.hashes[place] == contexts, place
+
+    def is_spread(self, contexts: np.ndarray) -> np.ndarray:
+        return self._place(contexts)[0]
+
+    def of_pairs(self, before: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        of = self.of(before)
+        spread, place = self._place(before)
+        of[spread] += (pairs[spread] % self.parts[place[spread]]).astype(np.int64)
+        return of & ((1 << self.bits) - 1)
+
+
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32() if n == "range" else pa.binary()) for c, n in zip(columns, names)], names=names)
 
 
-def _bigrams(texts: DataFrame, bits: int) -> DataFrame:
+def _frequent(texts: DataFrame, n_bytes: int, bits: int) -> dict[int, int]:
+    """Contexts that account for more text than a range holds, and over how many ranges to deal their followers.
+
+    A part of the texts names the contexts with at least a range's share of it, each with its share of the part's bytes, so
+    what goes unnamed of a context is less than one range.
+    """
+    names = ["context", "bytes"]
+
+    def named(parts, size):
+        contexts, n = np.unique(np.concatenate(parts), return_counts=True)
+        total = int(n.sum())
+        often = n >= total / 2**bits
+        share = (n[often] * (size / total)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(contexts[often].view(np.int64)), pa.array(share)], names=names)
+
+    def run(batches):
+        parts, n, size = [], 0, 0
+        for batch in batches:
+            for _, _, before, _ in tokens(batch.column(0)):
+                parts.append(before)
+                n += len(before)
+            size += batch.column(0).nbytes
+            if n >= PAIRS_AT_ONCE:
+                yield named(parts, size)
+                parts, n, size = [], 0, 0
+        if parts:
+            yield named(parts, size)
+
+    range_bytes = n_bytes / 2**bits
+    found = texts.mapInArrow(run, "context long, bytes long").groupBy("context").agg(F.sum("bytes").alias("bytes"))
+    rows = found.where(F.col("bytes") > range_bytes).collect()
+    return {int(np.int64(r["context"]).view(np.uint64)): min(int(np.ceil(r["bytes"] / range_bytes)), 2**bits) for r in rows}
+
+
+def _bigrams(texts: DataFrame, ranges: Ranges) -> DataFrame:
     names = ["range", "contexts", "sizes", "words", "counts"]
 
     def packed(parts):
         before, current, count = _combined(*(np.concatenate(p) for p in zip(*parts)))
+        of_pairs = ranges.of_pairs(before, pair_hashes(before, current))
+        order = np.argsort(of_pairs, kind="stable")
+        before, current, count, of_pairs = before[order], current[order], count[order], of_pairs[order]
         rows = []
-        for of, a, b in _ranges(before, bits):
+        for of, a, b in _cut(of_pairs):
             at = _runs(before[a:b])
             sizes = np.diff(np.append(at, b - a))
             rows.append((of, before[a:b][at].tobytes(), sizes.astype("<u4").tobytes(), current[a:b].tobytes(), count[a:b].astype("<u4").tobytes()))
@@ -170,9 +244,12 @@ def _stats(counts: np.ndarray) -> list[int]:
     return [int(np.count_nonzero(counts == k)) for k in (1, 2, 3, 4)]
 
 
-def _contexts_of_range(folder: str, bits: int):
-    """Store a range of contexts and pass on its words: how many contexts and occurrences each has there."""
-    names = ["range", "words", "contexts", "counts", "stats"]
+def _contexts_of_range(folder: str, ranges: Ranges):
+    """Store a range of contexts and pass on its words: how many contexts and occurrences each has there.
+
+    The totals of spread contexts are passed on too, and the bigrams' counts of counts.
+    """
+    names = ["range", "words", "contexts", "counts", "totals", "stats"]
 
     def run(table: pa.Table) -> pa.Table:
         of = table["range"][0].as_py()
@@ -180,44 +257,58 @@ def _contexts_of_range(folder: str, bits: int):
         before, current, count = _combined(before, _joined(table["words"], "<u8"), _joined(table["counts"], "<u4").astype(np.int64))
         pairs = pair_hashes(before, current)
         order = np.argsort(pairs)
-        write_arrays(f"{folder}/pairs-{of:04d}", [pairs[order], np.minimum(count[order], 2**32 - 1).astype("<u4")])
+        write_arrays(f"{folder}/pairs-{of:04d}", [pairs[order], np.minimum(count[order], MOST).astype("<u4")])
+        beyond = order[count[order] > MOST]
+        if len(beyond):
+            write_arrays(f"{folder}/beyond-{of:04d}", [pairs[beyond], (count[beyond] - MOST).astype("<u8")])
         at = _runs(before)
-        sums = lambda values, kind: np.add.reduceat(values, at).astype(kind)
-        write_arrays(
-            f"{folder}/contexts-{of:04d}",
-            [before[at], sums(count, "<u8"), sums((count == 1) * 1, "<u4"), sums((count == 2) * 1, "<u4"), sums((count > 2) * 1, "<u4")],
-        )
+        kinds = (count, count == 1, count == 2, count > 2)
+        totals = np.stack([before[at], *(np.add.reduceat(k.astype("<u8"), at) for k in kinds)])
+        spread = ranges.is_spread(before[at])
+        write_arrays(f"{folder}/contexts-{of:04d}", list(totals[:, ~spread]))
+        rows = [
+            (r, b"", b"", b"", totals[:, spread][:, a:b].T.tobytes(), b"")
+            for r, a, b in _cut(ranges.of(totals[0, spread]))
+        ]
         order = np.argsort(current, kind="stable")
         current, per_word = current[order], count[order]
         at = _runs(current)
         words, contexts, counts = current[at], np.diff(np.append(at, len(current))), np.add.reduceat(per_word, at)
-        rows = [
-            (r, words[a:b].tobytes(), contexts[a:b].astype("<u4").tobytes(), counts[a:b].astype("<u8").tobytes(), b"")
-            for r, a, b in _ranges(words, bits)
+        rows += [
+            (r, words[a:b].tobytes(), contexts[a:b].astype("<u4").tobytes(), counts[a:b].astype("<u8").tobytes(), b"", b"")
+            for r, a, b in _cut(ranges.of(words))
         ]
-        rows.append((-1, b"", b"", b"", np.array(_stats(count), "<u8").tobytes()))
+        rows.append((of, b"", b"", b"", b"", np.array([*_stats(count), len(beyond)], "<u8").tobytes()))
         return pa.Table.from_batches([_batch(rows, names)])
 
     return run
 
 
+_SUMS = ["p1", "p2", "p3", "p4", "beyond", "w1", "w2", "w3", "w4", "vocabulary", "tokens", "bigrams"]
+
+
 def _words_of_range(folder: str):
-    """Store a range of words; the group -1 adds up the bigrams' counts of counts instead."""
+    """Store a range of words and one of spread contexts; gives the sums that describe the model."""
 
     def run(table: pa.Table) -> pa.Table:
         of = table["range"][0].as_py()
-        if of < 0:
-            stats = _joined(table["stats"], "<u8").reshape(-1, 4).sum(0).tolist() + [0, 0, 0]
-        else:
-            words = _joined(table["words"], "<u8")
+        pairs = _joined(table["stats"], "<u8").reshape(-1, 5).sum(0).tolist()
+        totals = _joined(table["totals"], "<u8").reshape(-1, 5)
+        if len(totals):
+            totals = totals[np.argsort(totals[:, 0], kind="stable")]
+            at = _runs(totals[:, 0])
+            write_arrays(f"{folder}/spread-{of:04d}", [totals[at, 0], *np.add.reduceat(totals[:, 1:], at).T])
+        words = _joined(table["words"], "<u8")
+        stats = [0] * 7
+        if len(words):
             order = np.argsort(words, kind="stable")
             words = words[order]
             at = _runs(words)
             contexts = np.add.reduceat(_joined(table["contexts"], "<u4")[order].astype(np.int64), at)
             counts = np.add.reduceat(_joined(table["counts"], "<u8")[order], at)
-            write_arrays(f"{folder}/words-{of:04d}", [words[at], counts, contexts.astype("<u4")])
+            write_arrays(f"{folder}/words-{of:04d}", [words[at], counts, contexts.astype("<u8")])
             stats = [*_stats(contexts), len(at), int(counts.sum()), int(contexts.sum())]
-        return pa.table({"range": pa.array([of], pa.int32()), "stats": pa.array([stats], pa.list_(pa.int64()))})
+        return pa.table({name: pa.array([int(n)], pa.int64()) for name, n in zip(_SUMS, pairs + stats)})
 
     return run
 
@@ -232,7 +323,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 def train(texts: DataFrame, text: str = "text", folder: str | None = None) -> dict:
-    """Count, store and describe a model; what reaches the driver is one row of sums per hash range.
+    """Count, store and describe a model; what reaches the driver is one row of sums and the contexts to spread.
 
     Without a ``folder`` of its own the model goes with the driver's process.
     """
@@ -240,25 +331,34 @@ def train(texts: DataFrame, text: str = "text", folder: str | None = None) -> di
     kept, folder = folder is not None, folder or work_folder(spark, "language-model")
     texts = texts.select(text)
     n_bytes = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    bits = int(np.clip(np.ceil(np.log2(max(n_bytes / RANGE_BYTES, 16))), 4, np.log2(RANGES)))
-    words = _bigrams(texts, bits).groupBy("range").applyInArrow(
-        _contexts_of_range(folder, bits), "range int, words binary, contexts binary, counts binary, stats binary"
+    bits = int(np.ceil(np.log2(max(n_bytes / RANGE_BYTES, 16))))
+    spread = _frequent(texts, n_bytes, bits) if n_bytes else {}
+    ranges = Ranges(bits, spread)
+    words = _bigrams(texts, ranges).groupBy("range").applyInArrow(
+        _contexts_of_range(folder, ranges), "range int, words binary, contexts binary, counts binary, totals binary, stats binary"
     )
-    done = words.groupBy("range").applyInArrow(_words_of_range(folder), "range int, stats array<bigint>").collect()
-    if done and not kept:
+    done = words.groupBy("range").applyInArrow(_words_of_range(folder), ", ".join(f"{name} long" for name in _SUMS))
+    found = done.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS]).first()
+    if found["tokens"] and not kept:
         remove_at_exit(spark, folder)
-    total = np.sum([r["stats"] for r in done if r["range"] >= 0], axis=0) if done else np.zeros(7, int)
-    pairs = next((r["stats"][:4] for r in done if r["range"] < 0), [0] * 4)
-    stats = [int(x) for x in total]
-    return {"folder": folder, "bits": bits, "pair_discounts": discounts(*pairs), "word_discounts": discounts(*stats[:4]),
-            "word_stats": stats[:4], "vocabulary": stats[4], "tokens": stats[5], "bigrams": stats[6]}
+    pairs, word_stats = [found[f"p{k}"] for k in (1, 2, 3, 4)], [found[f"w{k}"] for k in (1, 2, 3, 4)]
+    return {"folder": folder, "bits": bits, "spread": spread, "beyond": found["beyond"],
+            "pair_discounts": discounts(*pairs), "word_discounts": discounts(*word_stats), "word_stats": word_stats,
+            "vocabulary": found["vocabulary"], "tokens": found["tokens"], "bigrams": found["bigrams"]}
+
+
+#: The files that this process has mapped, of one model at a time.
+_mapped: dict[str, dict] = {}
 
 
 class Scorer:
     """Looks tokens up in the mapped files of a model."""
 
     def __init__(self, model: dict):
-        self.model, self.maps = model, {}
+        self.model, self.ranges = model, Ranges(model["bits"], model["spread"])
+        if model["folder"] not in _mapped:
+            _mapped.clear()
+        self.maps = _mapped.setdefault(model["folder"], {})
         d, n = model["word_discounts"], model["word_stats"]
         bigrams, vocabulary = model["bigrams"], model["vocabulary"]
         held = d[1] * n[0] + d[2] * n[1] + d[3] * (vocabulary - n[0] - n[1])
@@ -294,19 +394,24 @@ class Scorer:
 
     def __call__(self, current: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per token: probability by the model, and its count in the training texts."""
-        m, shift = self.model, np.uint64(64 - self.model["bits"])
+        m, ranges = self.model, self.ranges
         words, number = np.unique(current, return_inverse=True)
-        word = self._look_up("words", _WORDS, words >> shift, words)
+        word = self._look_up("words", _WORDS, ranges.of(words), words)
         d = np.array(m["word_discounts"])
         low = (word["contexts"] - d[np.minimum(word["contexts"], 3).astype(int)]) / max(m["bigrams"], 1) + self.uniform
         contexts, of_context = np.unique(before, return_inverse=True)
-        context = self._look_up("contexts", _CONTEXTS, contexts >> shift, contexts)
+        context = self._look_up("contexts", _CONTEXTS, ranges.of(contexts), contexts)
+        spread = ranges.is_spread(contexts)
+        for name, values in self._look_up("spread", _CONTEXTS, ranges.of(contexts[spread]), contexts[spread]).items():
+            context[name][spread] = values
         d = np.array(m["pair_discounts"])
         held = d[1] * context["n1"] + d[2] * context["n2"] + d[3] * context["n3"]
         weight = np.where(context["total"] > 0, held / np.maximum(context["total"], 1), 1.0)
         pair, of_pair = np.unique(pair_hashes(before, current), return_index=True)
-        count = np.zeros(len(current))
-        found = self._look_up("pairs", _PAIRS, before[of_pair] >> shift, pair)["count"]
+        of = ranges.of_pairs(before[of_pair], pair)
+        found = self._look_up("pairs", _PAIRS, of, pair)["count"]
+        if m["beyond"]:
+            found += self._look_up("beyond", _BEYOND, of, pair)["more"]
         count = found[np.searchsorted(pair, pair_hashes(before, current))]
         high = (count - d[np.minimum(count, 3).astype(int)]) / np.maximum(context["total"], 1)[of_context]
         return high + weight[of_context] * low[number], word["count"][number]

@@ -67,11 +67,28 @@ def test_edge_cases_match_brute_force(edge_docs, edge_rows):
 
 
 def test_many_ranges_and_small_parts(edge_docs, edge_rows, monkeypatch):
-    monkeypatch.setattr(kneserney, "RANGE_BYTES", 1)
-    monkeypatch.setattr(kneserney, "RANGES", 64)
+    monkeypatch.setattr(kneserney, "RANGE_BYTES", sum(len(r[1] or "") for r in edge_rows) // 50)
+    monkeypatch.setattr(kneserney, "PAIRS_AT_ONCE", 500)
     check([(r[0], r[1]) for r in edge_rows], kneserney.query(edge_docs).collect())
 
 
+def test_counts_beyond_what_an_entry_holds(edge_docs, edge_rows, monkeypatch):
+    monkeypatch.setattr(kneserney, "MOST", 2)
+    assert kneserney.train(edge_docs)["beyond"] > 0
+    check([(r[0], r[1]) for r in edge_rows], kneserney.query(edge_docs).collect())
+
+
+def test_followers_of_a_hot_context_are_dealt_over_ranges(spark, tmp_path):
+    rows = [(i, " ".join(f"the w{(i * 41 + k * 7) % 9973} v{k % 13}" for k in range(40))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(rows, kneserney.query(docs).collect())
+    model = kneserney.train(docs, folder=str(tmp_path))
+    the = int(next(kneserney.tokens(pa.array(["the"])))[1][0])
+    assert model["bits"] == 4 and 5 <= model["spread"][the] <= 7 and len(model["spread"]) <= 16
+    sizes = sorted(len(kneserney.map_arrays(str(p), kneserney._PAIRS)["hash"]) for p in tmp_path.glob("pairs-*"))
+    assert sum(sizes) == model["bigrams"] and sizes[-1] < model["bigrams"] / 4
+
+
 def test_nothing_to_learn_from(spark, no_docs):
     assert kneserney.query(no_docs).count() == 0
     ids = [i for i in range(100) if held_out(i)][:3]
