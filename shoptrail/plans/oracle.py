@@ -294,6 +294,7 @@ def build(params: TaskParams, filters: dict[str, TaskParams], files: int, period
     }
     for key in ("ad_province_city_counts", "ad_province_top3", "ad_click_trend_minute", "ad_blacklist", "ad_click_sliding_hour"):
         sql["stream_" + key] = sql[key]
+    sql["stream_ad_sliding_hour_windows"] = sql["ad_click_sliding_hour"]
     sql["stream_ad_running_place_counts"] = sql["stream_ad_state_rows"] = sql["ad_province_city_counts"]
     sql["stream_ad_counters"] = (
         live

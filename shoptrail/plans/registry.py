@@ -387,6 +387,13 @@ def stream_ad_running_place_counts(spark: SparkSession, folder: str) -> DataFram
     return stream_products.running_totals(spark, done)
 
 
+@_query
+def stream_ad_sliding_hour_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Sliding windows of click time as the stream's own state, put out in update mode."""
+    done = stream_products.run_sliding_counts(spark, folder, _stored_bitmaps(spark, folder))
+    return stream_products.window_totals(spark, done).withColumn("window_start", _time_text("window_start"))
+
+
 @_query
 def stream_ad_state_rows(spark: SparkSession, folder: str) -> DataFrame:
     """What the state itself holds at the end."""

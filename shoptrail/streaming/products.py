@@ -1,7 +1,7 @@
 """The advertising statistics as Structured Streaming queries over ad click lines.
 
 Most streams keep no state: they merge each batch's counts into tables of current rows (``sinks.CurrentRows``), so late clicks
-count and a batch that is delivered again changes nothing. ``running_place_counts`` keeps its counts as state instead.
+count and a batch that is delivered again changes nothing. ``running_place_counts`` and ``sliding_counts`` keep theirs as state instead.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from shoptrail.streaming.sinks import CurrentRows
 PLACE_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
 MINUTE_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
 USER_AD_SCHEMA = "date string, user_id bigint, adid bigint, click_count bigint"
+WINDOW_SCHEMA = "date string, window_start timestamp, adid bigint, click_count bigint"
 TOP_SCHEMA = "date string, province string, adid bigint, click_count bigint, rank bigint"
 LISTED_SCHEMA = f"shard int, {bitmaps.SCHEMA}"
 #: Partitions of the blacklist, of which a batch rewrites those with new users.
@@ -85,16 +86,15 @@ def top_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _tops(spark, folder).rows()
 
 
-def sliding_counts(clicks: DataFrame, lateness: str = "1 hour", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
-    """Clicks per ad and sliding window of click time, as stream state. Clicks later than ``lateness`` are not counted.
+def sliding_counts(clicks: DataFrame, lateness: str = "31 days", length: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
+    """Clicks per ad and sliding window of click time, as stream state; for update or append mode.
 
-    Clicks are counted per minute first, so only the minutes are copied into their windows. A window comes out once
-    the watermark has passed it.
+    A batch's clicks are combined before they reach the state, which holds one count per ad and window. Windows leave it
+    ``lateness`` past their end; clicks for them are then dropped and reported (``late_rows``). Clicks without a time are in
+    no window.
     """
-    minutes = clicks.withWatermark("ts", lateness).groupBy(F.window("ts", "1 minute"), "adid")
-    minutes = minutes.agg(F.count(F.lit(1)).alias("n")).select(F.window_time("window").alias("time"), "adid", "n")
-    windows = minutes.groupBy(F.window("time", length, slide), "adid").agg(F.sum("n").alias("click_count"))
-    return windows.select(F.col("window.start").alias("window_start"), "adid", "click_count")
+    windows = clicks.withWatermark("ts", lateness).groupBy(F.window("ts", length, slide), "adid")
+    return windows.agg(F.count(F.lit(1)).alias("click_count")).select(F.col("window.start").alias("window_start"), "adid", "click_count")
 
 
 @contextmanager
@@ -233,6 +233,40 @@ def start_running_counts(clicks: DataFrame, folder: str, lateness: str = "31 day
         return start(running_place_counts(clicks, lateness), write_running_counts(folder), folder, "update", interval)
 
 
+def _windows(spark: SparkSession, folder: str) -> CurrentRows:
+    return CurrentRows(spark, f"{folder}/sliding_counts", WINDOW_SCHEMA, {"click_count": F.max})
+
+
+def write_sliding_counts(folder: str) -> BatchWriter:
+    """Put the windows that a batch changed in place of the earlier ones; counts only grow, so the larger is the later."""
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        day = F.date_format("window_start", "yyyy-MM-dd").alias("date")
+        _windows(changed.sparkSession, folder).add(changed.select(day, "window_start", "adid", "click_count"), batch_id)
+
+    return write
+
+
+def window_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _windows(spark, folder).rows().drop("date")
+
+
+def start_sliding_counts(
+    clicks: DataFrame, folder: str, lateness: str = "31 days", length: str = "60 minutes", interval: str | None = None
+) -> StreamingQuery:
+    """Keep sliding counts below ``folder``; starting again there goes on from the state of the last finished batch."""
+    with state_on_disk(clicks.sparkSession):
+        return start(sliding_counts(clicks, lateness, length), write_sliding_counts(folder), folder, "update", interval)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late for the state, over the batches whose progress Spark still keeps.
+
+    A row is what reaches the state: the clicks of a batch that share a window, ad and task are one.
+    """
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def _run(spark: SparkSession, tables: str, purpose: str, writer: Callable[[str], BatchWriter], listed: DataFrame | None = None) -> str:
     """Run the stream over the test tables to its end; returns the folder of its results."""
     folder = work_folder(spark, purpose)
@@ -285,6 +319,15 @@ def run_running_counts(spark: SparkSession, tables: str, listed: DataFrame) -> s
     return folder
 
 
+def run_sliding_counts(spark: SparkSession, tables: str, listed: DataFrame) -> str:
+    """Run the stream of sliding windows over the test tables to its end, without the users of a list of bitmaps."""
+    folder = work_folder(spark, "sliding-counts")
+    clicks = bitmaps.without(ads.parse(star_schema_lines(spark, tables)), listed)
+    start_sliding_counts(clicks, folder).awaitTermination()
+    remove_at_exit(spark, folder)
+    return folder
+
+
 def province_top(spark: SparkSession, tables: str, listed: DataFrame, n: int) -> DataFrame:
     return top_rows(spark, _run(spark, tables, "province-top", lambda folder: write_province_top(folder, n), listed))
 

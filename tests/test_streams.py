@@ -122,6 +122,27 @@ def test_click_behind_the_watermark_is_not_counted(spark, tmp_path):
     assert [r[2] for r in found] == [1, 2]
 
 
+def test_sliding_windows_in_update_mode_go_on_after_a_stop(spark, tmp_path):
+    lines, out = some_lines(40), str(tmp_path / "out")
+    for n in (1, 2, 4):
+        folder = land(tmp_path / "in", chunks(lines, 10)[:n])
+        products.start_sliding_counts(ads.parse(stream(spark, folder)), out, length="10 minutes").awaitTermination()
+        expected = rows(ads.sliding_counts(clicks_frame(spark, lines[: 10 * n]), 10))
+        assert rows(products.window_totals(spark, out)) == expected
+    assert batches(out)[-1] >= 3
+
+
+def test_late_rows_of_sliding_windows_are_reported(spark, tmp_path):
+    hour = 3_600_000
+    parts = [[line(0)], [line(10 * hour)], [line(10 * hour + 1)], [line(1), line(10 * hour + 2)]]
+    out = str(tmp_path / "out")
+    clicks = ads.parse(stream(spark, land(tmp_path / "in", parts)))
+    query = products.start_sliding_counts(clicks, out, lateness="1 hour", length="1 minute")
+    query.awaitTermination()
+    assert products.late_rows(query) == 1
+    assert [r[2] for r in rows(products.window_totals(spark, out))] == [1, 3]
+
+
 def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
     out = str(tmp_path / "out")
     write = products.write_everything(out, 3, 3)
