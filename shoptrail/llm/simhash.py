@@ -102,38 +102,67 @@ def _keys(fp):
     return F.array(*rows)
 
 
+def _flip(fp: str, key: str):
+    """The bit that the key of a bucket has flipped in the fingerprint's segment; 0 for the segment's own value."""
+    halves = [F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << bits) - 1)) for low, bits in SEGMENTS]
+    value = F.when(F.col(key) < (1 << 32), halves[0]).otherwise(halves[1])
+    return value.bitwiseXOR(F.col(key)).bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def _near(a: str, b: str):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= DISTANCE
+
+
 #: Fingerprints of a bucket beyond which they are linked through common midpoints: a group of near copies, whose pairs are
-#: not listed. Both ways are exact.
-HOT_BUCKET = 2048
+#: not listed. Both ways are exact. A member of a bucket has 33 or 529 midpoints, so beyond this size pairs would be more.
+HOT_BUCKET = 128
+
+
+def _masks(most: int):
+    """Masks of up to ``most`` (1 or 2) bits of a segment."""
+    ones = [1 << k for k in range(32)]
+    return F.lit([0, *ones, *(a | b for a in ones for b in ones if a < b and most == 2)]).cast("array<bigint>")
 
 
-def _stars(prints: DataFrame) -> DataFrame:
-    """Links among fingerprints by common midpoints: two differ in at most 4 bits just if some point lies within 2 of both.
+def _stars(rows: DataFrame) -> DataFrame:
+    """Links among the rows ``(fp, key, pivot)`` of each bucket: with its pivot and by common midpoints.
 
-    Each fingerprint meets the smallest one around each point of its ball, so a group of n gives n stars, not n^2 pairs.
+    Two fingerprints differ in at most 4 bits just if some point lies within 2 of both; those that meet in a bucket have one with
+    the bucket's value in its segment, of which they are 1 bit away already if they have a flip there. Each fingerprint
+    meets one other around each such point, so a bucket of n gives at most 529 n rows, not n^2. Links between two that
+    link with the pivot, one of the bucket, are left out: mostly that leaves n.
     """
-    masks = [0, *(1 << a for a in range(64)), *(1 << a | 1 << b for a in range(64) for b in range(a))]
-    signed = F.lit([m - (1 << 64) if m >> 63 else m for m in masks]).cast("array<bigint>")
-    ball = prints.select("fp", F.explode(F.transform(signed, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
-    least = ball.groupBy("point").agg(F.min("fp").alias("fp_b"))
-    met = ball.join(least, "point").where("fp <> fp_b")
-    return met.select(F.col("fp").alias("fp_a"), "fp_b").distinct()
+    halves = [F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << bits) - 1)) for low, bits in SEGMENTS]
+    other = F.when(F.col("key") < (1 << 32), halves[1]).otherwise(halves[0])
+    around = F.when(_flip("fp", "key") == 0, _masks(2)).otherwise(_masks(1))
+    rows = rows.withColumn("far", ~_near("fp", "pivot"))
+    points = rows.select("fp", "far", "key", F.explode(F.transform(around, lambda m: other.bitwiseXOR(m))).alias("point"))
+    met = points.groupBy("key", "point").agg(F.min(F.struct("far", "fp")).alias("one"))
+    met = points.where("far").join(met, ["key", "point"]).select(F.col("fp").alias("fp_a"), F.col("one.fp").alias("fp_b"))
+    with_pivot = rows.where("not far").select(F.col("fp").alias("fp_a"), F.col("pivot").alias("fp_b"))
+    return met.union(with_pivot).where("fp_a <> fp_b").distinct()
 
 
 def links(prints: DataFrame, fp: str = "fp", hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """Pairs ``(fp_a, fp_b)`` of the distinct fingerprints ``fp`` that differ in 1 to 4 bits.
 
     Every such pair is a row or, where its segment key holds more than ``hot_bucket`` fingerprints, connected by rows.
+    Fingerprints with equal segments share all of its keys and meet under their own value alone, so a bucket where all
+    have the same flip holds no pair.
     """
     table = stored(prints.select(F.col(fp).alias("fp"), F.explode(_keys(F.col(fp))).alias("key")), "segment tables")
     hot = table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_bucket).select("key")
     hot = stored(hot, "hot-buckets")
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= DISTANCE
+    # Both sides alike, so that they are shuffled once.
     cool = table.join(hot, "key", "left_anti")
-    x, y = cool.alias("x"), table.alias("y")
-    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & near)
-    crowded = table.join(hot, "key", "left_semi").select("fp").distinct()
-    return found.select(F.col("x.fp").alias("fp_a"), F.col("y.fp").alias("fp_b")).union(_stars(crowded))
+    x, y = cool.alias("x"), cool.alias("y")
+    meet = (_flip("x.fp", "x.key") != _flip("y.fp", "y.key")) | (_flip("x.fp", "x.key") == 0)
+    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & _near("x.fp", "y.fp") & meet)
+    crowded = stored(table.join(hot, "key", "left_semi"), "crowded buckets")
+    flip = _flip("fp", "key")
+    buckets = crowded.groupBy("key").agg(F.min("fp").alias("pivot"), F.min(flip).alias("low"), F.max(flip).alias("high"))
+    buckets = stored(buckets.where("low < high or high = 0").select("key", "pivot"), "pivots")
+    return found.select(F.col("x.fp").alias("fp_a"), F.col("y.fp").alias("fp_b")).union(_stars(crowded.join(buckets, "key")))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

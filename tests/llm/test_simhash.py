@@ -86,6 +86,27 @@ def test_crowded_buckets_connect_the_same_fingerprints(spark, hot_bucket):
     assert set(found) <= set(near) and roots(prints, found) == roots(prints, near)
 
 
+def test_links_of_near_copies_grow_with_their_number(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(63)
+    ball = [base ^ (1 << a | 1 << b) for a in range(63) for b in range(a)]
+    rng.shuffle(ball)
+    made = []
+    for n in (400, 1600):
+        found = list(map(tuple, simhash.links(spark.createDataFrame([(p,) for p in ball[:n]], "fp long")).collect()))
+        assert all(0 < bin(a ^ b).count("1") <= 4 for a, b in found)
+        assert len(set(roots(ball[:n], found).values())) == 1
+        made.append(len(found))
+    # All of them are near each other: listed as pairs, four times as many make sixteen times the rows.
+    assert made[1] <= 6 * made[0]
+
+
+def test_a_pair_is_found_once_where_a_segment_is_equal(spark):
+    found = simhash.links(spark.createDataFrame([(5 << 32 | 1,), (5 << 32 | 0xF0F0,)], "fp long")).count()
+    assert found == 0
+    assert simhash.links(spark.createDataFrame([(5 << 32 | 1,), (5 << 32 | 0xE,)], "fp long")).count() == 1
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, edges):
