@@ -283,6 +283,27 @@ def test_null_and_negative_ids_are_staged(spark, tmp_path):
     assert files == 1 and spark.read.parquet(staged).count() == all_rows.count()
 
 
+@pytest.mark.parametrize("gap", [False, True])
+def test_large_parts_are_staged_in_several_files(spark, tmp_path, gap):
+    """A batch of a large part has more tasks than one, and parts stay batches where one of them has few rows."""
+    ids = spark.range(660_000).where("NOT (id >= 220000 AND id < 329990)" if gap else "true")
+    columns = ["id AS event_id", "CAST(null AS timestamp_ntz) AS ts", "id AS user_id", "'' AS event_type", "0D AS value", "'' AS props"]
+    ids.selectExpr(*columns).write.parquet(str(tmp_path / "events.parquet"))
+    staged, files = staged_events(spark, str(tmp_path))
+    assert files == (1 if gap else 2)
+    stream = spark.readStream.schema(spark.read.parquet(staged).schema).option("maxFilesPerTrigger", files).parquet(staged)
+    seen = []
+
+    def write(batch, _):
+        seen.append(tuple(batch.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first()))
+
+    products.start(stream, write, str(tmp_path / "out")).awaitTermination()
+    expected = [(k * 110_000, k * 110_000 + 109_999, 110_000) for k in range(STAGED_PARTS)]
+    if gap:
+        expected[2] = (329_990, 329_999, 10)
+    assert seen == expected
+
+
 def test_archived_input_is_not_read_twice(spark, tmp_path):
     lines = some_lines()
     folder, out, archive = land(tmp_path / "in", chunks(lines, 20)), str(tmp_path / "out"), str(tmp_path / "done")
